@@ -189,3 +189,289 @@ def gold_user_features_daily(lake: Lake) -> DataFrame:
 def gold_churn_by_plan_daily(lake: Lake) -> DataFrame:
     """users, churners and churn % per day and plan."""
     return lake.gold_churn_by_plan_daily
+
+
+# ---------------------------------------------------------------- quality (Q1-Q7)
+from ledgerline.operators import monitor as MON  # noqa: E402
+from ledgerline.operators import quality as Q  # noqa: E402
+
+
+def _models(lake: Lake) -> dict[str, DataFrame]:
+    return {"fct_events_daily": lake.fct_events_daily,
+            "fct_billing_daily": lake.fct_billing_daily,
+            "fct_subscriptions_daily": lake.fct_subscriptions_daily,
+            "gold_churn_labels_daily": lake.gold_churn_labels_daily,
+            "gold_user_features_daily": lake.gold_user_features_daily}
+
+
+def _bronze(lake: Lake) -> dict[str, DataFrame]:
+    return {"bronze_events": lake.bronze_events, "bronze_billing": lake.bronze_billing}
+
+
+def _sql_union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+_NOT_NULL_SQL = _sql_union([
+    f"SELECT '{m}' AS model, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM {m}"
+    for m, cols in Q.NOT_NULL.items() for c in cols])
+_GRAIN_SQL = _sql_union([
+    f"SELECT '{m}' AS model, date_day, user_id, count(*) AS n FROM {m} GROUP BY date_day, user_id HAVING count(*) > 1"
+    for m in Q.GRAIN])
+_ACCEPTED_SQL = _sql_union([
+    f"SELECT '{m}' AS model, date_day, user_id, {c} AS value FROM {m} WHERE {c} NOT IN ({', '.join(map(str, v))})"
+    for m, (c, v) in Q.ACCEPTED_VALUES.items()])
+_HASH_SQL = _sql_union([
+    f"SELECT '{t}' AS model, row_hash, count(*) AS n FROM {t} GROUP BY row_hash HAVING count(*) > 1"
+    for t in ("bronze_events", "bronze_billing")])
+_REPORT_SQL = _sql_union(
+    [f"SELECT 'not_null' AS \"check\", '{m}' AS model, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM {m}"
+     for m, cols in Q.NOT_NULL.items() for c in cols]
+    + [f"SELECT 'unique', '{m}', '{','.join(k)}', count(*) FROM (SELECT {','.join(k)} FROM {m} GROUP BY ALL HAVING count(*) > 1)"
+       for m, k in Q.UNIQUE.items()]
+    + [f"SELECT 'accepted_values', '{m}', '{c}', count(*) FROM {m} WHERE {c} NOT IN ({', '.join(map(str, v))})"
+       for m, (c, v) in Q.ACCEPTED_VALUES.items()]
+    + [f"SELECT 'unique_grain', '{m}', '{','.join(k)}', count(*) FROM (SELECT {','.join(k)} FROM {m} GROUP BY ALL HAVING count(*) > 1)"
+       for m, k in Q.GRAIN.items()]
+    + [f"SELECT 'range_0_1', '{m}', '{c}', count(*) FROM {m} WHERE {c} < 0 OR {c} > 1"
+       for m, c in Q.RANGE_01.items()]
+    + [f"SELECT 'unique', '{t}', 'row_hash', count(*) FROM (SELECT row_hash FROM {t} GROUP BY ALL HAVING count(*) > 1)"
+       for t in ("bronze_events", "bronze_billing")])
+
+
+@register("dq_not_null", with_chain(_NOT_NULL_SQL))
+def dq_not_null(lake: Lake) -> DataFrame:
+    """Q1: null counts of every declared not-null mart column."""
+    return Q.not_null(_models(lake))
+
+
+@register("dq_unique", with_chain(
+    "SELECT 'fct_events_daily' AS model, date_day, count(*) AS n FROM fct_events_daily"
+    " GROUP BY date_day HAVING count(*) > 1"))
+def dq_unique(lake: Lake) -> DataFrame:
+    """Q2: repeated days in fct_events_daily (empty = pass)."""
+    return Q.unique(_models(lake))
+
+
+@register("dq_accepted_values", with_chain(_ACCEPTED_SQL))
+def dq_accepted_values(lake: Lake) -> DataFrame:
+    """Q3: labels outside {0, 1} (empty = pass)."""
+    return Q.accepted_values(_models(lake))
+
+
+@register("dq_grain", with_chain(_GRAIN_SQL))
+def dq_grain(lake: Lake) -> DataFrame:
+    """Q4: repeated (date_day, user_id) in the per-user marts (empty = pass)."""
+    return Q.grain(_models(lake))
+
+
+@register("dq_late_rate_range", with_chain(
+    "SELECT * FROM gold_user_features_daily WHERE late_rate_7d < 0 OR late_rate_7d > 1"))
+def dq_late_rate_range(lake: Lake) -> DataFrame:
+    """Q5: feature rows with late_rate_7d outside [0, 1] (empty = pass)."""
+    return Q.late_rate_range(lake.gold_user_features_daily)
+
+
+@register("dq_report", with_chain(
+    "SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status FROM ("
+    + _REPORT_SQL + ")"))
+def dq_report(lake: Lake) -> DataFrame:
+    """Q6: every check with its violation count and pass/fail."""
+    return Q.report(_models(lake), _bronze(lake))
+
+
+@register("dq_row_hash_unique", with_chain(_HASH_SQL))
+def dq_row_hash_unique(lake: Lake) -> DataFrame:
+    """Q7: repeated row hashes in bronze (empty = pass)."""
+    return Q.row_hash_unique(_bronze(lake))
+
+
+# ---------------------------------------------------------------- monitoring
+_HAS_KEY = "list_contains(json_keys(props), 'ui_variant')"
+_BOUNDS_CTE = """m_bounds AS (
+  SELECT min(lo) AS min_day, max(hi) AS max_day FROM (
+    SELECT min(date_day) AS lo, max(date_day) AS hi FROM fct_events_daily
+    UNION ALL SELECT min(date_day), max(date_day) FROM fct_billing_daily
+    UNION ALL SELECT min(date_day), max(date_day) FROM fct_subscriptions_daily)
+),
+m_events AS (
+  SELECT date_day, events, dau, late_events,
+    coalesce(late_events / nullif(events, 0), 0) * 100.0 AS late_rate_pct
+  FROM fct_events_daily
+  WHERE date_day BETWEEN (SELECT min_day FROM m_bounds) AND (SELECT max_day FROM m_bounds)
+),
+m_billing AS (
+  SELECT date_day, plan_id, starts, new_paid_users FROM fct_billing_daily
+  WHERE date_day BETWEEN (SELECT min_day FROM m_bounds) AND (SELECT max_day FROM m_bounds)
+)"""
+# Fixed value: the plans of the billing feed (pivot columns of the oracles).
+ORACLE_PLANS = ["basic", "free", "pro", "team"]
+
+
+def _pivot_sql(src: str, value: str, agg: str, fill: bool) -> str:
+    cols = []
+    for p in ORACLE_PLANS:
+        cell = f"{agg}({value}) FILTER (WHERE plan_id = '{p}')"
+        if fill:
+            cell = f"CAST(coalesce({cell}, 0) AS BIGINT)"
+        cols.append(f"{cell} AS {p}")
+    return f"SELECT date_day, {', '.join(cols)} FROM {src} GROUP BY date_day"
+
+
+def _lake_bounds(lake: Lake):
+    return MON._bounds(lake.fct_events_daily, lake.fct_billing_daily, lake.fct_subscriptions_daily)
+
+
+def _events_range(lake: Lake) -> DataFrame:
+    lo, hi = _lake_bounds(lake)
+    return MON.events_daily_range(lake.fct_events_daily, lo, hi)
+
+
+def _billing_range(lake: Lake) -> DataFrame:
+    lo, hi = _lake_bounds(lake)
+    return MON.billing_daily_range(lake.fct_billing_daily, lo, hi)
+
+
+@register("pipeline_health", with_chain(
+    "SELECT (SELECT max(ingestion_ts) FROM bronze_events) AS latest_ingestion_ts,"
+    " avg(CAST(is_late AS INTEGER)) * 100.0 AS late_rate_pct,"
+    " CAST(sum(CAST(is_late AS INTEGER)) AS INTEGER) AS late_events,"
+    " CAST(count(*) AS INTEGER) AS total_events,"
+    f" min(CAST(event_ts AS DATE)) FILTER (WHERE {_HAS_KEY}) AS first_day_with_ui_variant,"
+    f" CAST(count(*) FILTER (WHERE {_HAS_KEY}) AS INTEGER) AS rows_with_ui_variant"
+    " FROM silver_events"))
+def pipeline_health(lake: Lake) -> DataFrame:
+    """M1: freshness, late rate and drift summary in one row."""
+    return MON.pipeline_health(lake.bronze_events, lake.silver_events)
+
+
+_TABLES = {"bronze.bronze_events": "bronze_events", "silver.silver_events": "silver_events",
+           "silver.silver_events_quarantine": "silver_events_quarantine",
+           "bronze.bronze_billing": "bronze_billing", "silver.silver_billing": "silver_billing",
+           "silver.silver_billing_quarantine": "silver_billing_quarantine"}
+
+
+@register("table_counts", with_chain(_sql_union(
+    [f"SELECT '{k}' AS table_name, CAST(count(*) AS INTEGER) AS \"rows\" FROM {v}"
+     for k, v in _TABLES.items()])))
+def table_counts(lake: Lake) -> DataFrame:
+    """M2: row counts of the bronze, silver and quarantine tables."""
+    return MON.table_counts({
+        "bronze.bronze_events": lake.bronze_events, "silver.silver_events": lake.silver_events,
+        "silver.silver_events_quarantine": lake.events_quarantine,
+        "bronze.bronze_billing": lake.bronze_billing, "silver.silver_billing": lake.silver_billing,
+        "silver.silver_billing_quarantine": lake.billing_quarantine})
+
+
+@register("events_daily_range", with_chain("SELECT * FROM m_events", _BOUNDS_CTE))
+def events_daily_range(lake: Lake) -> DataFrame:
+    """M3: daily events over the default (whole) date range with late %."""
+    return _events_range(lake)
+
+
+@register("date_bounds", with_chain("SELECT * FROM m_bounds", _BOUNDS_CTE))
+def date_bounds(lake: Lake) -> DataFrame:
+    """M4: min and max day over the three daily marts."""
+    return MON.date_bounds(lake.fct_events_daily, lake.fct_billing_daily,
+                           lake.fct_subscriptions_daily)
+
+
+@register("product_kpis", with_chain(
+    "SELECT count(DISTINCT date_day) AS days, CAST(sum(events) AS BIGINT) AS total_events,"
+    " CAST(round_even(avg(dau), 0) AS BIGINT) AS avg_dau,"
+    " round_even(avg(late_rate_pct), 2) AS avg_late_rate_pct FROM m_events", _BOUNDS_CTE))
+def product_kpis(lake: Lake) -> DataFrame:
+    """M5: KPI row over the date range."""
+    return MON.product_kpis(_events_range(lake))
+
+
+@register("billing_daily_range", with_chain("SELECT * FROM m_billing", _BOUNDS_CTE))
+def billing_daily_range(lake: Lake) -> DataFrame:
+    """M6: daily billing by plan over the default (whole) date range."""
+    return _billing_range(lake)
+
+
+@register("starts_by_plan_pivot", with_chain(_pivot_sql("m_billing", "starts", "sum", True),
+                                              _BOUNDS_CTE))
+def starts_by_plan_pivot(lake: Lake) -> DataFrame:
+    """M7: day x plan starts, missing cells 0."""
+    return MON.pivot_sum(_billing_range(lake), "starts")
+
+
+@register("new_paid_by_plan_pivot", with_chain(
+    _pivot_sql("m_billing", "new_paid_users", "sum", True), _BOUNDS_CTE))
+def new_paid_by_plan_pivot(lake: Lake) -> DataFrame:
+    """M8: day x plan new paid users, missing cells 0."""
+    return MON.pivot_sum(_billing_range(lake), "new_paid_users")
+
+
+@register("active_subs_daily", with_chain(
+    "SELECT date_day, count(*) AS users, count(*) FILTER (WHERE is_active) AS active_users"
+    " FROM fct_subscriptions_daily WHERE date_day BETWEEN (SELECT min_day FROM m_bounds)"
+    " AND (SELECT max_day FROM m_bounds) GROUP BY date_day", _BOUNDS_CTE))
+def active_subs_daily(lake: Lake) -> DataFrame:
+    """M9: users and active subscriptions per day over the date range."""
+    lo, hi = _lake_bounds(lake)
+    return MON.active_subs_daily(lake.fct_subscriptions_daily, lo, hi)
+
+
+@register("churn_rate_daily", with_chain(
+    "SELECT date_day, CAST(count(*) AS INTEGER) AS \"rows\","
+    " CAST(sum(churn_7d) AS INTEGER) AS churners,"
+    " round(100.0 * sum(churn_7d) / count(*), 2) AS churn_rate_pct"
+    " FROM gold_user_features_daily GROUP BY date_day"))
+def churn_rate_daily(lake: Lake) -> DataFrame:
+    """Daily churn %, 2 places."""
+    return MON.churn_rate_daily(lake.gold_user_features_daily)
+
+
+@register("churn_rate_overall", with_chain(
+    "SELECT date_day, count(*) AS \"rows\", CAST(sum(churn_7d) AS INTEGER) AS churners,"
+    " CAST(avg(churn_7d) AS DOUBLE) AS churn_rate FROM gold_user_features_daily GROUP BY date_day"))
+def churn_rate_overall(lake: Lake) -> DataFrame:
+    """Daily churn ratio, unrounded."""
+    return MON.churn_rate_overall(lake.gold_user_features_daily)
+
+
+@register("churn_rate_by_plan_pivot", with_chain(
+    _pivot_sql("gold_churn_by_plan_daily", "churn_rate_pct", "max", False)))
+def churn_rate_by_plan_pivot(lake: Lake) -> DataFrame:
+    """Day x plan churn %, missing cells null, duplicate cells an error."""
+    return MON.pivot_unique(lake.gold_churn_by_plan_daily, "churn_rate_pct")
+
+
+@register("users_by_plan_pivot", with_chain(
+    _pivot_sql("gold_churn_by_plan_daily", "users", "max", False)))
+def users_by_plan_pivot(lake: Lake) -> DataFrame:
+    """Day x plan users (all user-days of the plan)."""
+    return MON.pivot_unique(lake.gold_churn_by_plan_daily, "users")
+
+
+@register("drift_ui_variant_daily", with_chain(
+    f"SELECT CAST(event_ts AS DATE) AS date_day, avg(CASE WHEN {_HAS_KEY} THEN 1 ELSE 0 END) * 100.0"
+    " AS pct_ui_variant FROM silver_events GROUP BY 1"))
+def drift_ui_variant_daily(lake: Lake) -> DataFrame:
+    """Daily % of events whose props hold `ui_variant`."""
+    return MON.drift_key_share_daily(lake.silver_events)
+
+
+@register("late_rate_daily", with_chain(
+    "SELECT CAST(event_ts AS DATE) AS date_day, avg(CAST(is_late AS INTEGER)) * 100.0 AS late_rate_pct,"
+    " CAST(sum(CAST(is_late AS INTEGER)) AS INTEGER) AS late_events,"
+    " CAST(count(*) AS INTEGER) AS events FROM silver_events GROUP BY 1"))
+def late_rate_daily(lake: Lake) -> DataFrame:
+    """Daily late %, late events and events."""
+    return MON.late_rate_daily(lake.silver_events)
+
+
+@register("drift_key_daily", with_chain(
+    "SELECT p.date_day, p.key, p.rows_with_key, p.rows_with_key / d.day_events * 100.0 AS pct_with_key,"
+    " min(p.date_day) OVER (PARTITION BY p.key) AS first_day_with_key"
+    " FROM k_per_key p JOIN k_per_day d USING (date_day)",
+    """k_ev AS (SELECT CAST(event_ts AS DATE) AS date_day, json_keys(props) AS keys FROM silver_events),
+k_per_day AS (SELECT date_day, count(*) AS day_events FROM k_ev GROUP BY 1),
+k_per_key AS (SELECT date_day, k AS key, count(*) AS rows_with_key
+  FROM (SELECT date_day, unnest(list_distinct(keys)) AS k FROM k_ev) GROUP BY 1, 2)"""))
+def drift_key_daily(lake: Lake) -> DataFrame:
+    """Every top-level props key: daily rows, share and first day."""
+    return MON.drift_keys_daily(lake.silver_events)
