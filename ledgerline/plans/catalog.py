@@ -475,3 +475,231 @@ k_per_key AS (SELECT date_day, k AS key, count(*) AS rows_with_key
 def drift_key_daily(lake: Lake) -> DataFrame:
     """Every top-level props key: daily rows, share and first day."""
     return MON.drift_keys_daily(lake.silver_events)
+
+
+# ---------------------------------------------------------------- churn model
+from ledgerline.plans import churn as C  # noqa: E402
+
+_CV = C.TemporalCVConfig()
+_D = "CAST({} AS DOUBLE)"
+_CHURN_CTES = f"""cv_t AS (
+  SELECT date_day, user_id, coalesce(plan_id, 'unknown') AS plan_id, events_7d, sessions_7d,
+    feature_use_7d, support_tickets_14d, late_rate_7d, CAST(churn_7d AS INTEGER) AS churn_7d
+  FROM gold_user_features_daily
+),
+cv_cut AS (SELECT max(date_day) - {_CV.label_horizon_days} AS cutoff FROM cv_t),
+cv_day AS (
+  SELECT date_day, count(*) AS rows_day, CAST(sum(churn_7d) AS BIGINT) AS pos_day FROM cv_t
+  WHERE date_day <= (SELECT cutoff FROM cv_cut) GROUP BY 1
+),
+cv_idx AS (
+  SELECT *, row_number() OVER (ORDER BY date_day) - 1 AS day_index,
+    coalesce(sum(rows_day) OVER (ORDER BY date_day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rows_train,
+    coalesce(sum(pos_day) OVER (ORDER BY date_day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS positives_train
+  FROM cv_day
+),
+cv_folds AS (
+  SELECT CAST(day_index - {_CV.min_train_days} AS INTEGER) AS fold, date_day AS test_day,
+    CAST(rows_train AS BIGINT) AS rows_train, CAST(positives_train AS BIGINT) AS positives_train,
+    CAST(rows_day AS BIGINT) AS rows_test, CAST(pos_day AS BIGINT) AS positives_test,
+    pos_day = 0 AS skipped
+  FROM cv_idx WHERE day_index >= {_CV.min_train_days}
+),
+cv_scored AS (
+  SELECT f.fold, t.churn_7d AS label,
+    t.support_tickets_14d * {_D.format(1.0)} + t.late_rate_7d - t.events_7d * {_D.format(0.1)}
+      - t.feature_use_7d * {_D.format(0.2)} - t.sessions_7d * {_D.format(0.05)}
+      + CASE WHEN t.plan_id = 'free' THEN {_D.format(0.5)} ELSE {_D.format(0.0)} END AS score
+  FROM cv_t t JOIN cv_folds f ON t.date_day = f.test_day WHERE NOT f.skipped
+),
+cv_auc AS (
+  SELECT p.fold, CAST(sum(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0.0 END) AS DOUBLE)
+    / CAST(count(*) AS DOUBLE) AS roc_auc
+  FROM cv_scored p JOIN cv_scored n ON p.fold = n.fold AND p.label = 1 AND n.label = 0
+  GROUP BY p.fold
+),
+cv_ap_s AS (SELECT fold, score, count(*) AS n, sum(label) AS pos FROM cv_scored GROUP BY 1, 2),
+cv_ap_c AS (
+  SELECT fold, pos,
+    sum(pos) OVER (PARTITION BY fold ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+    sum(n) OVER (PARTITION BY fold ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen,
+    sum(pos) OVER (PARTITION BY fold) AS n_pos
+  FROM cv_ap_s
+),
+cv_ap AS (
+  SELECT fold, CASE WHEN max(n_pos) > 0 THEN
+    sum(CAST(pos AS DOUBLE) / CAST(n_pos AS DOUBLE) * (CAST(tp AS DOUBLE) / CAST(seen AS DOUBLE))) END AS ap
+  FROM cv_ap_c GROUP BY fold
+),
+cv_table AS (
+  SELECT f.fold, f.test_day, f.rows_test, f.positives_test, f.skipped,
+    round(a.ap, {C.METRIC_PLACES}) AS pr_auc, round(r.roc_auc, {C.METRIC_PLACES}) AS roc_auc
+  FROM cv_folds f LEFT JOIN cv_ap a ON a.fold = f.fold LEFT JOIN cv_auc r ON r.fold = f.fold
+)"""
+
+
+def _frame(lake: Lake) -> DataFrame:
+    return C.training_frame(lake.gold_user_features_daily)
+
+
+@register("training_frame", with_chain("SELECT * FROM cv_t", _CHURN_CTES))
+def training_frame(lake: Lake) -> DataFrame:
+    """Model frame (9 columns of the gold features)."""
+    return _frame(lake)
+
+
+@register("frame_profile", with_chain(
+    "SELECT count(*) AS n_rows, 9 AS n_cols, min(date_day) AS min_day, max(date_day) AS max_day,"
+    " count(*) FILTER (WHERE churn_7d = 0) AS n_churn_0, count(*) FILTER (WHERE churn_7d = 1) AS n_churn_1, "
+    + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS nulls_{c}" for c in
+                ["date_day", "user_id", "plan_id", *C.NUMERIC_FEATURES, "churn_7d"])
+    + " FROM cv_t", _CHURN_CTES))
+def frame_profile(lake: Lake) -> DataFrame:
+    """Shape, date range, class counts, nulls per column."""
+    return C.frame_profile(_frame(lake))
+
+
+@register("eligible_days", with_chain(
+    "SELECT date_day, (SELECT cutoff FROM cv_cut) AS cutoff_day, day_index FROM cv_idx", _CHURN_CTES))
+def eligible_days(lake: Lake) -> DataFrame:
+    """Label-safe days (max day - 7 and before) with their index."""
+    return C.eligible_days(_frame(lake)).withColumn("day_index", F.col("day_index").cast("long"))
+
+
+@register("cv_folds", with_chain(
+    "SELECT fold, test_day, rows_train, positives_train, rows_test, positives_test FROM cv_folds",
+    _CHURN_CTES))
+def cv_folds(lake: Lake) -> DataFrame:
+    """C4: walk-forward folds with train/test rows and positives."""
+    return C.cv_folds(_frame(lake)).drop("skipped")
+
+
+@register("fold_skip", with_chain(
+    "SELECT fold, test_day, rows_test, positives_test, skipped FROM cv_folds", _CHURN_CTES))
+def fold_skip(lake: Lake) -> DataFrame:
+    """Folds without test positives are recorded as skipped."""
+    return C.cv_folds(_frame(lake)).select("fold", "test_day", "rows_test", "positives_test",
+                                           "skipped")
+
+
+@register("class_weights", with_chain(
+    "SELECT churn_7d, count(*) AS n_class, CAST((SELECT count(*) FROM cv_t WHERE date_day <= (SELECT cutoff FROM cv_cut)) AS DOUBLE)"
+    " / (CAST(2.0 AS DOUBLE) * CAST(count(*) AS DOUBLE)) AS weight FROM cv_t"
+    " WHERE date_day <= (SELECT cutoff FROM cv_cut) GROUP BY churn_7d", _CHURN_CTES))
+def class_weights(lake: Lake) -> DataFrame:
+    """Balanced class weights of the final-fit rows."""
+    frame = _frame(lake)
+    return C.class_weights(frame.where(F.col("date_day") <= C.cutoff_day(frame)))
+
+
+@register("fold_roc_auc", with_chain(
+    "SELECT fold, test_day, roc_auc FROM cv_table", _CHURN_CTES))
+def fold_roc_auc(lake: Lake) -> DataFrame:
+    """Exact ROC-AUC per fold of the rule score (rank-sum, tied ranks averaged)."""
+    return C.rule_fold_table(_frame(lake)).select("fold", "test_day", "roc_auc")
+
+
+@register("fold_average_precision", with_chain(
+    "SELECT fold, test_day, pr_auc FROM cv_table", _CHURN_CTES))
+def fold_average_precision(lake: Lake) -> DataFrame:
+    """Step-wise average precision per fold of the rule score."""
+    return C.rule_fold_table(_frame(lake)).select("fold", "test_day", "pr_auc")
+
+
+_R = C.METRIC_PLACES
+
+
+@register("cv_summary", with_chain(
+    f"SELECT {_CV.label_horizon_days} AS label_horizon_days, {_CV.min_train_days} AS min_train_days,"
+    " (SELECT cutoff FROM cv_cut) AS cutoff_day_inclusive,"
+    " (SELECT count(DISTINCT date_day) FROM cv_t) AS days_total,"
+    " (SELECT count(DISTINCT date_day) FROM cv_t WHERE date_day <= (SELECT cutoff FROM cv_cut)) AS days_eligible_after_censor,"
+    " (SELECT count(*) FROM cv_t) AS rows_total,"
+    " (SELECT CAST(sum(churn_7d) AS BIGINT) FROM cv_t) AS positives_total,"
+    " count(*) AS folds_total, count(*) FILTER (WHERE NOT skipped) AS folds_used,"
+    " count(*) FILTER (WHERE skipped) AS folds_skipped_no_test_positives,"
+    f" round(avg(pr_auc) FILTER (WHERE NOT skipped), {_R}) AS pr_auc_mean,"
+    f" round(stddev_samp(pr_auc) FILTER (WHERE NOT skipped), {_R}) AS pr_auc_std,"
+    f" round(avg(roc_auc) FILTER (WHERE NOT skipped), {_R}) AS roc_auc_mean,"
+    f" round(stddev_samp(roc_auc) FILTER (WHERE NOT skipped), {_R}) AS roc_auc_std"
+    " FROM cv_table", _CHURN_CTES))
+def cv_summary(lake: Lake) -> DataFrame:
+    """C12 (a): 14-field CV summary (ddof 1) of the rule-score folds."""
+    frame = _frame(lake)
+    return C.cv_summary(C.rule_fold_table(frame), frame)
+
+
+@register("cv_summary_pop", with_chain(
+    "SELECT count(*) AS n_folds_total, count(*) FILTER (WHERE skipped) AS n_folds_skipped,"
+    f" round(avg(pr_auc) FILTER (WHERE NOT skipped), {_R}) AS pr_auc_mean,"
+    f" round(stddev_pop(pr_auc) FILTER (WHERE NOT skipped), {_R}) AS pr_auc_std,"
+    f" round(avg(roc_auc) FILTER (WHERE NOT skipped), {_R}) AS roc_auc_mean,"
+    f" round(stddev_pop(roc_auc) FILTER (WHERE NOT skipped), {_R}) AS roc_auc_std"
+    " FROM cv_table", _CHURN_CTES))
+def cv_summary_pop(lake: Lake) -> DataFrame:
+    """C12 (b): 6-field CV summary (ddof 0) of the rule-score folds."""
+    return C.cv_summary_pop(C.rule_fold_table(_frame(lake)))
+
+
+@register("final_fit_stats", with_chain(
+    "SELECT count(*) AS rows_fit, CAST(sum(churn_7d) AS BIGINT) AS positives_fit,"
+    " CAST(avg(churn_7d) AS DOUBLE) AS churn_rate_fit FROM cv_t"
+    " WHERE date_day <= (SELECT cutoff FROM cv_cut)", _CHURN_CTES))
+def final_fit_stats(lake: Lake) -> DataFrame:
+    """C14: rows, positives and churn rate of the final fit."""
+    return C.final_fit_stats(_frame(lake))
+
+
+@register("fold_metric_trend", with_chain(
+    "SELECT test_day, positives_test, skipped,"
+    " CASE WHEN skipped THEN 0.0 ELSE pr_auc END AS pr_auc_marked,"
+    " CASE WHEN skipped THEN 0.0 ELSE roc_auc END AS roc_auc_marked FROM cv_table", _CHURN_CTES))
+def fold_metric_trend(lake: Lake) -> DataFrame:
+    """Fold metrics by day, skipped folds marked at 0."""
+    return C.fold_metric_trend(C.rule_fold_table(_frame(lake)))
+
+
+@register("fold_rolling_7d", with_chain(
+    f"SELECT test_day, round(avg(pr_auc) OVER w, {_R}) AS pr_auc_rolling_7d,"
+    f" round(avg(roc_auc) OVER w, {_R}) AS roc_auc_rolling_7d FROM cv_table WHERE NOT skipped"
+    " WINDOW w AS (ORDER BY test_day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)",
+    _CHURN_CTES))
+def fold_rolling_7d(lake: Lake) -> DataFrame:
+    """7-calendar-day trailing mean of the scored folds' metrics."""
+    return C.fold_rolling_7d(C.rule_fold_table(_frame(lake)))
+
+
+@register("feature_pipeline")
+def feature_pipeline(lake: Lake) -> DataFrame:
+    """Preprocessing fitted on the final-fit rows (0-impute, population
+    standardisation, one-hot plan) applied to every row of the frame."""
+    frame = _frame(lake)
+    pre, _ = C.fit_preprocessor(frame.where(F.col("date_day") <= C.cutoff_day(frame)))
+    return frame.select("date_day", "user_id", *pre.columns())
+
+
+@register("churn_model")
+def churn_model(lake: Lake) -> DataFrame:
+    """Balanced L2 logistic regression fitted on the eligible days;
+    churn probability of every row."""
+    frame = _frame(lake)
+    pre, model = C.fit_model(frame.where(F.col("date_day") <= C.cutoff_day(frame)))
+    return C.score(pre, model, frame, ["date_day", "user_id", "churn_7d"])
+
+
+@register("cv_run")
+def cv_run(lake: Lake) -> DataFrame:
+    """C11: walk-forward CV of the model, every fold; fold table with metrics."""
+    return C.cv_run(_frame(lake))
+
+
+@register("model_coefficients")
+def model_coefficients(lake: Lake) -> DataFrame:
+    """Coefficients of the final fit, descending."""
+    return C.model_coefficients(_frame(lake))
+
+
+@register("scored_users_daily")
+def scored_users_daily(lake: Lake) -> DataFrame:
+    """Daily score distribution of the final model."""
+    return C.scored_users_daily(_frame(lake))
