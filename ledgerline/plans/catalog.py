@@ -682,7 +682,7 @@ def feature_pipeline(lake: Lake) -> DataFrame:
 def churn_model(lake: Lake) -> DataFrame:
     """Balanced L2 logistic regression fitted on the eligible days;
     churn probability of every row."""
-    frame = _frame(lake)
+    frame = C.stable_frame(_frame(lake))
     pre, model = C.fit_model(frame.where(F.col("date_day") <= C.cutoff_day(frame)))
     return C.score(pre, model, frame, ["date_day", "user_id", "churn_7d"])
 
