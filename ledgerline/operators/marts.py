@@ -150,13 +150,16 @@ def trailing_activity(stg_events: DataFrame) -> DataFrame:
 
 
 def gold_user_features_daily(subs: DataFrame, stg_events: DataFrame,
-                             horizon: int = LABEL_HORIZON_DAYS) -> DataFrame:
+                             horizon: int = LABEL_HORIZON_DAYS,
+                             last_day=None) -> DataFrame:
     """F5 (day, user) over F3's grid, last ``horizon`` days removed.
 
     Trailing counts (0 when none), late share of the 7-day events (0.0 when no
     events), active flag, plan (null or 'unknown' -> 'free') and the label.
+    ``last_day`` is F3's last day; pass the last billing day (the spine end,
+    equal by construction) to avoid a separate pass over F3 for it.
     """
-    hi = subs.select(F.max("date_day")).scalar()
+    hi = last_day if last_day is not None else subs.select(F.max("date_day")).scalar()
     grid = with_churn_label(subs, horizon).where(F.col("date_day") <= F.date_sub(hi, horizon))
     t = trailing_activity(stg_events)
     j = grid.join(t, ["user_id", "date_day"], "left")

@@ -542,6 +542,12 @@ def _frame(lake: Lake) -> DataFrame:
     return C.training_frame(lake.gold_user_features_daily)
 
 
+def _stable_frame(lake: Lake) -> DataFrame:
+    """The model frame written once to the shared checkpoint folder: the CV
+    operators read it several times (scalars, folds, scores)."""
+    return C.stable_frame(_frame(lake))
+
+
 @register("training_frame", with_chain("SELECT * FROM cv_t", _CHURN_CTES))
 def training_frame(lake: Lake) -> DataFrame:
     """Model frame (9 columns of the gold features)."""
@@ -563,7 +569,7 @@ def frame_profile(lake: Lake) -> DataFrame:
     "SELECT date_day, (SELECT cutoff FROM cv_cut) AS cutoff_day, day_index FROM cv_idx", _CHURN_CTES))
 def eligible_days(lake: Lake) -> DataFrame:
     """Label-safe days (max day - 7 and before) with their index."""
-    return C.eligible_days(_frame(lake)).withColumn("day_index", F.col("day_index").cast("long"))
+    return C.eligible_days(_stable_frame(lake)).withColumn("day_index", F.col("day_index").cast("long"))
 
 
 @register("cv_folds", with_chain(
@@ -571,14 +577,14 @@ def eligible_days(lake: Lake) -> DataFrame:
     _CHURN_CTES))
 def cv_folds(lake: Lake) -> DataFrame:
     """C4: walk-forward folds with train/test rows and positives."""
-    return C.cv_folds(_frame(lake)).drop("skipped")
+    return C.cv_folds(_stable_frame(lake)).drop("skipped")
 
 
 @register("fold_skip", with_chain(
     "SELECT fold, test_day, rows_test, positives_test, skipped FROM cv_folds", _CHURN_CTES))
 def fold_skip(lake: Lake) -> DataFrame:
     """Folds without test positives are recorded as skipped."""
-    return C.cv_folds(_frame(lake)).select("fold", "test_day", "rows_test", "positives_test",
+    return C.cv_folds(_stable_frame(lake)).select("fold", "test_day", "rows_test", "positives_test",
                                            "skipped")
 
 
@@ -588,7 +594,7 @@ def fold_skip(lake: Lake) -> DataFrame:
     " WHERE date_day <= (SELECT cutoff FROM cv_cut) GROUP BY churn_7d", _CHURN_CTES))
 def class_weights(lake: Lake) -> DataFrame:
     """Balanced class weights of the final-fit rows."""
-    frame = _frame(lake)
+    frame = _stable_frame(lake)
     return C.class_weights(frame.where(F.col("date_day") <= C.cutoff_day(frame)))
 
 
@@ -596,14 +602,14 @@ def class_weights(lake: Lake) -> DataFrame:
     "SELECT fold, test_day, roc_auc FROM cv_table", _CHURN_CTES))
 def fold_roc_auc(lake: Lake) -> DataFrame:
     """Exact ROC-AUC per fold of the rule score (rank-sum, tied ranks averaged)."""
-    return C.rule_fold_table(_frame(lake)).select("fold", "test_day", "roc_auc")
+    return C.rule_fold_table(_stable_frame(lake)).select("fold", "test_day", "roc_auc")
 
 
 @register("fold_average_precision", with_chain(
     "SELECT fold, test_day, pr_auc FROM cv_table", _CHURN_CTES))
 def fold_average_precision(lake: Lake) -> DataFrame:
     """Step-wise average precision per fold of the rule score."""
-    return C.rule_fold_table(_frame(lake)).select("fold", "test_day", "pr_auc")
+    return C.rule_fold_table(_stable_frame(lake)).select("fold", "test_day", "pr_auc")
 
 
 _R = C.METRIC_PLACES
@@ -625,7 +631,7 @@ _R = C.METRIC_PLACES
     " FROM cv_table", _CHURN_CTES))
 def cv_summary(lake: Lake) -> DataFrame:
     """C12 (a): 14-field CV summary (ddof 1) of the rule-score folds."""
-    frame = _frame(lake)
+    frame = _stable_frame(lake)
     return C.cv_summary(C.rule_fold_table(frame), frame)
 
 
@@ -638,7 +644,7 @@ def cv_summary(lake: Lake) -> DataFrame:
     " FROM cv_table", _CHURN_CTES))
 def cv_summary_pop(lake: Lake) -> DataFrame:
     """C12 (b): 6-field CV summary (ddof 0) of the rule-score folds."""
-    return C.cv_summary_pop(C.rule_fold_table(_frame(lake)))
+    return C.cv_summary_pop(C.rule_fold_table(_stable_frame(lake)))
 
 
 @register("final_fit_stats", with_chain(
@@ -647,7 +653,7 @@ def cv_summary_pop(lake: Lake) -> DataFrame:
     " WHERE date_day <= (SELECT cutoff FROM cv_cut)", _CHURN_CTES))
 def final_fit_stats(lake: Lake) -> DataFrame:
     """C14: rows, positives and churn rate of the final fit."""
-    return C.final_fit_stats(_frame(lake))
+    return C.final_fit_stats(_stable_frame(lake))
 
 
 @register("fold_metric_trend", with_chain(
@@ -656,7 +662,7 @@ def final_fit_stats(lake: Lake) -> DataFrame:
     " CASE WHEN skipped THEN 0.0 ELSE roc_auc END AS roc_auc_marked FROM cv_table", _CHURN_CTES))
 def fold_metric_trend(lake: Lake) -> DataFrame:
     """Fold metrics by day, skipped folds marked at 0."""
-    return C.fold_metric_trend(C.rule_fold_table(_frame(lake)))
+    return C.fold_metric_trend(C.rule_fold_table(_stable_frame(lake)))
 
 
 @register("fold_rolling_7d", with_chain(
@@ -666,14 +672,14 @@ def fold_metric_trend(lake: Lake) -> DataFrame:
     _CHURN_CTES))
 def fold_rolling_7d(lake: Lake) -> DataFrame:
     """7-calendar-day trailing mean of the scored folds' metrics."""
-    return C.fold_rolling_7d(C.rule_fold_table(_frame(lake)))
+    return C.fold_rolling_7d(C.rule_fold_table(_stable_frame(lake)))
 
 
 @register("feature_pipeline")
 def feature_pipeline(lake: Lake) -> DataFrame:
     """Preprocessing fitted on the final-fit rows (0-impute, population
     standardisation, one-hot plan) applied to every row of the frame."""
-    frame = _frame(lake)
+    frame = _stable_frame(lake)
     pre, _ = C.fit_preprocessor(frame.where(F.col("date_day") <= C.cutoff_day(frame)))
     return frame.select("date_day", "user_id", *pre.columns())
 

@@ -112,7 +112,9 @@ class Lake:
 
     @cached_property
     def gold_user_features_daily(self) -> DataFrame:
-        return M.gold_user_features_daily(self.fct_subscriptions_daily, self.stg_events)
+        _, last_day = M.billing_bounds(self.stg_billing)
+        return M.gold_user_features_daily(self.fct_subscriptions_daily, self.stg_events,
+                                          last_day=last_day)
 
     @cached_property
     def gold_churn_by_plan_daily(self) -> DataFrame:

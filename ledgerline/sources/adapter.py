@@ -95,7 +95,7 @@ def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = base.where(F.col("n") % 50 == 0).select(
         F.concat(F.lit("events/"), day, F.lit("_redelivery.jsonl")).alias("source_file"),
         line(later).alias("value"))
-    return first.drop("_c").unionByName(second)
+    return _as_files(first.drop("_c").unionByName(second))
 
 
 def raw_billing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,4 +114,13 @@ def raw_billing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(_map(F.col("o_orderstatus"), EVENT_STATUS)).alias("event"),
         _map(F.col("o_orderpriority"), PLAN_BY_PRIORITY).alias("plan_id"),
         F.explode(F.array_repeat(F.lit(1), F.when(k % 103 == 0, 2).otherwise(1))).alias("_c"))
-    return rows.drop("_c")
+    return _as_files(rows.drop("_c"))
+
+
+def _as_files(df: DataFrame) -> DataFrame:
+    """Lay the feed out like a folder of daily files: the rows of one source
+    file stay together and the files spread over the cluster's cores, as a
+    file scan of a real feed folder would give (the driver tables are single
+    small files, which would otherwise scan as one partition)."""
+    n = max(2, df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(n, "source_file")

@@ -37,8 +37,13 @@ SILVER_BUCKETS = 64
 LATE_TOLERANCE = "6 hours"
 
 
-def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Raw ``(source_file, value)`` lines landed as Parquet files."""
+def landing_stream(spark: SparkSession, path: str,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """Raw ``(source_file, value)`` lines landed as Parquet files.  A
+    micro-batch takes at most ``max_files_per_trigger`` new files (default:
+    one per core of the cluster)."""
+    if max_files_per_trigger is None:
+        max_files_per_trigger = max(1, spark.sparkContext.defaultParallelism)
     return (spark.readStream.schema(RAW_LINE_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
 
