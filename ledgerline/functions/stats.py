@@ -49,8 +49,10 @@ def average_precision(scored: DataFrame, group: str, score: str = "score",
            .withColumn("tp", F.sum("pos").over(w))
            .withColumn("seen", F.sum("n").over(w))
            .withColumn("n_pos", F.sum("pos").over(Window.partitionBy(group))))
+    step = F.when(F.col("n_pos") > 0,
+                  F.col("pos") / F.col("n_pos") * (F.col("tp") / F.col("seen")))
     agg = cum.groupBy(group).agg(
-        F.sum(F.col("pos") / F.col("n_pos") * (F.col("tp") / F.col("seen"))).alias("ap"),
+        F.sum(step).alias("ap"),
         F.max("n_pos").alias("n_pos"))
     return agg.select(group, F.when(F.col("n_pos") > 0, F.col("ap")).cast("double")
                       .alias("average_precision"))
