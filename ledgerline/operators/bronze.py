@@ -107,11 +107,19 @@ def billing_row_hash() -> Column:
 
 def append_new(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """B4 core: rows of ``batch`` whose hash is neither repeated earlier in the
-    batch nor present in ``existing``.  The result is what gets appended."""
+    batch nor present in ``existing``.  The result is what gets appended.
+
+    The hash covers the source file, so a batch row can only match stored rows
+    of the same file: the check reads just those files' rows (a semi join on
+    ``source_file``, which prunes partitions of a bronze table partitioned by
+    file) and anti-joins on (source_file, row_hash), instead of shuffling the
+    whole table on every load."""
     fresh = batch.dropDuplicates(["row_hash"])
     if existing is None:
         return fresh
-    return fresh.join(existing.select("row_hash"), on="row_hash", how="left_anti") \
+    files = fresh.select("source_file").distinct()
+    stored = existing.select("source_file", "row_hash").join(files, "source_file", "left_semi")
+    return fresh.join(stored, on=["source_file", "row_hash"], how="left_anti") \
         .select(*batch.columns)
 
 

@@ -88,7 +88,9 @@ class BronzeSilverSink:
         # materialise once: later steps must not re-evaluate the anti join
         # against a bronze table that already holds these rows
         new = new.checkpoint(eager=True)
-        new.write.mode("append").parquet(self.bronze_path)
+        # bronze is partitioned by source file: the next batch's repeat check
+        # reads only the partitions of its own files
+        new.write.mode("append").partitionBy("source_file").parquet(self.bronze_path)
         S.events_quarantine(new).write.mode("append").parquet(self.quarantine_path)
         self.upsert_silver(spark, S.valid_events(new))
 
