@@ -8,7 +8,7 @@ shuffle) and anti-joined against the existing table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.json import canonical_json, props_or_empty
@@ -156,13 +156,12 @@ def load_report(parsed: DataFrame, existing: DataFrame | None = None) -> DataFra
 
 def limit_files(lines: DataFrame, limit: int) -> DataFrame:
     """B1 "first N files": keep the lines of the first ``limit`` source files by
-    name (0 = all).  Ranks the distinct file names only (one row per file)."""
+    name (0 = all).  The first names are a distributed top-k over the distinct
+    file names; the semi join is planned by AQE from the runtime size."""
     if not limit or limit <= 0:
         return lines
-    files = lines.select("source_file").distinct()
-    ranked = files.withColumn("_rank", F.dense_rank().over(Window.orderBy("source_file")))
-    keep = ranked.where(F.col("_rank") <= limit).select("source_file")
-    return lines.join(F.broadcast(keep), "source_file", "left_semi")
+    keep = lines.select("source_file").distinct().orderBy("source_file").limit(limit)
+    return lines.join(keep, "source_file", "left_semi")
 
 
 def scan_lines(lines: DataFrame) -> DataFrame:

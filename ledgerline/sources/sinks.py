@@ -3,6 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+FOLD_REPORT_SCHEMA = T.StructType([
+    T.StructField("fold", T.IntegerType()),
+    T.StructField("test_day", T.DateType()),
+    T.StructField("rows_test", T.LongType()),
+    T.StructField("positives_test", T.LongType()),
+    T.StructField("skipped", T.BooleanType()),
+    T.StructField("pr_auc", T.DoubleType()),
+    T.StructField("roc_auc", T.DoubleType()),
+])
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -32,3 +43,8 @@ def write_report_csv(df: DataFrame, path: str) -> None:
 
 def write_report_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_fold_report(spark: SparkSession, path: str) -> DataFrame:
+    """The fold CSV report read back with its explicit schema (no inference)."""
+    return spark.read.option("header", "true").schema(FOLD_REPORT_SCHEMA).csv(path)

@@ -181,6 +181,10 @@ def test_file_scans(spark, tmpdir_path):
                    ("events/2024-01-02.jsonl", '{"event_id":"b"}')]
     first = scan_jsonl(spark, ev, limit_files=1).select("source_file").distinct().collect()
     assert [r[0] for r in first] == ["events/2024-01-01.jsonl"]
+    lines = scan_jsonl(spark, ev)
+    assert [r[0] for r in B.limit_files(lines, 1).select("source_file").distinct().collect()] \
+        == ["events/2024-01-01.jsonl"]
+    assert B.limit_files(lines, 0).count() == 3
     with pytest.raises(NoInputFiles):
         scan_jsonl(spark, ev, glob="*.json")
     with pytest.raises(Exception):
