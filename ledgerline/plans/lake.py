@@ -130,3 +130,39 @@ class Lake:
         out = self.spark.read.parquet(path)
         self.__dict__[name] = out
         return out
+
+
+# Table layout of a built lake: partition columns chosen for pruning (days for
+# the time-filtered layers, the source file for bronze's repeat check).
+LAYOUT = {
+    "bronze_events": ["source_file"],
+    "bronze_billing": ["source_file"],
+    "silver_events": ["event_day"],
+    "events_quarantine": [],
+    "silver_billing": ["billing_date"],
+    "billing_quarantine": [],
+    "fct_events_daily": [],
+    "fct_billing_daily": [],
+    "fct_subscriptions_daily": ["date_day"],
+    "gold_churn_labels_daily": ["date_day"],
+    "gold_user_features_daily": ["date_day"],
+    "gold_churn_by_plan_daily": [],
+}
+
+
+def build(lake: Lake, base: str, tables: list[str] | None = None) -> dict[str, str]:
+    """Write the layers of ``lake`` as Parquet tables under ``base`` (full
+    refresh per table; quarantine before silver) and return their paths."""
+    from pyspark.sql import functions as F
+    out = {}
+    for name in tables or list(LAYOUT):
+        df = getattr(lake, name)
+        if name == "silver_events":
+            df = df.withColumn("event_day", F.to_date("event_ts"))
+        path = f"{base}/{name}"
+        w = df.write.mode("overwrite")
+        if LAYOUT[name]:
+            w = w.partitionBy(*LAYOUT[name])
+        w.parquet(path)
+        out[name] = path
+    return out

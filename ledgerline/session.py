@@ -29,6 +29,29 @@ def get_spark(master: str | None = None, app: str = "ledgerline",
     return spark
 
 
+# Settings for the production scale (~100 TB, ~1000 executors).  Shuffle
+# partitions start high and AQE coalesces them to ~256 MB; scan splits are
+# 256 MB; skewed partitions of sort-merge joins are split by AQE; a join side
+# is broadcast only when its runtime size is under 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.session.timeZone": UTC,
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """Apply :data:`CLUSTER_CONF` (runtime SQL settings) to a session."""
+    for k, v in CLUSTER_CONF.items():
+        spark.conf.set(k, v)
+
+
 def use_utc(spark: SparkSession) -> None:
     """Days are UTC days.  Set at the start of every query: the caller owns the session."""
     spark.conf.set("spark.sql.session.timeZone", UTC)

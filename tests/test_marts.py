@@ -1,6 +1,7 @@
 """Marts on hand-made timelines (FIXTURES.md 5)."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,14 @@ def test_events_daily(spark):
     got = {r["date_day"]: (r["events"], r["dau"], r["late_events"])
            for r in M.fct_events_daily(ev).collect()}
     assert got == {day(1): (3, 1, 1), day(2): (1, 1, 0)}
+
+
+def test_build_writes_partitioned_layers(spark, tmpdir_path):
+    from conftest import SF_SMALL
+    from ledgerline.plans.lake import Lake, build
+    lake = Lake(spark, SF_SMALL)
+    paths = build(lake, tmpdir_path, ["events_quarantine", "silver_events", "fct_subscriptions_daily"])
+    silver = spark.read.parquet(paths["silver_events"])
+    assert silver.count() == lake.silver_events.count()
+    assert "event_day" in silver.columns
+    assert any(d.startswith("date_day=") for d in os.listdir(paths["fct_subscriptions_daily"]))
