@@ -59,12 +59,20 @@ def billing_bounds(stg_billing: DataFrame):
     return lo, hi
 
 
-def subscription_changes(stg_billing: DataFrame) -> DataFrame:
+def billing_bounds_literal(stg_billing: DataFrame):
+    """(first, last) billing day evaluated once (one small aggregate job) and
+    returned as literals: later plans skip the subquery jobs, and filters on
+    day columns can prune date partitions statically."""
+    row = stg_billing.agg(F.min("billing_date"), F.max("billing_date")).first()
+    return F.lit(row[0]).cast("date"), F.lit(row[1]).cast("date")
+
+
+def subscription_changes(stg_billing: DataFrame, bounds=None) -> DataFrame:
     """Per (user, day) reduction of billing: last start/upgrade plan of the day
     (upgrade beats start, then the higher plan id), whether a start/upgrade and
     whether a cancel happened.  Every user also gets a row on the first billing
     day, so each user's timeline starts at the spine start."""
-    lo, _ = billing_bounds(stg_billing)
+    lo, _ = bounds if bounds is not None else billing_bounds(stg_billing)
     ev = F.col("billing_event")
     is_su = ev.isin(START_EVENTS)
     fact = F.struct(F.col("billing_date").alias("day"),
@@ -79,15 +87,17 @@ def subscription_changes(stg_billing: DataFrame) -> DataFrame:
             .agg(F.max("r.su").alias("su"), F.max("r.cancel").alias("cancel")))
 
 
-def fct_subscriptions_daily(stg_billing: DataFrame) -> DataFrame:
+def fct_subscriptions_daily(stg_billing: DataFrame, bounds=None) -> DataFrame:
     """F3 (day, user) over the spine first..last billing day x every billed user.
 
     Active iff the user has a start/upgrade on or before the day and no cancel
     on or after the latest one (a same-day cancel wins); plan is the latest
-    start/upgrade's plan when active, else null.
+    start/upgrade's plan when active, else null.  ``bounds`` = (first, last)
+    billing day columns (default: scalar subqueries).
     """
-    _, hi = billing_bounds(stg_billing)
-    ch = subscription_changes(stg_billing)
+    bounds = bounds if bounds is not None else billing_bounds(stg_billing)
+    _, hi = bounds
+    ch = subscription_changes(stg_billing, bounds)
     by_user = Window.partitionBy("user_id").orderBy("day")
     running = by_user.rowsBetween(Window.unboundedPreceding, 0)
     su_day = F.when(F.col("su").isNotNull(), F.col("day"))

@@ -72,7 +72,7 @@ def bronze_events_row_hash(lake: Lake) -> DataFrame:
 def bronze_events_load(lake: Lake) -> DataFrame:
     """A first load of the daily files, then a re-run over all files
     (overlapping): the bronze table holds each hash once."""
-    lines = B.scan_lines(lake.raw_event_lines)
+    lines = lake.raw_event_lines
     first = B.load_bronze_events(lines.where(~F.col("source_file").like("%_redelivery.jsonl")),
                                  None, lake.ingestion_ts)
     second = B.load_bronze_events(lines, first, lake.ingestion_ts)
@@ -721,7 +721,7 @@ def _landed(lake: Lake, name: str) -> tuple[str, str]:
     spark = lake.spark
     base = STR.scratch_base(spark, name)
     landing = f"{base}/landing"
-    lines = B.scan_lines(lake.raw_event_lines)
+    lines = lake.raw_event_lines
     redelivery = F.col("source_file").like("%_redelivery.jsonl")
     STR.land(lines.where(~redelivery), landing)
     STR.land(lines.where(redelivery), landing)

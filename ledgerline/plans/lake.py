@@ -52,7 +52,8 @@ class Lake:
     # ---- bronze ----------------------------------------------------------
     @cached_property
     def parsed_events(self) -> DataFrame:
-        return B.parse_event_lines(B.scan_lines(self.raw_event_lines), self.ingestion_ts)
+        # raw lines come from a scan (B1), which has already dropped blank lines
+        return B.parse_event_lines(self.raw_event_lines, self.ingestion_ts)
 
     @cached_property
     def bronze_events(self) -> DataFrame:
@@ -102,9 +103,14 @@ class Lake:
     def fct_billing_daily(self) -> DataFrame:
         return M.fct_billing_daily(self.stg_billing)
 
+    @cached_property
+    def billing_bounds(self):
+        """First and last billing day, evaluated once per lake."""
+        return M.billing_bounds_literal(self.stg_billing)
+
     @cached_property
     def fct_subscriptions_daily(self) -> DataFrame:
-        return M.fct_subscriptions_daily(self.stg_billing)
+        return M.fct_subscriptions_daily(self.stg_billing, self.billing_bounds)
 
     @cached_property
     def gold_churn_labels_daily(self) -> DataFrame:
@@ -112,7 +118,7 @@ class Lake:
 
     @cached_property
     def gold_user_features_daily(self) -> DataFrame:
-        _, last_day = M.billing_bounds(self.stg_billing)
+        _, last_day = self.billing_bounds
         return M.gold_user_features_daily(self.fct_subscriptions_daily, self.stg_events,
                                           last_day=last_day)
 
