@@ -66,3 +66,17 @@ def test_events_range_and_kpis(spark):
     k = MON.product_kpis(MON.events_daily_range(df, F.lit(D), F.lit(D + dt.timedelta(2)))).first()
     # mean DAU 7/3 -> 2; mean late % (10 + 0 + 100) / 3 = 36.666.. -> 36.67
     assert (k["days"], k["total_events"], k["avg_dau"], k["avg_late_rate_pct"]) == (3, 15, 2, 36.67)
+
+
+def test_views_and_bound_parameters(spark):
+    from conftest import SF_SMALL
+    from ledgerline.plans import views
+    from ledgerline.plans.lake import Lake
+    lake = Lake(spark, SF_SMALL)
+    views.register_views(lake, ["fct_events_daily", "fct_billing_daily"])
+    got = views.query(spark, views.EVENTS_DAILY_BETWEEN, start=dt.date(2024, 1, 3), end=dt.date(2024, 1, 5))
+    assert sorted(r["date_day"].day for r in got.collect()) == [3, 4, 5]
+    ref = MON.events_daily_range(lake.fct_events_daily, F.lit(dt.date(2024, 1, 3)), F.lit(dt.date(2024, 1, 5)))
+    assert sorted(got.collect()) == sorted(ref.collect())
+    b = views.query(spark, views.BILLING_DAILY_BETWEEN, start=dt.date(2024, 1, 1), end=dt.date(2024, 1, 1))
+    assert {r["date_day"] for r in b.collect()} == {dt.date(2024, 1, 1)}
