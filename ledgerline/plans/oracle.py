@@ -2,10 +2,12 @@
 
 Every oracle query starts with the same CTE chain: the stand-in raw input built
 from the driver's ``events`` / ``orders`` views (same mapping as
-``sources.adapter``), then bronze, silver, staging and the marts written the
-way the source system writes them (correlated as-of subqueries, a days x users
-join, a band self-join), so the Spark rewrites are checked against the literal
-forms.  DuckDB drops the CTEs a query does not use.
+``sources.adapter``), then bronze, silver, staging and the marts written as
+direct definitions, independent of the Spark algorithms: the subscription
+state as an as-of aggregation over a band join of every (day, user) with all
+earlier billing rows, the label as a NOT EXISTS look-ahead, the features as a
+14-day band join of the grid with the events.  DuckDB drops the CTEs a query
+does not use.
 """
 
 from __future__ import annotations
@@ -112,60 +114,55 @@ bronze_billing AS (
   SELECT DISTINCT billing_date, user_id, event, plan_id, source_file, ingestion_ts, row_hash
   FROM bl_parsed
 ),
+ev_flagged AS (
+  SELECT *, coalesce(
+      CASE WHEN event_id IS NULL THEN 'missing_event_id' END,
+      CASE WHEN event_ts IS NULL THEN 'missing_event_ts' END,
+      CASE WHEN received_ts IS NULL THEN 'missing_received_ts' END,
+      CASE WHEN event_type IS NULL THEN 'missing_event_type' END) AS failed
+  FROM bronze_events
+),
 silver_events_quarantine AS (
-  SELECT b.row_hash AS bronze_row_hash, b.source_file, b.ingestion_ts,
-    CASE WHEN b.event_id IS NULL THEN 'missing_event_id'
-         WHEN b.event_ts IS NULL THEN 'missing_event_ts'
-         WHEN b.received_ts IS NULL THEN 'missing_received_ts'
-         WHEN b.event_type IS NULL THEN 'missing_event_type'
-         ELSE 'unknown_invalid' END AS reason_code,
+  SELECT row_hash AS bronze_row_hash, source_file, ingestion_ts, failed AS reason_code,
     CAST(NULL AS VARCHAR) AS reason_detail,
-    CAST(json_object('event_id', b.event_id,
-      'event_ts', strftime(b.event_ts, {iso}), 'received_ts', strftime(b.received_ts, {iso}),
-      'user_id', b.user_id, 'device_id', b.device_id, 'session_id', b.session_id,
-      'event_type', b.event_type, 'props', json(b.props), 'source_file', b.source_file,
-      'ingestion_ts', strftime(b.ingestion_ts, {iso}), 'row_hash', b.row_hash) AS VARCHAR) AS raw_record
-  FROM bronze_events b
-  WHERE b.event_id IS NULL OR b.event_ts IS NULL OR b.received_ts IS NULL OR b.event_type IS NULL
-),
-ev_valid AS (
-  SELECT b.*,
-    CAST(round((epoch_us(b.received_ts) - epoch_us(b.event_ts)) / 1e6) AS INTEGER) AS lateness_sec_raw
-  FROM bronze_events b
-  WHERE b.event_id IS NOT NULL AND b.event_ts IS NOT NULL AND b.received_ts IS NOT NULL
-    AND b.event_type IS NOT NULL
+    CAST(json_object('event_id', event_id,
+      'event_ts', strftime(event_ts, {iso}), 'received_ts', strftime(received_ts, {iso}),
+      'user_id', user_id, 'device_id', device_id, 'session_id', session_id,
+      'event_type', event_type, 'props', json(props), 'source_file', source_file,
+      'ingestion_ts', strftime(ingestion_ts, {iso}), 'row_hash', row_hash) AS VARCHAR) AS raw_record
+  FROM ev_flagged WHERE failed IS NOT NULL
 ),
-ev_ranked AS (
-  SELECT v.*, row_number() OVER (PARTITION BY v.event_id
-    ORDER BY v.received_ts DESC, v.ingestion_ts DESC, v.row_hash ASC) AS rn
-  FROM ev_valid v
+ev_latest AS (
+  SELECT DISTINCT ON (event_id) *
+  FROM ev_flagged WHERE failed IS NULL
+  ORDER BY event_id, received_ts DESC, ingestion_ts DESC, row_hash
 ),
 silver_events AS (
   SELECT event_id, event_ts, received_ts, user_id, device_id, session_id, event_type,
     coalesce(props, '{}') AS props, row_hash AS bronze_row_hash, source_file, ingestion_ts,
-    greatest(lateness_sec_raw, 0) > 0 AS is_late, greatest(lateness_sec_raw, 0) AS lateness_sec
-  FROM ev_ranked WHERE rn = 1
+    secs > 0 AS is_late, secs AS lateness_sec
+  FROM (SELECT *, greatest(CAST(round((epoch_us(received_ts) - epoch_us(event_ts)) / 1e6) AS INTEGER), 0) AS secs
+        FROM ev_latest)
+),
+bl_flagged AS (
+  SELECT *, coalesce(
+      CASE WHEN billing_date IS NULL THEN 'missing_billing_date' END,
+      CASE WHEN user_id IS NULL THEN 'missing_user_id' END,
+      CASE WHEN event IS NULL THEN 'missing_event' END,
+      CASE WHEN event NOT IN ('start', 'upgrade', 'cancel') THEN 'invalid_event' END,
+      CASE WHEN plan_id IS NULL THEN 'missing_plan_id' END) AS failed
+  FROM bronze_billing
 ),
 silver_billing_quarantine AS (
-  SELECT b.row_hash AS bronze_row_hash, b.source_file, b.ingestion_ts,
-    CASE WHEN b.billing_date IS NULL THEN 'missing_billing_date'
-         WHEN b.user_id IS NULL THEN 'missing_user_id'
-         WHEN b.event IS NULL THEN 'missing_event'
-         WHEN b.event NOT IN ('start', 'upgrade', 'cancel') THEN 'invalid_event'
-         WHEN b.plan_id IS NULL THEN 'missing_plan_id'
-         ELSE 'unknown_invalid' END AS reason_code,
-    CAST(json_object('billing_date', strftime(b.billing_date, '%Y-%m-%d'), 'user_id', b.user_id,
-      'event', b.event, 'plan_id', b.plan_id, 'source_file', b.source_file,
-      'ingestion_ts', strftime(b.ingestion_ts, {iso}), 'row_hash', b.row_hash) AS VARCHAR) AS raw_record
-  FROM bronze_billing b
-  WHERE b.billing_date IS NULL OR b.user_id IS NULL OR b.event IS NULL
-     OR b.event NOT IN ('start', 'upgrade', 'cancel') OR b.plan_id IS NULL
+  SELECT row_hash AS bronze_row_hash, source_file, ingestion_ts, failed AS reason_code,
+    CAST(json_object('billing_date', strftime(billing_date, '%Y-%m-%d'), 'user_id', user_id,
+      'event', event, 'plan_id', plan_id, 'source_file', source_file,
+      'ingestion_ts', strftime(ingestion_ts, {iso}), 'row_hash', row_hash) AS VARCHAR) AS raw_record
+  FROM bl_flagged WHERE failed IS NOT NULL
 ),
 silver_billing AS (
   SELECT billing_date, user_id, event, plan_id, row_hash AS bronze_row_hash, source_file, ingestion_ts
-  FROM bronze_billing b
-  WHERE b.billing_date IS NOT NULL AND b.user_id IS NOT NULL
-    AND b.event IN ('start', 'upgrade', 'cancel') AND b.plan_id IS NOT NULL
+  FROM bl_flagged WHERE failed IS NULL
 ),
 stg_events AS (
   SELECT event_id, event_ts, received_ts, user_id, device_id, session_id, event_type, props,
@@ -177,92 +174,85 @@ stg_billing AS (
   FROM silver_billing
 ),
 fct_events_daily AS (
-  SELECT CAST(date_trunc('day', event_ts) AS DATE) AS date_day, count(*) AS events,
-    count(DISTINCT user_id) FILTER (WHERE user_id IS NOT NULL) AS dau,
-    count(*) FILTER (WHERE is_late) AS late_events
-  FROM stg_events GROUP BY 1
+  SELECT CAST(event_ts AS DATE) AS date_day, count(*) AS events, count(DISTINCT user_id) AS dau,
+    CAST(sum(CASE WHEN is_late THEN 1 ELSE 0 END) AS BIGINT) AS late_events
+  FROM stg_events GROUP BY ALL
 ),
 fct_billing_daily AS (
   SELECT billing_date AS date_day, plan_id,
-    count(*) FILTER (WHERE billing_event = 'start') AS starts,
-    count(DISTINCT user_id) FILTER (WHERE billing_event = 'start') AS new_paid_users
-  FROM stg_billing GROUP BY 1, 2
+    CAST(sum(CASE WHEN billing_event = 'start' THEN 1 ELSE 0 END) AS BIGINT) AS starts,
+    count(DISTINCT CASE WHEN billing_event = 'start' THEN user_id END) AS new_paid_users
+  FROM stg_billing GROUP BY ALL
 ),
-sub_spine AS (
-  SELECT CAST(d AS DATE) AS date_day FROM generate_series(
-    CAST((SELECT min(billing_date) FROM stg_billing) AS TIMESTAMP),
-    CAST((SELECT max(billing_date) FROM stg_billing) AS TIMESTAMP), INTERVAL 1 DAY) t(d)
+sub_grid AS (
+  SELECT CAST(t.d AS DATE) AS date_day, u.user_id
+  FROM (SELECT min(billing_date) AS lo, max(billing_date) AS hi FROM stg_billing) b,
+       generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY) t(d),
+       (SELECT DISTINCT user_id FROM stg_billing) u
 ),
-sub_events AS (
-  SELECT billing_date AS date_day, user_id, billing_event, plan_id FROM stg_billing
-),
-sub_state AS (
-  SELECT s.date_day, u.user_id,
-    (SELECT e.plan_id FROM sub_events e
-      WHERE e.user_id = u.user_id AND e.date_day <= s.date_day
-        AND e.billing_event IN ('start', 'upgrade')
-      ORDER BY e.date_day DESC, (e.billing_event = 'upgrade') DESC, e.plan_id DESC LIMIT 1) AS last_plan,
-    (SELECT max(e.date_day) FROM sub_events e
-      WHERE e.user_id = u.user_id AND e.date_day <= s.date_day
-        AND e.billing_event = 'cancel') AS last_cancel_day,
-    (SELECT max(e.date_day) FROM sub_events e
-      WHERE e.user_id = u.user_id AND e.date_day <= s.date_day
-        AND e.billing_event IN ('start', 'upgrade')) AS last_start_or_upgrade_day
-  FROM sub_spine s CROSS JOIN (SELECT DISTINCT user_id FROM sub_events) u
+sub_asof AS (
+  SELECT g.date_day, g.user_id,
+    max(e.billing_date) FILTER (WHERE e.billing_event IN ('start', 'upgrade')) AS su_day,
+    max(e.billing_date) FILTER (WHERE e.billing_event = 'cancel') AS cancel_day,
+    arg_max(e.plan_id, {'d': e.billing_date, 'u': e.billing_event = 'upgrade', 'p': e.plan_id})
+      FILTER (WHERE e.billing_event IN ('start', 'upgrade')) AS su_plan
+  FROM sub_grid g
+  LEFT JOIN stg_billing e ON e.user_id = g.user_id AND e.billing_date <= g.date_day
+  GROUP BY g.date_day, g.user_id
 ),
 fct_subscriptions_daily AS (
   SELECT date_day, user_id,
-    CASE WHEN last_start_or_upgrade_day IS NULL THEN false
-         WHEN last_cancel_day IS NOT NULL AND last_cancel_day >= last_start_or_upgrade_day THEN false
-         ELSE true END AS is_active,
-    CASE WHEN last_start_or_upgrade_day IS NULL THEN NULL
-         WHEN last_cancel_day IS NOT NULL AND last_cancel_day >= last_start_or_upgrade_day THEN NULL
-         ELSE last_plan END AS plan_id
-  FROM sub_state
+    su_day IS NOT NULL AND (cancel_day IS NULL OR cancel_day < su_day) AS is_active,
+    CASE WHEN su_day IS NOT NULL AND (cancel_day IS NULL OR cancel_day < su_day) THEN su_plan END AS plan_id
+  FROM sub_asof
 ),
 gold_churn_labels_daily AS (
   SELECT b.date_day, b.user_id,
-    CASE WHEN b.is_active AND NOT coalesce(bool_or(f.is_active), false) THEN 1 ELSE 0 END AS churn_7d
+    CASE WHEN b.is_active AND NOT EXISTS (
+        SELECT 1 FROM fct_subscriptions_daily f
+        WHERE f.user_id = b.user_id AND f.is_active
+          AND f.date_day BETWEEN b.date_day + 1 AND b.date_day + 7)
+      THEN 1 ELSE 0 END AS churn_7d
   FROM fct_subscriptions_daily b
-  LEFT JOIN fct_subscriptions_daily f
-    ON f.user_id = b.user_id AND f.date_day > b.date_day AND f.date_day <= b.date_day + INTERVAL 7 DAY
-  GROUP BY b.date_day, b.user_id, b.is_active
 ),
-feat_days AS (SELECT DISTINCT date_day FROM fct_subscriptions_daily),
-feat_users AS (SELECT DISTINCT user_id FROM fct_subscriptions_daily),
 feat_events AS (
   SELECT CAST(event_ts AS DATE) AS event_day, user_id, session_id, event_type, is_late
   FROM stg_events WHERE user_id IS NOT NULL
 ),
-feat_agg AS (
-  SELECT d.date_day, u.user_id,
-    count(*) FILTER (WHERE e.event_day > d.date_day - 7 AND e.event_day <= d.date_day) AS events_7d,
-    count(DISTINCT e.session_id) FILTER (WHERE e.event_day > d.date_day - 7 AND e.event_day <= d.date_day) AS sessions_7d,
-    count(*) FILTER (WHERE e.event_type = 'feature_use' AND e.event_day > d.date_day - 7 AND e.event_day <= d.date_day) AS feature_use_7d,
-    count(*) FILTER (WHERE e.event_type = 'support_ticket' AND e.event_day > d.date_day - 14 AND e.event_day <= d.date_day) AS support_tickets_14d,
-    CASE WHEN count(*) FILTER (WHERE e.event_day > d.date_day - 7 AND e.event_day <= d.date_day) = 0 THEN 0.0
-         ELSE CAST(count(*) FILTER (WHERE e.is_late AND e.event_day > d.date_day - 7 AND e.event_day <= d.date_day) AS DOUBLE)
-            / CAST(count(*) FILTER (WHERE e.event_day > d.date_day - 7 AND e.event_day <= d.date_day) AS DOUBLE)
-    END AS late_rate_7d
-  FROM feat_days d JOIN feat_users u ON true
-  LEFT JOIN feat_events e ON e.user_id = u.user_id
-  GROUP BY 1, 2
+feat_grid AS (
+  SELECT s.date_day, s.user_id, s.is_active, s.plan_id, l.churn_7d
+  FROM fct_subscriptions_daily s
+  JOIN gold_churn_labels_daily l USING (date_day, user_id)
+  WHERE s.date_day <= (SELECT max(date_day) FROM fct_subscriptions_daily) - 7
+),
+feat_band AS (
+  SELECT g.date_day, g.user_id,
+    sum(CASE WHEN e.event_day > g.date_day - 7 THEN 1 ELSE 0 END) AS n7,
+    count(DISTINCT CASE WHEN e.event_day > g.date_day - 7 THEN e.session_id END) AS s7,
+    sum(CASE WHEN e.event_day > g.date_day - 7 AND e.event_type = 'feature_use' THEN 1 ELSE 0 END) AS f7,
+    sum(CASE WHEN e.event_type = 'support_ticket' THEN 1 ELSE 0 END) AS t14,
+    sum(CASE WHEN e.event_day > g.date_day - 7 AND e.is_late THEN 1 ELSE 0 END) AS l7
+  FROM feat_grid g
+  LEFT JOIN feat_events e ON e.user_id = g.user_id
+    AND e.event_day BETWEEN g.date_day - 13 AND g.date_day
+  GROUP BY g.date_day, g.user_id
 ),
 gold_user_features_daily AS (
-  SELECT a.date_day, a.user_id, s.is_active,
-    CASE WHEN s.plan_id IS NULL THEN 'free' WHEN s.plan_id = 'unknown' THEN 'free' ELSE s.plan_id END AS plan_id,
-    a.events_7d, a.sessions_7d, a.feature_use_7d, a.support_tickets_14d,
-    CAST(a.late_rate_7d AS DOUBLE) AS late_rate_7d, l.churn_7d
-  FROM feat_agg a
-  LEFT JOIN fct_subscriptions_daily s ON s.date_day = a.date_day AND s.user_id = a.user_id
-  LEFT JOIN gold_churn_labels_daily l ON l.date_day = a.date_day AND l.user_id = a.user_id
-  WHERE a.date_day <= (SELECT max(date_day) FROM fct_subscriptions_daily) - INTERVAL 7 DAY
+  SELECT g.date_day, g.user_id, g.is_active,
+    CASE WHEN g.plan_id IS NULL OR g.plan_id = 'unknown' THEN 'free' ELSE g.plan_id END AS plan_id,
+    CAST(coalesce(b.n7, 0) AS BIGINT) AS events_7d, CAST(coalesce(b.s7, 0) AS BIGINT) AS sessions_7d,
+    CAST(coalesce(b.f7, 0) AS BIGINT) AS feature_use_7d,
+    CAST(coalesce(b.t14, 0) AS BIGINT) AS support_tickets_14d,
+    CASE WHEN coalesce(b.n7, 0) = 0 THEN CAST(0.0 AS DOUBLE)
+         ELSE CAST(b.l7 AS DOUBLE) / CAST(b.n7 AS DOUBLE) END AS late_rate_7d,
+    g.churn_7d
+  FROM feat_grid g JOIN feat_band b USING (date_day, user_id)
 ),
 gold_churn_by_plan_daily AS (
   SELECT date_day, plan_id, count(*) AS users, CAST(sum(churn_7d) AS BIGINT) AS churners,
     round(100.0 * sum(churn_7d) / count(*), 3) AS churn_rate_pct
   FROM gold_user_features_daily WHERE plan_id IS NOT NULL
-  GROUP BY 1, 2
+  GROUP BY ALL
 )""".replace("{iso}", ISO)
 
 
