@@ -41,12 +41,16 @@ ev_rec AS (
     'events/' || strftime(ts, '%Y-%m-%d') AS day_file
   FROM ev_base
 ),
+ev_copy AS (
+  SELECT r.*, unnest([0]
+      || CASE WHEN n % 101 = 0 THEN [1] ELSE [] END
+      || CASE WHEN n % 50 = 0 THEN [2] ELSE [] END) AS copy_no
+  FROM ev_rec r
+),
 ev_line AS (
-  SELECT day_file || '.jsonl' AS source_file, r.*, received_ts AS recv FROM ev_rec r
-  UNION ALL
-  SELECT day_file || '.jsonl', r.*, received_ts FROM ev_rec r WHERE n % 101 = 0
-  UNION ALL
-  SELECT day_file || '_redelivery.jsonl', r.*, received_ts + INTERVAL 1 HOUR FROM ev_rec r WHERE n % 50 = 0
+  SELECT day_file || CASE WHEN copy_no = 2 THEN '_redelivery.jsonl' ELSE '.jsonl' END AS source_file,
+    c.*, CASE WHEN copy_no = 2 THEN received_ts + INTERVAL 1 HOUR ELSE received_ts END AS recv
+  FROM ev_copy c
 ),
 ev_text AS (
   SELECT *,
@@ -92,7 +96,7 @@ bl_row AS (
   FROM bl_base
 ),
 bl_lines AS (
-  SELECT * FROM bl_row UNION ALL SELECT * FROM bl_row WHERE k % 103 = 0
+  SELECT r.*, unnest(CASE WHEN k % 103 = 0 THEN [1, 2] ELSE [1] END) AS copy_no FROM bl_row r
 ),
 bl_parsed AS (
   SELECT CAST(trim(billing_date_raw) AS DATE) AS billing_date, user_id, event, plan_id, source_file,

@@ -84,18 +84,20 @@ def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(F.col("n") % 61 == 0, F.concat(*parts, F.lit("}"))).otherwise(with_props)
 
     day = F.date_format(F.col("ts"), "yyyy-MM-dd")
-    # every line once; some lines twice in the same file (a repeat inside a file)
-    first = base.select(
-        F.concat(F.lit("events/"), day, F.lit(".jsonl")).alias("source_file"),
-        line(F.col("received_ts")).alias("value"),
-        F.explode(F.array_repeat(F.lit(1), F.when(F.col("n") % 101 == 0, 2).otherwise(1))).alias("_c"))
-    # redelivery of some events one hour later in another file
+    # Copies of each event: 0 = the line in its daily file, 1 = the same line
+    # repeated in that file, 2 = a redelivery one hour later in another file.
+    copies = F.array(F.lit(0))
+    copies = F.when(F.col("n") % 101 == 0, F.array_append(copies, F.lit(1))).otherwise(copies)
+    copies = F.when(F.col("n") % 50 == 0, F.array_append(copies, F.lit(2))).otherwise(copies)
+    redelivered = F.col("_copy") == 2
     later = F.when(F.col("received_ts").isNull(), F.col("received_ts")) \
         .otherwise(F.timestamp_micros(F.unix_micros(F.col("received_ts")) + 3_600_000_000))
-    second = base.where(F.col("n") % 50 == 0).select(
-        F.concat(F.lit("events/"), day, F.lit("_redelivery.jsonl")).alias("source_file"),
-        line(later).alias("value"))
-    return _as_files(first.drop("_c").unionByName(second))
+    rows = base.select("*", F.explode(copies).alias("_copy"))
+    return _as_files(rows.select(
+        F.concat(F.lit("events/"), day,
+                 F.when(redelivered, F.lit("_redelivery.jsonl")).otherwise(F.lit(".jsonl")))
+        .alias("source_file"),
+        line(F.when(redelivered, later).otherwise(F.col("received_ts"))).alias("value")))
 
 
 def raw_billing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +115,7 @@ def raw_billing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 101 == 0, F.lit("refund"))
          .otherwise(_map(F.col("o_orderstatus"), EVENT_STATUS)).alias("event"),
         _map(F.col("o_orderpriority"), PLAN_BY_PRIORITY).alias("plan_id"),
+        # some rows appear twice in their file
         F.explode(F.array_repeat(F.lit(1), F.when(k % 103 == 0, 2).otherwise(1))).alias("_c"))
     return _as_files(rows.drop("_c"))
 
