@@ -739,11 +739,11 @@ def stream_bronze_events(lake: Lake) -> DataFrame:
 
 @register("stream_silver_events", with_chain("SELECT * FROM silver_events"))
 def stream_silver_events(lake: Lake) -> DataFrame:
-    """Silver upserted per touched event_id bucket by the stream."""
+    """Silver upserted per touched event day by the stream."""
     base, landing = _landed(lake, "silver")
     paths = STR.run_bronze_silver(lake.spark, STR.landing_stream(lake.spark, landing), base,
                                   lake.ingestion_ts)
-    return lake.spark.read.parquet(paths["silver"]).drop("bucket")
+    return lake.spark.read.parquet(paths["silver"]).drop("event_day")
 
 
 @register("stream_events_daily")

@@ -5,13 +5,15 @@
   bronze, then appended.  Re-running a batch after a failure appends nothing
   (the append is repeat-safe), so the at-least-once ``foreachBatch`` contract
   gives exactly-once bronze content.
-* T2 - incremental silver: silver is partitioned by a hash bucket of
-  ``event_id``.  A micro-batch re-ranks its valid rows together with the
-  stored silver rows of the buckets it touches (latest arrival wins) and
-  overwrites only those buckets (dynamic partition overwrite).  The merged
-  rows are checkpointed first, so the write never reads the partitions it
-  replaces.  ``dropDuplicatesWithinWatermark`` is not used: it keeps the first
-  arrival, the rule keeps the latest.
+* T2 - incremental silver: silver is partitioned by event day (arrival time
+  follows event time, so a batch concerns a few recent days).  A micro-batch
+  finds the days where its event ids live now (a scan of just the id and day
+  columns), re-ranks its valid rows together with the stored rows of those
+  days and of its own days (latest arrival wins), and overwrites only those
+  day partitions (dynamic partition overwrite); a day left without rows is
+  cleared.  The merged rows are checkpointed first, so the write never reads
+  the partitions it replaces.  ``dropDuplicatesWithinWatermark`` is not used:
+  it keeps the first arrival, the rule keeps the latest.
 * T3 - daily event facts as an event-time windowed aggregate with a 6-hour
   watermark; exact distinct counts are not supported in streaming
   aggregation, so DAU is ``approx_count_distinct``.
@@ -32,8 +34,7 @@ from ledgerline.session import checkpoint_dir
 
 RAW_LINE_SCHEMA = T.StructType([T.StructField("source_file", T.StringType()),
                                 T.StructField("value", T.StringType())])
-# Fixed values of the streaming jobs.
-SILVER_BUCKETS = 64
+# Fixed value of the streaming jobs.
 LATE_TOLERANCE = "6 hours"
 
 
@@ -65,10 +66,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def bucket_of(event_id) -> "F.Column":
-    return F.pmod(F.xxhash64(event_id), F.lit(SILVER_BUCKETS)).cast("int")
-
-
 class BronzeSilverSink:
     """``foreachBatch`` handler doing T1 (bronze append) and T2 (silver upsert)."""
 
@@ -95,20 +92,41 @@ class BronzeSilverSink:
         self.upsert_silver(spark, S.valid_events(new))
 
     def upsert_silver(self, spark: SparkSession, valid: DataFrame) -> None:
-        touched = [r[0] for r in valid.select(bucket_of(F.col("event_id"))).distinct().collect()]
+        day = F.to_date(F.col("event_ts"))
+        batch_days = valid.select(day.alias("event_day"))
+        rows = valid.select(*B.BRONZE_EVENT_COLUMNS)
+        stored_exists = _exists(spark, self.silver_path)
+        if stored_exists:
+            current = spark.read.parquet(self.silver_path)
+            ids = valid.select("event_id").distinct()
+            homes = current.select("event_id", "event_day").join(ids, "event_id", "left_semi") \
+                .select("event_day")
+            batch_days = batch_days.unionByName(homes)
+        # one row per calendar day at most
+        touched = sorted(r[0] for r in batch_days.distinct().collect())
         if not touched:
             return
-        rows = valid.select(*B.BRONZE_EVENT_COLUMNS)
-        if _exists(spark, self.silver_path):
-            stored = (spark.read.parquet(self.silver_path)
-                      .where(F.col("bucket").isin(touched))
+        if stored_exists:
+            stored = (current.where(F.col("event_day").isin(touched))
                       .select(*[F.col("bronze_row_hash").alias("row_hash") if c == "row_hash"
                                 else F.col(c) for c in B.BRONZE_EVENT_COLUMNS]))
             rows = rows.unionByName(stored)
-        merged = S.silver_events(rows).withColumn("bucket", bucket_of(F.col("event_id")))
-        merged = merged.checkpoint(eager=True)
+        merged = S.silver_events(rows).withColumn("event_day", day).checkpoint(eager=True)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("bucket").parquet(self.silver_path))
+         .partitionBy("event_day").parquet(self.silver_path))
+        kept = {r[0] for r in merged.select("event_day").distinct().collect()}
+        for d in touched:
+            if d not in kept:       # all of the day's events moved to another day
+                _remove_partition(spark, self.silver_path, f"event_day={d.isoformat()}")
+
+
+def _remove_partition(spark: SparkSession, table: str, partition: str) -> None:
+    """Delete one partition folder of a path-based table (Hadoop FileSystem)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/{partition}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
 
 
 def run_bronze_silver(spark: SparkSession, source: DataFrame, base: str,

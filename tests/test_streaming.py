@@ -78,3 +78,17 @@ def test_watermark_drops_data_older_than_tolerance(spark, tmpdir_path):
                                os.path.join(tmpdir_path, "x"))
     got = {r["date_day"].day: r["events"] for r in spark.read.parquet(out).collect()}
     assert got == {2: 2}
+
+
+def test_silver_upsert_moves_an_event_to_another_day(spark, tmpdir_path):
+    base = os.path.join(tmpdir_path, "out")
+    sink = STR.BronzeSilverSink(f"{base}/b", f"{base}/s", f"{base}/q")
+
+    def batch(ts, recv):
+        r = {"event_id": "e1", "event_ts": ts, "received_ts": recv, "user_id": "u", "event_type": "t"}
+        return spark.createDataFrame([("events/x.jsonl", json.dumps(r))], "source_file string, value string")
+    sink(batch("2024-01-01T10:00:00Z", "2024-01-01T10:00:00Z"), 0)
+    # a later delivery of e1 carries another event day: it wins, day 1 is emptied
+    sink(batch("2024-01-03T10:00:00Z", "2024-01-03T11:00:00Z"), 1)
+    silver = spark.read.parquet(f"{base}/s")
+    assert [(r["event_id"], r["event_day"].day) for r in silver.collect()] == [("e1", 3)]
