@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import bronze as B
-from ledgerline.operators import silver as S
 from ledgerline.plans.lake import Lake
 from ledgerline.plans.oracle import with_chain
 

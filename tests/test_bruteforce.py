@@ -5,7 +5,6 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from ledgerline.operators import marts as M
 from ledgerline.operators import silver as S

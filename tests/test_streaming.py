@@ -3,9 +3,7 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
-from ledgerline.operators import bronze as B
 from ledgerline.operators import silver as S
 from ledgerline.streaming import incremental as STR
 
