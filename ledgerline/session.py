@@ -21,6 +21,8 @@ def get_spark(master: str | None = None, app: str = "ledgerline",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # reliable checkpoints of dropped DataFrames are removed from the shared folder
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -125,5 +125,8 @@ def _as_files(df: DataFrame) -> DataFrame:
     feed files would (the driver tables are single small files, which would
     otherwise scan as one partition).  Round-robin, not by a key: one file or
     one mass-repeated line may hold a third of all rows."""
-    n = max(2, df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(n)
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - a session without a local SparkContext
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    return df.repartition(max(2, n))
