@@ -10,13 +10,27 @@ from pyspark.sql import functions as F
 FALSY_JSON = ["null", "{}", "[]", '""', "0", "0.0", "false"]
 
 
+# Control characters that JSON writers escape as \u00XX (they
+# have no short escape) and whose hex digits differ in case between writers;
+# the canonical form uses lower-case hex digits.
+UPPER_HEX_ESCAPES = ["0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"]
+
+
 def canonical_json(variant: Column) -> Column:
-    """Canonical text of a parsed JSON value: object keys sorted, compact.
+    r"""Canonical text of a parsed JSON value: object keys sorted at every level,
+    no blanks, non-ASCII kept, \u00XX escapes with lower-case hex digits.
 
-    Spark serialises VARIANT objects with their keys in sorted order and without
-    blanks, which is the canonical form used for row hashing.
+    Spark serialises VARIANT values with sorted keys and without blanks; the
+    only other difference to the canonical form is the case of those escape
+    digits, fixed only on lines that contain such an escape.  (Floats keep
+    Spark's rendering: 1.0 prints as 1.)
     """
-    return F.to_json(variant)
+    text = F.to_json(variant)
+    fixed = text
+    for h in UPPER_HEX_ESCAPES:
+        # an escape, i.e. a backslash not itself escaped, followed by u00XX
+        fixed = F.regexp_replace(fixed, r"(?<!\\)((?:\\\\)*)\\u00" + h, "$1\\\\u00" + h.lower())
+    return F.when(text.contains("\\u00"), fixed).otherwise(text)
 
 
 def props_or_empty(props_text: Column) -> Column:
