@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.json import canonical_json, props_or_empty
+from ledgerline.functions.text import strip
 
 EVENT_FIELDS = ["event_id", "event_ts", "received_ts", "user_id", "device_id",
                 "session_id", "event_type", "props"]
@@ -81,10 +82,10 @@ def parse_billing_rows(rows: DataFrame, ingestion_ts: str = DEFAULT_INGESTION_TS
     def stored(c: str) -> Column:
         col = F.col(c)
         if empty_as_null:
-            return F.when(F.trim(col) == "", F.lit(None).cast("string")).otherwise(col)
+            return F.when(strip(col) == "", F.lit(None).cast("string")).otherwise(col)
         return F.coalesce(col, F.lit(""))
 
-    date_text = F.trim(F.coalesce(F.col("billing_date"), F.lit("")))
+    date_text = strip(F.coalesce(F.col("billing_date"), F.lit("")))
     billing_date = date_text.try_cast("date") if permissive else date_text.cast("date")
     return rows.select(
         billing_date.alias("billing_date"),
@@ -99,9 +100,10 @@ def parse_billing_rows(rows: DataFrame, ingestion_ts: str = DEFAULT_INGESTION_TS
 
 def billing_row_hash() -> Column:
     """``sha256(source_file|billing_date=..|user_id=..|event=..|plan_id=..)``
-    over the trimmed raw values (a missing value hashes as empty)."""
+    over the raw values stripped of whitespace as Python's ``str.strip`` does
+    (a missing value hashes as empty)."""
     payload = F.concat_ws("|", F.col("source_file"), *[
-        F.concat(F.lit(f"{c}="), F.trim(F.coalesce(F.col(c), F.lit("")))) for c in BILLING_FIELDS])
+        F.concat(F.lit(f"{c}="), strip(F.coalesce(F.col(c), F.lit("")))) for c in BILLING_FIELDS])
     return F.sha2(payload, 256)
 
 
@@ -166,4 +168,4 @@ def limit_files(lines: DataFrame, limit: int) -> DataFrame:
 
 def scan_lines(lines: DataFrame) -> DataFrame:
     """B1 line handling: drop blank lines, number the lines of each file."""
-    return lines.where(F.trim(F.col("value")) != "")
+    return lines.where(strip(F.col("value")) != "")

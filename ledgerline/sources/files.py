@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.text import strip
+
 BILLING_CSV_SCHEMA = T.StructType([
     T.StructField("billing_date", T.StringType()),
     T.StructField("user_id", T.StringType()),
@@ -47,7 +49,7 @@ def scan_jsonl(spark: SparkSession, root: str, glob: str = "*.jsonl",
     df = spark.read.format("text").load(files)
     return (df.select(_relative(F.col("_metadata.file_path")).alias("source_file"),
                       F.col("value"))
-              .where(F.trim(F.col("value")) != ""))
+              .where(strip(F.col("value")) != ""))
 
 
 def scan_billing_csv(spark: SparkSession, root: str, glob: str = "*.csv",

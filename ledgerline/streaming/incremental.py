@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.text import strip
+
 from ledgerline.functions.time import lateness_sec
 from ledgerline.operators import bronze as B
 from ledgerline.operators import silver as S
@@ -55,7 +57,7 @@ def jsonl_stream(spark: SparkSession, root: str, glob: str = "*.jsonl") -> DataF
     lines = spark.readStream.option("pathGlobFilter", glob).text(root)
     return lines.select(
         F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1).alias("source_file"),
-        "value").where(F.trim(F.col("value")) != "")
+        "value").where(strip(F.col("value")) != "")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

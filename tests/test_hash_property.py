@@ -38,3 +38,16 @@ def test_escape_case_fix_leaves_escaped_backslashes_alone(spark):
     want = [hashlib.sha256(("f|" + json.dumps(r, sort_keys=True, separators=(",", ":"),
                                               ensure_ascii=False)).encode()).hexdigest() for r in recs]
     assert got == want
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(*[st.text(alphabet=st.sampled_from(["a", "1", " ", "\t", "\n", "\xa0", "　", "\x1c", "-", "é"]),
+                                     max_size=4) for _ in range(4)]), min_size=1, max_size=5))
+def test_billing_hash_matches_python_strip(spark, rows):
+    df = spark.createDataFrame([("billing/f.csv",) + r for r in rows],
+                               "source_file string, billing_date string, user_id string, event string, plan_id string")
+    got = [r["row_hash"] for r in df.select(B.billing_row_hash().alias("row_hash")).collect()]
+    want = [hashlib.sha256(("billing/f.csv|" + "|".join(
+        f"{k}={v.strip()}" for k, v in zip(("billing_date", "user_id", "event", "plan_id"), r))).encode()).hexdigest()
+        for r in rows]
+    assert got == want

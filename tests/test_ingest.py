@@ -169,7 +169,7 @@ def test_billing_quarantine_reasons_and_empty_fields(spark):
 def test_file_scans(spark, tmpdir_path):
     ev = os.path.join(tmpdir_path, "events")
     os.makedirs(ev)
-    for day, body in [("2024-01-02", '{"event_id":"b"}\n\n  \n'),
+    for day, body in [("2024-01-02", '{"event_id":"b"}\n\n  \n\t\n\u00a0\n'),
                       ("2024-01-01", '{"event_id":"a"}\n{"event_id":"a2"}\n')]:
         with open(os.path.join(ev, f"{day}.jsonl"), "w") as fh:
             fh.write(body)

@@ -63,17 +63,19 @@ def test_windowed_daily_stream(spark, tmpdir_path):
 
 def test_watermark_drops_data_older_than_tolerance(spark, tmpdir_path):
     landing = os.path.join(tmpdir_path, "landing")
+    base = os.path.join(tmpdir_path, "x")
 
     def ev(eid, ts):
         return ("f", json.dumps({"event_id": eid, "event_ts": ts, "received_ts": ts,
                                  "user_id": "u", "event_type": "login"}))
+    # first arrival, then a restart of the query from its checkpoint for the second
     STR.land(spark.createDataFrame([ev("a", "2024-01-02T12:00:00Z")], "source_file string, value string"),
              landing)
+    STR.run_events_daily(spark, STR.landing_stream(spark, landing), base)
     STR.land(spark.createDataFrame([ev("b", "2024-01-02T11:00:00Z"),      # within 6 h: counted
                                     ev("c", "2024-01-01T10:00:00Z")],     # 26 h late: dropped
                                    "source_file string, value string"), landing)
-    out = STR.run_events_daily(spark, STR.landing_stream(spark, landing, max_files_per_trigger=1),
-                               os.path.join(tmpdir_path, "x"))
+    out = STR.run_events_daily(spark, STR.landing_stream(spark, landing), base)
     got = {r["date_day"].day: r["events"] for r in spark.read.parquet(out).collect()}
     assert got == {2: 2}
 
