@@ -23,7 +23,7 @@ records = st.dictionaries(st.sampled_from(["event_id", "event_ts", "user_id", "p
 def test_row_hash_matches_canonical_definition(spark, recs):
     lines = [("events/f.jsonl", json.dumps(r)) for r in recs]
     df = spark.createDataFrame(lines, "source_file string, value string")
-    got = [r["row_hash"] for r in B.parse_event_lines(df, mode="permissive").collect()]
+    got = [r["row_hash"] for r in B.parse_event_lines(df, mode="permissive").select("row_hash").collect()]
     want = [hashlib.sha256(("events/f.jsonl|" + json.dumps(r, sort_keys=True, separators=(",", ":"),
                                                             ensure_ascii=False)).encode()).hexdigest()
             for r in recs]
@@ -34,7 +34,7 @@ def test_escape_case_fix_leaves_escaped_backslashes_alone(spark):
     recs = [{"a": "\\u000B"}, {"a": "\x0b\x0b\\\x0b\x1f"}, {"a": "\\\\\x0e"}, {"b": ["\x1a", {"c": "\x0f"}]}]
     lines = [("f", json.dumps(r)) for r in recs]
     df = spark.createDataFrame(lines, "source_file string, value string")
-    got = [r["row_hash"] for r in B.parse_event_lines(df).collect()]
+    got = [r["row_hash"] for r in B.parse_event_lines(df).select("row_hash").collect()]
     want = [hashlib.sha256(("f|" + json.dumps(r, sort_keys=True, separators=(",", ":"),
                                               ensure_ascii=False)).encode()).hexdigest() for r in recs]
     assert got == want
