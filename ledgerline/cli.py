@@ -20,6 +20,8 @@ import datetime as dt
 import sys
 
 
+from pyspark.sql import functions as F
+
 from ledgerline.operators import bronze as B
 from ledgerline.operators import marts as M
 from ledgerline.operators import quality as Q
@@ -109,11 +111,24 @@ def test(spark, a) -> int:
 def train(spark, a) -> None:
     cfg = C.TemporalCVConfig()
     frame = C.stable_frame(C.training_frame(spark.read.parquet(f"{a.marts}/gold_user_features_daily")))
+    prof = C.frame_profile(frame).first()                 # one row
+    print(f"DATA_SHAPE: ({prof['n_rows']}, {prof['n_cols']})")
+    print(f"DATE_RANGE: {prof['min_day']} -> {prof['max_day']}")
+    print(f"CHURN_COUNTS: {{0: {prof['n_churn_0']}, 1: {prof['n_churn_1']}}}")
+    print("NULLS:", {k[len('nulls_'):]: v for k, v in prof.asDict().items() if k.startswith("nulls_")})
     folds = C.cv_run(frame, cfg, checkpoint=False).checkpoint(eager=True)
+    print("LAST 10 FOLDS")
+    for r in folds.orderBy(F.col("test_day").desc()).limit(10).orderBy("test_day").collect():
+        print(f"  {r['test_day']} rows={r['rows_test']} positives={r['positives_test']} "
+              f"skipped={r['skipped']} pr_auc={r['pr_auc']} roc_auc={r['roc_auc']}")
     sinks.write_report_csv(folds.orderBy("test_day"), f"{a.reports}/churn_temporal_cv_folds")
     sinks.write_report_json(C.cv_summary(folds, frame, cfg), f"{a.reports}/churn_temporal_cv_summary")
     sinks.write_report_json(C.cv_summary_pop(folds), f"{a.reports}/churn_temporal_cv_summary_pop")
-    sinks.write_report_csv(C.model_coefficients(frame, cfg), f"{a.reports}/churn_coefficients")
+    coefs = C.model_coefficients(frame, cfg)
+    sinks.write_report_csv(coefs, f"{a.reports}/churn_coefficients")
+    print("Top coefficients:")
+    for r in coefs.orderBy(F.col("coef").desc()).limit(25).collect():
+        print(f"  {r['feature']:>24} {r['coef']: .6f}")
     sinks.write_report_json(C.final_fit_stats(frame, cfg), f"{a.reports}/churn_final_fit")
     print(f"OK: reports written to {a.reports}")
 
