@@ -49,7 +49,10 @@ def register(key: str, oracle: str | None = None):
 # ---------------------------------------------------------------- bronze
 @register("raw_events_scan", with_chain("SELECT source_file, raw_value AS value FROM ev_parsed"))
 def raw_events_scan(lake: Lake) -> DataFrame:
-    """B1: raw lines of every feed file, blank lines skipped, all files."""
+    """B1 line handling over the stand-in feed: blank lines dropped and the
+    first-N-files rule applied by file name (N = 0: every file).  The folder
+    listing and glob of B1 (``sources.files.scan_jsonl``) run in the tests on
+    real files."""
     return B.limit_files(B.scan_lines(lake.raw_event_lines), 0)
 
 
