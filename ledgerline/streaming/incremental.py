@@ -14,9 +14,13 @@
   cleared.  The merged rows are checkpointed first, so the write never reads
   the partitions it replaces.  ``dropDuplicatesWithinWatermark`` is not used:
   it keeps the first arrival, the rule keeps the latest.
-* T3 - daily event facts as an event-time windowed aggregate with a 6-hour
-  watermark; exact distinct counts are not supported in streaming
-  aggregation, so DAU is ``approx_count_distinct``.
+* T3 - daily event facts, two ways.  Exact: the same micro-batch that
+  upserts silver recomputes F1 for just the days it touched (silver is
+  partitioned by day, so only those partitions are read) and replaces those
+  days of the daily table; the result equals the batch F1 at every point.
+  Windowed: an event-time 1-day window with a 6-hour watermark, where data
+  later than the tolerance is dropped; exact distinct counts are not
+  supported in streaming aggregation, so DAU is ``approx_count_distinct``.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ from ledgerline.functions.text import strip
 
 from ledgerline.functions.time import lateness_sec
 from ledgerline.operators import bronze as B
+from ledgerline.operators import marts as M
 from ledgerline.operators import silver as S
 from ledgerline.session import checkpoint_dir
 
@@ -72,10 +77,12 @@ class BronzeSilverSink:
     """``foreachBatch`` handler doing T1 (bronze append) and T2 (silver upsert)."""
 
     def __init__(self, bronze_path: str, silver_path: str, quarantine_path: str,
-                 ingestion_ts: str = B.DEFAULT_INGESTION_TS, mode: str = "failfast"):
+                 ingestion_ts: str = B.DEFAULT_INGESTION_TS, mode: str = "failfast",
+                 daily_path: str | None = None):
         self.bronze_path = bronze_path
         self.silver_path = silver_path
         self.quarantine_path = quarantine_path
+        self.daily_path = daily_path
         self.ingestion_ts = ingestion_ts
         self.mode = mode
 
@@ -120,6 +127,18 @@ class BronzeSilverSink:
         for d in touched:
             if d not in kept:       # all of the day's events moved to another day
                 _remove_partition(spark, self.silver_path, f"event_day={d.isoformat()}")
+        if self.daily_path:
+            self.refresh_daily(spark, touched, kept)
+
+    def refresh_daily(self, spark: SparkSession, touched: list, kept: set) -> None:
+        """Exact F1 for the touched days, from those silver partitions only."""
+        days = spark.read.parquet(self.silver_path).where(F.col("event_day").isin(touched))
+        daily = M.fct_events_daily(days)
+        (daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("date_day").parquet(self.daily_path))
+        for d in touched:
+            if d not in kept:
+                _remove_partition(spark, self.daily_path, f"date_day={d.isoformat()}")
 
 
 def _remove_partition(spark: SparkSession, table: str, partition: str) -> None:
@@ -133,11 +152,13 @@ def _remove_partition(spark: SparkSession, table: str, partition: str) -> None:
 
 def run_bronze_silver(spark: SparkSession, source: DataFrame, base: str,
                       ingestion_ts: str = B.DEFAULT_INGESTION_TS) -> dict[str, str]:
-    """Run T1 + T2 over everything available in ``source`` (availableNow) and
-    return the table paths."""
+    """Run T1 + T2 (+ exact T3) over everything available in ``source``
+    (availableNow) and return the table paths."""
     paths = {"bronze": f"{base}/bronze_events", "silver": f"{base}/silver_events",
-             "quarantine": f"{base}/silver_events_quarantine", "checkpoint": f"{base}/_chk_bs"}
-    sink = BronzeSilverSink(paths["bronze"], paths["silver"], paths["quarantine"], ingestion_ts)
+             "quarantine": f"{base}/silver_events_quarantine",
+             "daily": f"{base}/fct_events_daily", "checkpoint": f"{base}/_chk_bs"}
+    sink = BronzeSilverSink(paths["bronze"], paths["silver"], paths["quarantine"], ingestion_ts,
+                            daily_path=paths["daily"])
     q = (source.writeStream.foreachBatch(sink)
          .option("checkpointLocation", paths["checkpoint"])
          .trigger(availableNow=True).start())

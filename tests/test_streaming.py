@@ -92,3 +92,21 @@ def test_silver_upsert_moves_an_event_to_another_day(spark, tmpdir_path):
     sink(batch("2024-01-03T10:00:00Z", "2024-01-03T11:00:00Z"), 1)
     silver = spark.read.parquet(f"{base}/s")
     assert [(r["event_id"], r["event_day"].day) for r in silver.collect()] == [("e1", 3)]
+
+
+def test_exact_daily_facts_follow_silver(spark, tmpdir_path):
+    from ledgerline.operators import marts as M
+    base = os.path.join(tmpdir_path, "out")
+    sink = STR.BronzeSilverSink(f"{base}/b", f"{base}/s", f"{base}/q", daily_path=f"{base}/d")
+
+    def batch(*recs):
+        return spark.createDataFrame([("events/x.jsonl", json.dumps(r)) for r in recs],
+                                     "source_file string, value string")
+    sink(batch(rec("e1", "2024-01-01T10:00:00Z"), rec("e2", "2024-01-01T10:30:00Z", user="u2")), 0)
+    moved = {"event_id": "e2", "event_ts": "2024-01-02T10:00:00Z", "received_ts": "2024-01-02T11:00:00Z",
+             "user_id": "u2", "event_type": "login"}
+    sink(batch(moved), 1)
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{base}/d")
+                 .select("date_day", "events", "dau", "late_events").collect())
+    want = sorted(tuple(r) for r in M.fct_events_daily(spark.read.parquet(f"{base}/s")).collect())
+    assert got == want and len(got) == 2
