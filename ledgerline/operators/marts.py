@@ -12,7 +12,8 @@ Shapes chosen for scale:
 * F5 pre-aggregates events to (user, day, session), expands each such row to
   the 7 (or 14, when it holds support tickets) days it counts for, and sums per
   (user, day).  Exact distinct sessions included; no days x events join.
-* Global bounds (first/last billing day) are scalar subqueries, not joins.
+* Global bounds (first/last billing day) are scalar subqueries, or literals
+  the caller evaluates once (``billing_bounds_literal``), never joins.
 """
 
 from __future__ import annotations
