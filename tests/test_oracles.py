@@ -9,7 +9,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
-from tools.check_oracles import TABLES, rows_key
+from tools.check_oracles import TABLES, rows_key, type_mismatches
 
 ORACLES = E.oracle_sql()
 QUERIES = E.queries()
@@ -37,10 +37,11 @@ def test_every_query_has_an_oracle_or_is_declared_rows_only():
 def test_query_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
-    res = duck.execute(ORACLES[key])
-    cols = [d[0] for d in res.description]
+    rel = duck.sql(ORACLES[key])
+    cols = rel.columns
     assert sorted(df.columns) == sorted(cols)
-    assert rows_key(got, df.columns) == rows_key(res.fetchall(), cols)
+    assert type_mismatches(df.schema, cols, rel.types) == {}
+    assert rows_key(got, df.columns) == rows_key(rel.fetchall(), cols)
 
 
 @pytest.mark.parametrize("key", [k for k in ROWS_ONLY if k not in HEAVY])
