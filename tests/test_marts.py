@@ -138,3 +138,12 @@ def test_build_writes_partitioned_layers(spark, tmpdir_path):
     assert silver.count() == lake.silver_events.count()
     assert "event_day" in silver.columns
     assert any(d.startswith("date_day=") for d in os.listdir(paths["fct_subscriptions_daily"]))
+
+
+def test_layers_conform_to_declared_schemas(spark):
+    from conftest import SF_SMALL
+    from ledgerline.plans.lake import Lake
+    from ledgerline.schemas import LAYER_SCHEMAS, conforms
+    lake = Lake(spark, SF_SMALL)
+    for name, schema in LAYER_SCHEMAS.items():
+        assert conforms(getattr(lake, name), schema) == [], name
