@@ -2,9 +2,11 @@
 
 * T1 - incremental bronze: new raw lines arrive as files in a landing folder;
   each micro-batch is parsed, hashed, deduplicated and anti-joined against
-  bronze, then appended.  Re-running a batch after a failure appends nothing
-  (the append is repeat-safe), so the at-least-once ``foreachBatch`` contract
-  gives exactly-once bronze content.
+  bronze, then appended; its quarantined rows are appended the same way.
+  Every step works from the whole batch and is repeat-safe, so a replay after
+  a failure (between any two steps) completes the missing steps and changes
+  nothing else: the at-least-once ``foreachBatch`` contract gives
+  exactly-once table contents.
 * T2 - incremental silver: silver is partitioned by event day (arrival time
   follows event time, so a batch concerns a few recent days).  A micro-batch
   finds the days where its event ids live now (a scan of just the id and day
@@ -89,16 +91,30 @@ class BronzeSilverSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         checkpoint_dir(spark)
+        # Every step works from the whole (deduplicated) batch and is
+        # repeat-safe on its own, so a replay after a failure between steps
+        # completes the missing ones and changes nothing else.
+        fresh = B.parse_event_lines(batch, self.ingestion_ts, self.mode) \
+            .dropDuplicates(["row_hash"]).checkpoint(eager=True)
+        self.append_bronze(spark, fresh)
+        self.append_quarantine(spark, fresh)
+        self.upsert_silver(spark, S.valid_events(fresh))
+
+    def append_bronze(self, spark: SparkSession, fresh: DataFrame) -> None:
         existing = spark.read.parquet(self.bronze_path) if _exists(spark, self.bronze_path) else None
-        new = B.append_new(B.parse_event_lines(batch, self.ingestion_ts, self.mode), existing)
-        # materialise once: later steps must not re-evaluate the anti join
-        # against a bronze table that already holds these rows
-        new = new.checkpoint(eager=True)
-        # bronze is partitioned by source file: the next batch's repeat check
-        # reads only the partitions of its own files
-        new.write.mode("append").partitionBy("source_file").parquet(self.bronze_path)
-        S.events_quarantine(new).write.mode("append").parquet(self.quarantine_path)
-        self.upsert_silver(spark, S.valid_events(new))
+        # bronze is partitioned by source file: the repeat check reads only the
+        # partitions of the batch's own files
+        B.append_new(fresh, existing).write.mode("append").partitionBy("source_file") \
+            .parquet(self.bronze_path)
+
+    def append_quarantine(self, spark: SparkSession, fresh: DataFrame) -> None:
+        q = S.events_quarantine(fresh)
+        if _exists(spark, self.quarantine_path):
+            files = fresh.select("source_file").distinct()
+            stored = spark.read.parquet(self.quarantine_path) \
+                .select("source_file", "bronze_row_hash").join(files, "source_file", "left_semi")
+            q = q.join(stored, ["source_file", "bronze_row_hash"], "left_anti")
+        q.write.mode("append").parquet(self.quarantine_path)
 
     def upsert_silver(self, spark: SparkSession, valid: DataFrame) -> None:
         day = F.to_date(F.col("event_ts"))
