@@ -7,6 +7,9 @@
     python -m ledgerline test    --marts DIR --bronze-events T --bronze-billing T
     python -m ledgerline train   --marts DIR --reports DIR
 
+``--cluster-conf`` (before the step name) applies the production-scale
+settings of ``session.CLUSTER_CONF``.
+
 Tables are Parquet folders.  Loads append repeat-safely (a re-run adds
 nothing); silver and marts are full refreshes; ``test`` exits non-zero when a
 check fails; ``train`` writes the fold table, the two CV summaries, the
@@ -28,7 +31,7 @@ from ledgerline.operators import quality as Q
 from ledgerline.operators import silver as S
 from ledgerline.operators import staging as G
 from ledgerline.plans import churn as C
-from ledgerline.session import get_spark
+from ledgerline.session import apply_cluster_conf, get_spark
 from ledgerline.sources import files, sinks
 
 
@@ -136,6 +139,8 @@ def train(spark, a) -> None:
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="ledgerline")
     p.add_argument("--master", default=None)
+    p.add_argument("--cluster-conf", action="store_true",
+                   help="apply the production-scale settings (session.CLUSTER_CONF)")
     sub = p.add_subparsers(dest="cmd", required=True)
     le = sub.add_parser("load-events")
     le.add_argument("--events-dir", required=True)
@@ -168,6 +173,8 @@ def main(argv: list[str] | None = None) -> int:
     tr.add_argument("--reports", required=True)
     a = p.parse_args(argv)
     spark = get_spark(a.master)
+    if a.cluster_conf:
+        apply_cluster_conf(spark)
     steps = {"load-events": load_events, "load-billing": load_billing, "silver": silver,
              "marts": marts, "test": test, "train": train}
     rc = steps[a.cmd](spark, a)
