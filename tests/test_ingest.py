@@ -208,3 +208,14 @@ def test_refresh_writes_quarantine_and_silver(spark, tmpdir_path):
     # a second refresh replaces, not appends
     assert S.refresh(spark, bronze, os.path.join(tmpdir_path, "s"),
                      os.path.join(tmpdir_path, "q")) == (1, 1)
+
+
+def test_day_boundary_in_daily_facts(spark):
+    from ledgerline.operators import marts as M
+    from ledgerline.operators import staging as G
+    bronze = B.load_bronze_events(lines(spark, [
+        ("f", rec(event_id="late_night", event_ts="2024-01-01T23:59:59Z", received_ts="2024-01-01T23:59:59Z")),
+        ("f", rec(event_id="midnight", event_ts="2024-01-02T00:00:00Z", received_ts="2024-01-02T00:00:00Z"))]))
+    daily = {r["date_day"].isoformat(): r["events"]
+             for r in M.fct_events_daily(G.stg_events(S.silver_events(bronze))).collect()}
+    assert daily == {"2024-01-01": 1, "2024-01-02": 1}
