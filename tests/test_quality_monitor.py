@@ -80,3 +80,27 @@ def test_views_and_bound_parameters(spark):
     assert sorted(got.collect()) == sorted(ref.collect())
     b = views.query(spark, views.BILLING_DAILY_BETWEEN, start=dt.date(2024, 1, 1), end=dt.date(2024, 1, 1))
     assert {r["date_day"] for r in b.collect()} == {dt.date(2024, 1, 1)}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, derandomize=True)
+@given(st.lists(st.tuples(st.integers(1, 5), st.sampled_from(["basic", "pro", "team"]),
+                          st.integers(0, 9)), min_size=1, max_size=20))
+def test_pivots_equal_pandas(spark, rows):
+    import pandas as pd
+    data = [(D + dt.timedelta(d), p, v) for d, p, v in rows]
+    df = spark.createDataFrame(data, "date_day date, plan_id string, starts long")
+    wide = MON.pivot_sum(df, "starts").toPandas().set_index("date_day").sort_index()
+    pdf = pd.DataFrame(data, columns=["date_day", "plan_id", "starts"])
+    want = pdf.pivot_table(index="date_day", columns="plan_id", values="starts", aggfunc="sum").fillna(0)
+    assert sorted(wide.columns) == sorted(want.columns)
+    for c in want.columns:
+        assert [int(x) for x in wide[c]] == [int(x) for x in want[c]]
+    uniq = pdf.drop_duplicates(["date_day", "plan_id"])
+    piv = MON.pivot_unique(spark.createDataFrame(uniq), "starts").toPandas().set_index("date_day").sort_index()
+    ref = uniq.pivot(index="date_day", columns="plan_id", values="starts")
+    for c in ref.columns:
+        assert [None if pd.isna(x) else int(x) for x in piv[c]] == [None if pd.isna(x) else int(x) for x in ref[c]]
