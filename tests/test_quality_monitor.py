@@ -104,3 +104,19 @@ def test_pivots_equal_pandas(spark, rows):
     ref = uniq.pivot(index="date_day", columns="plan_id", values="starts")
     for c in ref.columns:
         assert [None if pd.isna(x) else int(x) for x in piv[c]] == [None if pd.isna(x) else int(x) for x in ref[c]]
+
+
+@settings(max_examples=15, deadline=None, derandomize=True)
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 7), st.integers(0, 9)), min_size=1, max_size=12))
+def test_kpis_equal_pandas(spark, rows):
+    import pandas as pd
+    data = [(D + dt.timedelta(i), ev, min(dau, ev), min(late, ev)) for i, (ev, dau, late) in enumerate(rows)]
+    df = spark.createDataFrame(data, "date_day date, events long, dau long, late_events long")
+    rng = MON.events_daily_range(df, F.lit(D), F.lit(D + dt.timedelta(len(rows))))
+    k = MON.product_kpis(rng).first()
+    ev = pd.DataFrame(data, columns=["date_day", "events", "dau", "late_events"])
+    ev["late_rate_pct"] = (ev["late_events"] / ev["events"]).fillna(0.0) * 100.0
+    assert k["days"] == int(ev["date_day"].nunique())
+    assert k["total_events"] == int(ev["events"].sum())
+    assert k["avg_dau"] == int(round(ev["dau"].mean(), 0))
+    assert k["avg_late_rate_pct"] == float(round(ev["late_rate_pct"].mean(), 2))
