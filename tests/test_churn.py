@@ -149,3 +149,35 @@ def test_cv_run_and_reports(spark, tmpdir_path):
     back = read_fold_report(spark, f"{tmpdir_path}/folds")
     assert sorted(back.collect()) == sorted(table.collect())
     assert spark.read.json(f"{tmpdir_path}/summary").first()["n_folds_total"] == 2
+
+
+@settings(max_examples=15, deadline=None, derandomize=True)
+@given(st.lists(st.tuples(st.integers(0, 3), st.booleans(), st.floats(0, 1), st.one_of(st.none(), st.floats(0, 1))),
+                min_size=2, max_size=15))
+def test_summaries_and_rolling_equal_pandas(spark, folds):
+    import pandas as pd
+    rows, day = [], dt.date(2024, 2, 1)
+    for i, (gap, skipped, pr, roc) in enumerate(folds):
+        day = day + dt.timedelta(1 + gap)
+        rows.append((i, day, 10, 0 if skipped else 1, skipped, None if skipped else pr,
+                     None if skipped else roc))
+    table = spark.createDataFrame(rows, "fold int, test_day date, rows_test long, positives_test long, "
+                                        "skipped boolean, pr_auc double, roc_auc double")
+    pdf = pd.DataFrame(rows, columns=["fold", "test_day", "rows_test", "positives_test", "skipped",
+                                      "pr_auc", "roc_auc"]).astype({"pr_auc": float, "roc_auc": float})
+    used = pdf[~pdf["skipped"]]
+    pop = C.cv_summary_pop(table).first()
+    assert pop["n_folds_total"] == len(pdf) and pop["n_folds_skipped"] == int(pdf["skipped"].sum())
+
+    def same(a, b):
+        return (a is None and (b is None or pd.isna(b))) or (a is not None and abs(a - b) < 1e-9)
+    assert same(pop["pr_auc_mean"], used["pr_auc"].mean())
+    assert same(pop["pr_auc_std"], used["pr_auc"].std(ddof=0))
+    assert same(pop["roc_auc_std"], used["roc_auc"].std(ddof=0))
+    ok = used.assign(test_day=pd.to_datetime(used["test_day"])).set_index("test_day")
+    ref = ok[["pr_auc", "roc_auc"]].rolling("7D").mean()
+    got = {r["test_day"]: (r["pr_auc_rolling_7d"], r["roc_auc_rolling_7d"])
+           for r in C.fold_rolling_7d(table).collect()}
+    for ts, (p, r) in ref.iterrows():
+        gp, gr = got[ts.date()]
+        assert same(gp, p) and same(gr, r)
