@@ -51,3 +51,22 @@ def test_billing_hash_matches_python_strip(spark, rows):
         f"{k}={v.strip()}" for k, v in zip(("billing_date", "user_id", "event", "plan_id"), r))).encode()).hexdigest()
         for r in rows]
     assert got == want
+
+
+@settings(max_examples=30, deadline=None, derandomize=True)
+@given(st.lists(st.one_of(st.integers(-3_000_000, 30_000_000),
+                          st.integers(-5, 40).map(lambda k: k * 500_000)), min_size=1, max_size=10))
+def test_lateness_rounds_like_integer_cast_of_epoch_seconds(spark, diffs_us):
+    import datetime as dt
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.functions.time import lateness_sec
+    base = dt.datetime(2024, 1, 1, 12, 0, 0)
+    df = spark.createDataFrame([(base, base + dt.timedelta(microseconds=d)) for d in diffs_us],
+                               "event_ts timestamp, received_ts timestamp")
+    got = [r[0] for r in df.select(lateness_sec(F.col("received_ts"), F.col("event_ts"))).collect()]
+    want = [max(int((Decimal(d) / Decimal(10**6)).quantize(Decimal(1), rounding=ROUND_HALF_UP)), 0)
+            for d in diffs_us]
+    assert got == want
