@@ -70,3 +70,16 @@ def test_lateness_rounds_like_integer_cast_of_epoch_seconds(spark, diffs_us):
     want = [max(int((Decimal(d) / Decimal(10**6)).quantize(Decimal(1), rounding=ROUND_HALF_UP)), 0)
             for d in diffs_us]
     assert got == want
+
+
+@settings(max_examples=30, deadline=None, derandomize=True)
+@given(st.lists(values, min_size=1, max_size=8))
+def test_top_level_key_test_equals_python(spark, docs):
+    from pyspark.sql import functions as F
+
+    from ledgerline.functions.json import has_top_key
+    texts = [json.dumps(d) for d in docs]
+    df = spark.createDataFrame([(t,) for t in texts], "props string")
+    got = [r[0] for r in df.select(has_top_key(F.col("props"), "x")).collect()]
+    want = [isinstance(d, dict) and "x" in d for d in docs]
+    assert got == want
