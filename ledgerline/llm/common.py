@@ -33,11 +33,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def texts(df: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
+def texts(df: DataFrame, id_col: str, text_col: str, *others) -> DataFrame:
     """Only the operator's own columns (``id``, ``text``, others), so that further
     columns of the input can have any name."""
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                     *[F.col(c) for c in others])
+                     *others)
 
 
 def slices(batch: pa.RecordBatch, column: str = "text",

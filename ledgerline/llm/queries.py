@@ -16,6 +16,11 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.decontamination import contamination
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), span=13, share=20).drop("items")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.token_counts import token_counts
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), limit=512)
@@ -26,15 +31,58 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.secret_scan import secret_spans
+    return secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.token_files import token_file_digests
     return token_file_digests(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), end_id=0)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.langid import language_id
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_secrets": op7_secrets,
     "op8_token_files": op8_token_files,
+    "op9_language_id": op9_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+# word by word: every 13-word (or shorter whole) window of an item against every
+# window of the same length of every document
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS g
+  FROM (SELECT item_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s
+        FROM (SELECT *, least(13, len(w)) AS n FROM b WHERE len(w) > 0))),
+dw AS (
+  SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s
+        FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hits AS (SELECT dw.doc_id, dw.s, dw.n, bw.item_id FROM dw JOIN bw USING (n, g)),
+cover AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+          FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS list
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
+}
