@@ -26,6 +26,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), limit=512)
 
 
+def op4_topk_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from ledgerline.llm.topk_products import top_k_products
+    return top_k_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.piece_codec import piece_digests
     return piece_digests(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE))
@@ -46,13 +53,20 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.lsh_forest import jaccard_classes
+    return jaccard_classes(table(spark, sf_dir, "documents"), size=5, threshold=0.8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
+    "op4_topk_products": op4_topk_products,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_secrets": op7_secrets,
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 # word by word: every 13-word (or shorter whole) window of an item against every
@@ -83,6 +97,21 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# every product of a query with every other row
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+WHERE rank <= 20
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
+    "op4_topk_products": OP4_SQL,
 }
