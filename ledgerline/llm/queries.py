@@ -26,6 +26,21 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), limit=512)
 
 
+#: (verdict, host, path)
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.url_filter import url_verdicts
+    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_topk_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -61,6 +76,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
+    "op3_url_filter": op3_url_filter,
     "op4_topk_products": op4_topk_products,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_secrets": op7_secrets,
