@@ -107,14 +107,15 @@ def _compressors(dictionaries: dict[str, bytes]) -> Compressors:
 
 def predict_language(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text",
                      keep: list[str] | None = None, narrow: float = NARROW) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, rejected`` and the columns ``keep`` per row.
+    """``doc_id, held_out, lang_pred, score, rejected`` per row, and the columns ``keep`` as
+    ``kept_<name>``.
 
     ``score`` is one less the best size over the second best.
     """
     keep = keep or []
     schema = T.StructType([id_field(df, id_col), T.StructField("held_out", T.BooleanType()),
                            T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-                           T.StructField("rejected", T.BooleanType()), *[df.schema[c] for c in keep]])
+                           T.StructField("rejected", T.BooleanType()), *[T.StructField(f"kept_{c}", df.schema[c].dataType) for c in keep]])
     # at most DICT_BYTES a language
     shared = df.sparkSession.sparkContext.broadcast(dictionaries)
 
@@ -135,13 +136,20 @@ def predict_language(df: DataFrame, dictionaries: dict[str, bytes], id_col: str
                 rejected = [s < narrow or x == "und" for s, x in zip(scores, langs, strict=True)]
                 yield pa.record_batch([batch.column("id"), batch.column("held"), pa.array(langs, pa.string()),
                                        pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_()),
-                                       *[batch.column(f"keep_{i}") for i in range(len(keep))]], names=schema.names)
+                                       *[batch.column(f"kept_{c}") for c in keep]], names=schema.names)
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                     held_out(id_col).alias("held"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
+                     held_out(id_col).alias("held"), *[F.col(c).alias(f"kept_{c}") for c in keep])
     return rows.mapInArrow(predict, schema)
 
 
+def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``df`` without the rows whose language is rejected."""
+    known = learn_dictionaries(df, id_col, text_col, lang_col)
+    out = predict_language(df, known, id_col, text_col, keep=df.columns)
+    return out.where(~F.col("rejected")).select([F.col(f"kept_{c}").alias(c) for c in df.columns])
+
+
 def language_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Learn from the rows that are not held out, predict every row."""
     return predict_language(df, learn_dictionaries(df, id_col, text_col, lang_col), id_col, text_col)

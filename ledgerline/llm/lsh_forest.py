@@ -249,3 +249,16 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select(F.col("id").alias(field.name), F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
                       F.when(alone, F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``df`` with one row of each group of near copies: the one with the least id (of
+    several rows with that id, the least hash of the text; of equal rows, any)."""
+    digest = F.md5(F.col(text_col).cast("binary"))
+    keyed = df.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), digest.alias("md5")).alias("key"),
+                      F.col(text_col).alias("text"))
+    found = jaccard_classes(keyed, "key", "text", **options)
+    name = lambda key: F.concat_ws(":", F.coalesce(key["id"].cast("string"), F.lit("-")), F.coalesce(key["md5"], F.lit("-")))
+    heads = found.select(name(F.col("class_id")).alias("__key")).distinct()
+    own = name(F.struct(F.col(id_col).alias("id"), digest.alias("md5")))
+    return df.withColumn("__key", own).join(heads, "__key", "left_semi").dropDuplicates(["__key"]).select(df.columns)

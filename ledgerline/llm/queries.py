@@ -53,6 +53,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.substring_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"), span=50)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.secret_scan import secret_spans
     return secret_spans(table(spark, sf_dir, "documents"))
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_topk_products": op4_topk_products,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_secrets": op7_secrets,
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
@@ -127,7 +133,33 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20
 """
 
+# the least document of every 50-byte string, on hex digits
+OP6_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, k, substring(h, CAST(512 * k + 1 AS BIGINT), 610) AS part
+      FROM (SELECT doc_id, h, unnest(range(0, CAST((len(h) // 2 - 49 + 255) // 256 AS BIGINT))) AS k FROM d WHERE len(h) >= 100)),
+w AS (SELECT doc_id, 256 * k + q AS p, substring(part, CAST(2 * q + 1 AS BIGINT), 100) AS g
+      FROM (SELECT doc_id, k, part, unnest(range(0, CAST(least(256, len(part) // 2 - 49) AS BIGINT))) AS q FROM c)),
+m AS (SELECT g, min(doc_id) AS least FROM w GROUP BY g),
+f AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before, lead(p) OVER (PARTITION BY doc_id ORDER BY p) AS after
+      FROM w JOIN m USING (g) WHERE doc_id > least),
+s AS (SELECT doc_id, sum(least(50, coalesce(after - p, 50))) AS n_removed, count(*) FILTER (before IS NULL OR p > before + 50) AS n_spans
+      FROM f GROUP BY doc_id),
+spans AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS kept_from
+  FROM (SELECT doc_id, min(p) AS a, max(p) + 50 AS b
+        FROM (SELECT *, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM f)
+        GROUP BY doc_id, run)),
+kept AS (SELECT doc_id, string_agg(substring(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS front, max(b) AS last
+         FROM spans JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(front, '') || substring(h, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op4_topk_products": OP4_SQL,
+    "op6_substring_dedup": OP6_SQL,
 }
