@@ -8,8 +8,8 @@ those of the benchmark, each hit is extended to the spans around it, and spans a
 compared word by word.  Items shorter than the span are one window of their own
 length, fingerprinted by the hash of all their words.
 
-Before the join, text fingerprints pass a Bloom filter of ``FILTER_BITS`` bits over
-the benchmark's, which has this size on any benchmark; it only saves work.
+Before the join, text fingerprints pass a Bloom filter of the benchmark's, bounded on
+any benchmark (``bloom``); it only saves work.
 
 Defined cases: a null text has no words and is not hit; null or wordless items have
 no window; an item row with a null id marks words but is not listed; repeated item
@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.bloom import bloom_of, may_hold
 from ledgerline.llm.common import id_field, slices, stored, text_buffer
 
 SPAN = 13
 K, W = 7, 7
-FILTER_BITS = 1 << 23
 #: Bytes that word hashes are computed over at once.
 SEGMENT = 1 << 21
 
@@ -145,25 +145,6 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
     return stored(found.groupBy("fp", "n", "words").agg(F.collect_set("item").alias("items")), "benchmark-windows")
 
 
-def bloom_positions(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u = fp.view(np.uint64)
-    shift = np.uint64(64 - (FILTER_BITS.bit_length() - 1))
-    return (u * _Q) >> shift, (u * np.uint64(_P)) >> shift
-
-
-def bloom_filter(windows: DataFrame) -> np.ndarray:
-    """Packed bits of the fingerprints; at most ``FILTER_BITS`` bits reach the driver."""
-    def bits(batches):
-        for batch in batches:
-            at = np.unique(np.concatenate(bloom_positions(batch.column("fp").to_numpy(zero_copy_only=False)))).astype(np.int64)
-            yield pa.record_batch([pa.array(at >> 3), pa.array((1 << (at & 7)).astype(np.int32))], names=["byte", "bit"])
-
-    found = windows.select("fp").mapInArrow(bits, "byte long, bit int").groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS >> 3, np.uint8)
-    out[found["byte"].to_numpy()] = found["bits"].to_numpy()
-    return out
-
-
 def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", span: int = SPAN,
                   share: int = 20) -> DataFrame:
@@ -172,20 +153,14 @@ def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     spark = df.sparkSession
     windows = benchmark_windows(benchmark, item_col, item_text_col, span)
     lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())  # at most ``span`` values
-    shared = spark.sparkContext.broadcast(bloom_filter(windows))
+    shared = spark.sparkContext.broadcast(bloom_of(windows, "fp"))
     field = id_field(df, id_col)
     out = T.StructType([T.StructField("id", field.dataType), T.StructField("row", T.LongType()), T.StructField("n_words", T.LongType()),
                         T.StructField("start", T.IntegerType()), T.StructField("fp", T.LongType()),
                         T.StructField("n", T.IntegerType()), T.StructField("words", T.StringType())])
 
     def candidates(batches):
-        bits = shared.value
-
-        def passes(fp):
-            a, b = bloom_positions(fp)
-            return ((bits[a >> np.uint64(3)] >> (a & np.uint64(7)).astype(np.uint8))
-                    & (bits[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-
+        passes = shared.value.may_hold
         for whole in batches:
             for batch in slices(whole):
                 low, starts, ends, hashes, first = words_of(*text_buffer(batch.column("text")))
@@ -237,5 +212,10 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, text_col: str = "text
     key = F.sha2(F.col(text_col).cast("binary"), 256)
     keyed = df.select(key.alias("key"), F.col(text_col).alias("text"))
     found = contamination(keyed, benchmark, "key", "text", **options)
-    bad = found.where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
-    return df.join(bad, key == F.col("__bad"), "left_anti")
+    bad = stored(found.where("contaminated").select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
+    # only texts that may be among them are joined
+    tag = F.xxhash64(F.coalesce(key, F.lit("")))
+    passes = may_hold(df, bloom_of(bad.select(F.xxhash64("__bad").alias("tag")), "tag"), tag)
+    marked = df.withColumn("__may", passes)
+    asked = marked.where("__may").drop("__may").join(bad, key == F.col("__bad"), "left_anti")
+    return marked.where(~F.col("__may")).drop("__may").unionByName(asked)

@@ -14,7 +14,7 @@ other texts connect it.
 Candidate components over ``BLOCK`` classes are cut into blocks by a hash, and each pair
 of blocks is a task of its own; a task gives link counts and a spanning forest, never
 the pairs themselves.  Sets are shipped once per block pair, and only for classes that
-have a candidate.
+have a candidate; a Bloom filter keeps all other texts out of the shuffle.
 
 Defined cases: a null or wordless text has no shingles, no links and its own class;
 repeated rows are copies of each other; null ids are allowed (they sort last as a
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.bloom import bloom_of, may_hold
 from ledgerline.llm.common import id_field, slices, stored, text_buffer
 from ledgerline.llm.components import connected_components
 from ledgerline.llm.decontamination import grams, mixed, windows_in, words_of
@@ -226,7 +227,9 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # the sets of one row of each such class
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.withColumn("text_md5", F.md5(F.col("text").cast("binary")))
-    picked = (texts.join(placed.select("cid", "rep_id", "md5"), (F.col("text_md5") == F.col("md5")) & F.col("id").eqNullSafe(F.col("rep_id")))
+    passes = may_hold(df, bloom_of(placed.select(F.xxhash64(F.struct("rep_id"), "md5").alias("tag")), "tag"),
+                      F.xxhash64(F.struct("id"), F.col("text_md5")))
+    picked = (texts.where(passes).join(placed.select("cid", "rep_id", "md5"), (F.col("text_md5") == F.col("md5")) & F.col("id").eqNullSafe(F.col("rep_id")))
               .select("cid", "text"))
     sets = shingle_sets(picked, size).dropDuplicates(["cid"])
     parts = (sets.join(placed.select("cid", "component", "size", "n"), "cid")
