@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.session import checkpoint_dir
 
 #: Bytes of text that a task works on at once.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from ledgerline.llm.common import BATCH_BYTES, text_buffer
 
 #: Most distinct pieces held by one worker.
-TABLE_ROWS = 1_000_000
+TABLE_ROWS = 400_000
 #: Pieces encoded together in one call.
 JOIN_PIECES = 2_000
 

@@ -167,6 +167,14 @@ def content_keys(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple
     return mixed(keys[0] + size.astype(np.uint64)), mixed(keys[1] + size.astype(np.uint64))
 
 
+def equal_runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """``(start, end)`` of the runs of equal values."""
+    if not values.size:
+        return []
+    edges = (np.flatnonzero(values[1:] != values[:-1]) + 1).tolist()
+    return list(zip([0, *edges], [*edges, values.size], strict=True))
+
+
 def _rows(table: pa.Table) -> list[dict]:
     return table.to_pylist()
 
@@ -263,8 +271,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 p = Pack(row, span, gram, buckets)
                 several = p.several()
                 low = p.hash.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                at = np.flatnonzero(np.append(True, p.bucket[1:] != p.bucket[:-1])) if p.bucket.size else p.bucket
-                for a, b in zip(at.tolist(), [*at[1:].tolist(), p.bucket.size], strict=True):
+                for a, b in equal_runs(p.bucket):
                     yield pa.record_batch([pa.array([p.bucket[a]], pa.int64()), pa.array([row["pid"]], pa.int64()),
                                            pa.array([low[a:b].tobytes()]), pa.array([np.packbits(several[a:b]).tobytes()])],
                                           names=["bucket", "pid", "hashes", "several"])
@@ -297,8 +304,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         rows = []
         for pack in _rows(left):
             p = with_shared(pack, _rows(right))
-            at = np.flatnonzero(np.append(True, p.seg_bucket[1:] != p.seg_bucket[:-1])) if p.seg_bucket.size else p.seg_bucket
-            for a, b in zip(at.tolist(), [*at[1:].tolist(), p.seg_bucket.size], strict=True):
+            for a, b in equal_runs(p.seg_bucket):
                 rows.append({"bucket": int(p.seg_bucket[a]), "pid": pack["pid"], "sizes": p.seg_size[a:b].astype("<i8").tobytes(),
                              "least": p.seg_least[a:b].astype("<i8").tobytes(),
                              "data": squeeze.compress(gathered(p.data, p.seg_start[a:b], p.seg_size[a:b]).tobytes())})
