@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import tidied
+
 #: 16 bits a key up to 32 MB; beyond that more keys pass in vain.
 LEAST_BITS, MOST_BITS, BITS_A_KEY = 1 << 16, 1 << 28, 16
 
@@ -42,7 +44,7 @@ def bloom_of(df: DataFrame, col: str) -> Bloom:
             at = np.unique(np.concatenate(out.positions(batch.column("key").to_numpy(zero_copy_only=False)))).astype(np.int64)
             yield pa.record_batch([pa.array(at >> 3), pa.array((1 << (at & 7)).astype(np.int32))], names=["byte", "bit"])
 
-    found = (df.select(F.col(col).cast("long").alias("key")).where("key is not null").mapInArrow(set_bits, "byte long, bit int")
+    found = (df.select(F.col(col).cast("long").alias("key")).where("key is not null").mapInArrow(tidied(set_bits), "byte long, bit int")
              .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow())
     out.bytes[found["byte"].to_numpy()] = found["bits"].to_numpy()
     return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import checkpoint_dir
 
+#: Called when a task ends, to empty what its Python worker holds between batches.
+AFTER_TASK: list = []
+
 #: Bytes of text that a task works on at once.
 BATCH_BYTES = 4 << 20
 
@@ -79,3 +83,40 @@ def id_field(df: DataFrame, id_col: str, name: str = "doc_id"):
     """The id column's own type under the result's name."""
     from pyspark.sql import types as T
     return T.StructField(name, df.schema[id_col].dataType)
+
+
+def tidy() -> None:
+    """Give memory that the worker no longer uses back to the machine: workers outlive
+    their tasks."""
+    for empty in AFTER_TASK:
+        empty()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidied(function):
+    """``function`` over a task's batches, tidying up at its end."""
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            tidy()
+    return run
+
+
+def tidied_group(function):
+    """``function`` of one group, or of two grouped tables, tidying up after each."""
+    def one(table: pa.Table) -> pa.Table:
+        try:
+            return function(table)
+        finally:
+            tidy()
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return function(left, right)
+        finally:
+            tidy()
+    return two if function.__code__.co_argcount == 2 else one

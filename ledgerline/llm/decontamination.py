@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.bloom import bloom_of, may_hold
-from ledgerline.llm.common import id_field, slices, stored, text_buffer
+from ledgerline.llm.common import id_field, slices, stored, text_buffer, tidied
 
 SPAN = 13
 K, W = 7, 7
 #: Bytes that word hashes are computed over at once.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 19
 
 _CODE = np.arange(256)
 _UPPER = (_CODE >= 0x41) & (_CODE <= 0x5A)
@@ -141,7 +141,7 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
                                        pa.array(n, pa.int32()), pa.array(words, pa.string())], names=["item", "fp", "n", "words"])
 
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
-    found = rows.mapInArrow(cut, "item string, fp long, n int, words string")
+    found = rows.mapInArrow(tidied(cut), "item string, fp long, n int, words string")
     return stored(found.groupBy("fp", "n", "words").agg(F.collect_set("item").alias("items")), "benchmark-windows")
 
 
@@ -191,7 +191,7 @@ def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     # every document also sends one row without a window (n = 0), spread by its row number
     numbered = (df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
                 .withColumn("row", F.monotonically_increasing_id()))
-    joined = numbered.mapInArrow(candidates, out).join(windows, ["fp", "n", "words"], "left")
+    joined = numbered.mapInArrow(tidied(candidates), out).join(windows, ["fp", "n", "words"], "left")
     hit = F.when(F.col("items").isNotNull(), F.struct(F.col("start").cast("long").alias("a"),
                                                       (F.col("start") + F.col("n")).cast("long").alias("b")))
     per_row = joined.groupBy("row", "id").agg(

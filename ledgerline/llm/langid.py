@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import id_field, slices, texts
+from ledgerline.llm.common import AFTER_TASK, id_field, slices, texts, tidied
 
 SAMPLE_ROWS = 300
 SAMPLE_BYTES = 6_000
@@ -105,6 +105,9 @@ def _compressors(dictionaries: dict[str, bytes]) -> Compressors:
     return _READY[key][1]
 
 
+AFTER_TASK.append(_READY.clear)
+
+
 def predict_language(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text",
                      keep: list[str] | None = None, narrow: float = NARROW) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, rejected`` per row, and the columns ``keep`` as
@@ -140,7 +143,7 @@ def predict_language(df: DataFrame, dictionaries: dict[str, bytes], id_col: str
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                      held_out(id_col).alias("held"), *[F.col(c).alias(f"kept_{c}") for c in keep])
-    return rows.mapInArrow(predict, schema)
+    return rows.mapInArrow(tidied(predict), schema)
 
 
 def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.bloom import bloom_of, may_hold
-from ledgerline.llm.common import id_field, slices, stored, text_buffer
+from ledgerline.llm.common import id_field, slices, stored, text_buffer, tidied
 from ledgerline.llm.components import connected_components
 from ledgerline.llm.decontamination import grams, mixed, windows_in, words_of
 
@@ -114,7 +114,7 @@ def forest(df: DataFrame, id_col: str, text_col: str, size: int, trees: int, dep
                 yield pa.record_batch([batch.column("id"), batch.column("md5"), k1, k2, tries], names=schema.names)
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.withColumn("md5", F.md5(F.col("text").cast("binary"))).mapInArrow(sign, schema)
+    return rows.withColumn("md5", F.md5(F.col("text").cast("binary"))).mapInArrow(tidied(sign), schema)
 
 
 def shingle_sets(rows: DataFrame, size: int) -> DataFrame:
@@ -127,7 +127,7 @@ def shingle_sets(rows: DataFrame, size: int) -> DataFrame:
                 out = [np.unique(sh[a:b]).tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 yield pa.record_batch([batch.column("cid"), pa.array(out, pa.binary())], names=["cid", "sets"])
 
-    return rows.select("cid", "text").mapInArrow(cut, "cid long, sets binary")
+    return rows.select("cid", "text").mapInArrow(tidied(cut), "cid long, sets binary")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:

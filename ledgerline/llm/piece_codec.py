@@ -1,7 +1,7 @@
 """Operator 5, SentencePiece encoding and decoding with a distinct-chunk table.
 
 Pieces of the model cannot cross a blank's marker, so every marked word is segmented
-once (``pieces.PieceTable``, one table per Python worker, bounded) and its ids are
+once (``pieces.PieceTable``, one table per task, bounded) and its ids are
 joined back by position in each text.  Ids are decoded by the library.
 
 Defined cases: a null text is an empty one (begin and end only, decoded to an empty
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import id_field, slices, texts
+from ledgerline.llm.common import id_field, slices, texts, tidied
 from ledgerline.llm.pieces import sentence_pieces
 
 
@@ -43,7 +43,7 @@ def encode_pieces(df: DataFrame, model: str, id_col: str = "doc_id", text_col: s
                 yield pa.record_batch([batch.column("id"), pa.ListArray.from_arrays(
                     pa.array(np.append(0, ends), pa.int32()), pa.array(ids.astype(np.int32)))], names=schema.names)
 
-    return texts(df, id_col, text_col).mapInArrow(encode, schema)
+    return texts(df, id_col, text_col).mapInArrow(tidied(encode), schema)
 
 
 def decode_pieces(df: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -57,7 +57,7 @@ def decode_pieces(df: DataFrame, model: str, id_col: str = "doc_id", ids_col: st
                 [None if x is None else lib.decode(x) for x in batch.column("ids").to_pylist()], pa.string())],
                 names=schema.names)
 
-    return df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(decode, schema)
+    return df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(tidied(decode), schema)
 
 
 def piece_digests(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -80,4 +80,4 @@ def piece_digests(df: DataFrame, model: str, id_col: str = "doc_id", text_col: s
                 yield pa.record_batch([batch.column("id"), pa.array(np.diff(ends, prepend=0), pa.int64()),
                                        pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=schema.names)
 
-    return texts(df, id_col, text_col).mapInArrow(digest, schema)
+    return texts(df, id_col, text_col).mapInArrow(tidied(digest), schema)

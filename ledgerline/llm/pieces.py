@@ -3,8 +3,8 @@
 A text is cut at positions where the tokenizer always starts a new token.  The
 pieces of a batch are dictionary-encoded by Arrow, each distinct piece is
 encoded once by the tokenizer's own library, and the ids are joined back by
-position.  The table lives for a task's Python worker and is emptied when it
-holds ``TABLE_ROWS`` pieces, so memory is bounded on any corpus.
+position.  The table lives for a task and is emptied when it would hold more than
+``TABLE_ROWS`` pieces, so memory is bounded on any corpus.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ledgerline.llm.common import BATCH_BYTES, text_buffer
+from ledgerline.llm.common import AFTER_TASK, BATCH_BYTES, text_buffer
 
-#: Most distinct pieces held by one worker.
-TABLE_ROWS = 400_000
+#: Most distinct pieces that a task holds at once.
+TABLE_ROWS = 300_000
 #: Pieces encoded together in one call.
 JOIN_PIECES = 2_000
 
@@ -325,7 +325,7 @@ _LOADED: dict[tuple, ByteLevelBPE | SentencePieces] = {}
 
 
 def byte_level(path: str) -> ByteLevelBPE:
-    """One tokenizer and table per Python worker and file."""
+    """One tokenizer per Python worker and file, with one table at a time."""
     if ("bpe", path) not in _LOADED:
         _LOADED["bpe", path] = ByteLevelBPE(path)
     return _LOADED["bpe", path]
@@ -335,3 +335,11 @@ def sentence_pieces(path: str) -> SentencePieces:
     if ("sp", path) not in _LOADED:
         _LOADED["sp", path] = SentencePieces(path)
     return _LOADED["sp", path]
+
+
+def _empty_tables() -> None:
+    for coder in _LOADED.values():
+        coder.table.clear()
+
+
+AFTER_TASK.append(_empty_tables)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import id_field, slices, texts
+from ledgerline.llm.common import id_field, slices, texts, tidied
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -186,7 +186,7 @@ def secret_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                                        pa.array([written(spans) for _, spans in rows], pa.string()),
                                        pa.array([len(spans) for _, spans in rows], pa.int64())], names=schema.names)
 
-    return texts(df, id_col, text_col).mapInArrow(find, schema)
+    return texts(df, id_col, text_col).mapInArrow(tidied(find), schema)
 
 
 def redact(text: str | None, mark: str = "[SECRET]") -> str | None:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import slices, stored, text_buffer
+from ledgerline.llm.common import slices, stored, text_buffer, tidied, tidied_group
 from ledgerline.llm.decontamination import _P, _P_INV, _powers, mixed
 from ledgerline.llm.induced import sorted_suffixes
 
@@ -66,7 +66,7 @@ def packs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 n += 1
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return stored(rows.mapInArrow(pack, PACK), "packs")
+    return stored(rows.mapInArrow(tidied(pack), PACK), "packs")
 
 
 class Pack:
@@ -343,11 +343,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     types = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(),
              "kept_sha256": pa.string(), **({"kept": pa.binary()} if texts else {})}
     names = list(types)
-    lists = all_packs.mapInArrow(list_hashes, "bucket long, pid long, hashes binary, several binary")
-    shared = stored(lists.groupBy("bucket").applyInArrow(find_shared, "pid long, bucket long, bits binary"), "shared-hashes")
+    lists = all_packs.mapInArrow(tidied(list_hashes), "bucket long, pid long, hashes binary, several binary")
+    shared = stored(lists.groupBy("bucket").applyInArrow(tidied_group(find_shared), "pid long, bucket long, bits binary"), "shared-hashes")
     segments = (all_packs.groupBy("pid").cogroup(shared.groupBy("pid"))
-                .applyInArrow(send_segments, "bucket long, pid long, sizes binary, least binary, data binary"))
-    flags = stored(segments.groupBy("bucket").applyInArrow(sort_shard, "pid long, bucket long, bits binary"), "window-bits")
+                .applyInArrow(tidied_group(send_segments), "bucket long, pid long, sizes binary, least binary, data binary"))
+    flags = stored(segments.groupBy("bucket").applyInArrow(tidied_group(sort_shard), "pid long, bucket long, bits binary"), "window-bits")
     answers = shared.withColumn("sorted", F.lit(False)).unionByName(flags.withColumn("sorted", F.lit(True)))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else "")
-    return all_packs.groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(cut, schema)
+    return all_packs.groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(tidied_group(cut), schema)

@@ -2,7 +2,7 @@
 
 Rows are worked on in batches balanced by bytes; texts are split at boundaries that
 the tokenizer never crosses (``pieces``), so that one very long text costs no more
-memory than many short ones and each distinct piece is encoded once per worker.
+memory than many short ones and each distinct piece is encoded once per task.
 
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); repeated rows and
 ids give one result row each; null ids are kept; an empty table gives an empty result.
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import id_field, slices, text_lengths, texts
+from ledgerline.llm.common import id_field, slices, text_lengths, texts, tidied
 from ledgerline.llm.pieces import byte_level
 
 
@@ -33,4 +33,4 @@ def token_counts(df: DataFrame, tokenizer: str, limit: int = 512,
                 yield pa.record_batch([batch.column("id"), pa.array(text_lengths(batch.column("text")), pa.int64()),
                                        pa.array(n, pa.int64()), pa.array(n > limit)], names=schema.names)
 
-    return texts(df, id_col, text_col).mapInArrow(count, schema)
+    return texts(df, id_col, text_col).mapInArrow(tidied(count), schema)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import scratch, slices, stored
+from ledgerline.llm.common import scratch, slices, stored, tidied
 from ledgerline.llm.pieces import byte_level
 
 MAGIC = 0x314B4F5446454C31
@@ -182,7 +182,7 @@ def write_token_files(df: DataFrame, tokenizer: str, folder: str | None = None,
         if docs:
             yield flush()
 
-    return stored(rows.mapInArrow(write, "part int, run int, path string, docs long, ids long"), "token-manifest")
+    return stored(rows.mapInArrow(tidied(write), "part int, run int, path string, docs long, ids long"), "token-manifest")
 
 
 def read_token_files(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
@@ -206,7 +206,7 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, folder: str) -> D
                 yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(starts + base, pa.int64()),
                                        pa.array(ends - starts, pa.int64()), pa.array(crc, pa.int64())], names=schema.names)
 
-    return placed.select("path", "base").repartition(F.col("path")).mapInArrow(read, schema)
+    return placed.select("path", "base").repartition(F.col("path")).mapInArrow(tidied(read), schema)
 
 
 def token_file_digests(df: DataFrame, tokenizer: str, end_id: int = 0,

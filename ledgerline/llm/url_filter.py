@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import slices, stored
+from ledgerline.llm.common import slices, stored, tidied
 
 #: Longest word looked up, and distinct words counted in a task before they are sent on.
 WORD_LENGTH, FLUSH_WORDS = 20, 200_000
@@ -76,7 +76,7 @@ def word_counts(pages: DataFrame, html_col: str) -> DataFrame:
                         seen = Counter()
         yield sent(seen)
 
-    raw = pages.select(F.col(html_col).cast("string").alias("html")).mapInArrow(count, "word string, n long")
+    raw = pages.select(F.col(html_col).cast("string").alias("html")).mapInArrow(tidied(count), "word string, n long")
     return raw.where(F.length("word") <= WORD_LENGTH).groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -113,7 +113,7 @@ def segmented(names: DataFrame, unigrams: DataFrame) -> DataFrame:
                      for name, known in zip(batch.column("name").to_pylist(), batch.column("known").to_pylist(), strict=True)]
             yield pa.record_batch([batch.column("name"), pa.array(found, pa.list_(pa.string()))], names=["name", "words"])
 
-    return names.join(known, "name", "left").mapInArrow(split, "name string, words array<string>")
+    return names.join(known, "name", "left").mapInArrow(tidied(split), "name string, words array<string>")
 
 
 def _path_tokens(path: Column) -> Column:
