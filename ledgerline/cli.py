@@ -31,7 +31,7 @@ from ledgerline.operators import quality as Q
 from ledgerline.operators import silver as S
 from ledgerline.operators import staging as G
 from ledgerline.plans import churn as C
-from ledgerline.session import apply_cluster_conf, get_spark
+from ledgerline.session import apply_cluster_conf, checkpoint_dir, get_spark
 from ledgerline.sources import files, sinks
 
 
@@ -53,22 +53,22 @@ def _report(parsed, existing) -> None:
 
 
 def load_events(spark, a) -> None:
+    checkpoint_dir(spark)
     lines = files.scan_jsonl(spark, a.events_dir, a.glob, a.limit_files)
     existing = _existing(spark, a.bronze)
     parsed = B.parse_event_lines(lines, a.ingestion_ts or _now(), a.mode).checkpoint(eager=True)
     _report(parsed, existing)
-    new = B.append_new(parsed, existing).checkpoint(eager=True)
-    new.write.mode("append").partitionBy("source_file").parquet(a.bronze)
+    B.append_new(parsed, existing).write.mode("append").partitionBy("source_file").parquet(a.bronze)
 
 
 def load_billing(spark, a) -> None:
+    checkpoint_dir(spark)
     rows = files.scan_billing_csv(spark, a.billing_dir, a.glob, a.limit_files)
     existing = _existing(spark, a.bronze)
     parsed = B.parse_billing_rows(rows, a.ingestion_ts or _now(), a.empty_as_null, a.mode) \
         .checkpoint(eager=True)
     _report(parsed, existing)
-    new = B.append_new(parsed, existing).checkpoint(eager=True)
-    new.write.mode("append").partitionBy("source_file").parquet(a.bronze)
+    B.append_new(parsed, existing).write.mode("append").partitionBy("source_file").parquet(a.bronze)
 
 
 def silver(spark, a) -> None:

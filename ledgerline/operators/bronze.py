@@ -19,6 +19,8 @@ EVENT_FIELDS = ["event_id", "event_ts", "received_ts", "user_id", "device_id",
 BRONZE_EVENT_COLUMNS = EVENT_FIELDS + ["source_file", "ingestion_ts", "row_hash"]
 BILLING_FIELDS = ["billing_date", "user_id", "event", "plan_id"]
 BRONZE_BILLING_COLUMNS = BILLING_FIELDS + ["source_file", "ingestion_ts", "row_hash"]
+# Key under which ``props`` keeps the text of a line that is not JSON.
+RAW_LINE_KEY = "_raw_line"
 # Fixed value: one load run stamps all its rows with one ingestion time.
 DEFAULT_INGESTION_TS = "2024-02-01 00:00:00"
 
@@ -40,17 +42,27 @@ def parse_event_lines(lines: DataFrame, ingestion_ts: str = DEFAULT_INGESTION_TS
     is read in the session zone, UTC); falsy ``props`` become ``{}``.
     ``row_hash = sha256(source_file | canonical_json(record))`` where the
     canonical form has sorted keys at every level and no blanks.
+
+    In permissive mode a line that is not JSON keeps its text: ``props`` holds it
+    under ``RAW_LINE_KEY`` and its hash covers the text itself, so every distinct
+    malformed line is a row of its own and a reload adds nothing.
     """
     permissive = mode == "permissive"
     parse = F.try_parse_json if permissive else F.parse_json
     v = parse(F.col("value"))
     get = F.try_variant_get if permissive else F.variant_get
-    parsed = lines.select("source_file", v.alias("_v"))
+    parsed = lines.select("source_file", "value", v.alias("_v"))
 
     def s(field: str) -> Column:
         return get(F.col("_v"), f"$.{field}", "string")
 
-    props = canonical_json(F.variant_get(F.col("_v"), "$.props", "variant"))
+    props = props_or_empty(canonical_json(F.variant_get(F.col("_v"), "$.props", "variant")))
+    row_hash = F.sha2(F.concat(F.col("source_file"), F.lit("|"), canonical_json(F.col("_v"))), 256)
+    if permissive:
+        malformed = F.col("_v").isNull()
+        props = F.when(malformed, F.to_json(F.struct(F.col("value").alias(RAW_LINE_KEY)))).otherwise(props)
+        row_hash = F.when(malformed, F.sha2(F.concat(F.col("source_file"), F.lit("|malformed|"), F.col("value")), 256)) \
+            .otherwise(row_hash)
     return parsed.select(
         s("event_id").alias("event_id"),
         _to_ts(s("event_ts"), permissive).alias("event_ts"),
@@ -59,11 +71,10 @@ def parse_event_lines(lines: DataFrame, ingestion_ts: str = DEFAULT_INGESTION_TS
         s("device_id").alias("device_id"),
         s("session_id").alias("session_id"),
         s("event_type").alias("event_type"),
-        props_or_empty(props).alias("props"),
+        props.alias("props"),
         F.col("source_file"),
         _ts_literal(ingestion_ts).alias("ingestion_ts"),
-        F.sha2(F.concat(F.col("source_file"), F.lit("|"), canonical_json(F.col("_v"))), 256)
-        .alias("row_hash"),
+        row_hash.alias("row_hash"),
     )
 
 
@@ -111,12 +122,16 @@ def append_new(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """B4 core: rows of ``batch`` whose hash is neither repeated earlier in the
     batch nor present in ``existing``.  The result is what gets appended.
 
+    Of batch rows with one hash the least by their stored values stays, whatever
+    their order (a billing hash covers trimmed values, the rows keep untrimmed ones).
+
     The hash covers the source file, so a batch row can only match stored rows
-    of the same file: the check reads just those files' rows (a semi join on
-    ``source_file``, which prunes partitions of a bronze table partitioned by
-    file) and anti-joins on (source_file, row_hash), instead of shuffling the
-    whole table on every load."""
-    fresh = batch.dropDuplicates(["row_hash"])
+    of the same file: a semi join on ``source_file`` keeps those, and the anti
+    join is on (source_file, row_hash).  Whether the semi join prunes partitions
+    of a table partitioned by file is up to the planner's runtime filter."""
+    least = F.min(F.struct(*[F.col(c) for c in batch.columns if c != "row_hash"])).alias("_row")
+    fresh = batch.groupBy("row_hash").agg(least).select(
+        *[F.col("row_hash") if c == "row_hash" else F.col(f"_row.{c}").alias(c) for c in batch.columns])
     if existing is None:
         return fresh
     files = fresh.select("source_file").distinct()
@@ -167,5 +182,5 @@ def limit_files(lines: DataFrame, limit: int) -> DataFrame:
 
 
 def scan_lines(lines: DataFrame) -> DataFrame:
-    """B1 line handling: drop blank lines, number the lines of each file."""
+    """B1 line handling: drop blank lines."""
     return lines.where(strip(F.col("value")) != "")

@@ -25,18 +25,18 @@ def pipeline_health(bronze_events: DataFrame, silver_events: DataFrame,
     with_key = has_top_key(F.col("props"), key)
     return silver_events.agg(
         (F.avg(F.col("is_late").cast("int")) * 100.0).alias("late_rate_pct"),
-        F.sum(F.col("is_late").cast("int")).cast("int").alias("late_events"),
-        F.count(F.lit(1)).cast("int").alias("total_events"),
+        F.sum(F.col("is_late").cast("int")).alias("late_events"),
+        F.count(F.lit(1)).alias("total_events"),
         F.min(F.when(with_key, F.to_date("event_ts"))).alias("first_day_with_ui_variant"),
-        F.count_if(with_key).cast("int").alias("rows_with_ui_variant"),
+        F.count_if(with_key).alias("rows_with_ui_variant"),
     ).select(latest.alias("latest_ingestion_ts"), "*")
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """M2: (table_name, rows) for the bronze / silver / quarantine tables."""
-    parts = [df.agg(F.count(F.lit(1)).cast("int").alias("rows"))
+    parts = [df.agg(F.count(F.lit(1)).alias("rows"))
              .select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts).orderBy("table_name")
 
 
 def date_bounds(*marts: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def events_daily_range(events_daily: DataFrame, start: Column, end: Column) -> D
     late = F.coalesce(F.col("late_events") / F.when(F.col("events") != 0, F.col("events")),
                       F.lit(0.0)) * 100.0
     return _range(events_daily, start, end).select(
-        "date_day", "events", "dau", "late_events", late.alias("late_rate_pct"))
+        "date_day", "events", "dau", "late_events", late.alias("late_rate_pct")).orderBy("date_day")
 
 
 def product_kpis(events_range: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def product_kpis(events_range: DataFrame) -> DataFrame:
 def billing_daily_range(billing_daily: DataFrame, start: Column, end: Column) -> DataFrame:
     """M6: F2 within [start, end]."""
     return _range(billing_daily, start, end).select("date_day", "plan_id", "starts",
-                                                    "new_paid_users")
+                                                    "new_paid_users").orderBy("date_day", "plan_id")
 
 
 def pivot_sum(df: DataFrame, value: str, category: str = "plan_id",
@@ -105,22 +105,22 @@ def pivot_unique(df: DataFrame, value: str, category: str = "plan_id",
 def active_subs_daily(subs: DataFrame, start: Column, end: Column) -> DataFrame:
     """M9: per day within range, users and active users."""
     return _range(subs, start, end).groupBy("date_day").agg(
-        F.count(F.lit(1)).alias("users"), F.count_if("is_active").alias("active_users"))
+        F.count(F.lit(1)).alias("users"), F.count_if("is_active").alias("active_users")).orderBy("date_day")
 
 
 def churn_rate_daily(features: DataFrame) -> DataFrame:
     """Per day rows, churners and churn % to 2 places."""
     return (features.groupBy("date_day")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("churn_7d").alias("c"))
-            .select("date_day", F.col("n").cast("int").alias("rows"),
-                    F.col("c").cast("int").alias("churners"),
-                    rounded_pct(F.col("c"), F.col("n"), 2).alias("churn_rate_pct")))
+            .select("date_day", F.col("n").alias("rows"),
+                    F.col("c").cast("long").alias("churners"),
+                    rounded_pct(F.col("c"), F.col("n"), 2).alias("churn_rate_pct")).orderBy("date_day"))
 
 
 def churn_rate_overall(features: DataFrame) -> DataFrame:
     """Per day rows, churners and the unrounded churn ratio."""
     return features.groupBy("date_day").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("churn_7d").cast("int").alias("churners"),
+        F.count(F.lit(1)).alias("rows"), F.sum("churn_7d").cast("long").alias("churners"),
         F.avg("churn_7d").cast("double").alias("churn_rate"))
 
 
@@ -136,8 +136,8 @@ def late_rate_daily(silver_events: DataFrame) -> DataFrame:
     late = F.col("is_late").cast("int")
     return silver_events.groupBy(F.to_date("event_ts").alias("date_day")).agg(
         (F.avg(late) * 100.0).alias("late_rate_pct"),
-        F.sum(late).cast("int").alias("late_events"),
-        F.count(F.lit(1)).cast("int").alias("events"))
+        F.sum(late).alias("late_events"),
+        F.count(F.lit(1)).alias("events"))
 
 
 def drift_keys_daily(silver_events: DataFrame, keys: list[str] | None = None) -> DataFrame:

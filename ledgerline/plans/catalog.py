@@ -337,10 +337,10 @@ def _billing_range(lake: Lake) -> DataFrame:
 @register("pipeline_health", with_chain(
     "SELECT (SELECT max(ingestion_ts) FROM bronze_events) AS latest_ingestion_ts,"
     " avg(CAST(is_late AS INTEGER)) * 100.0 AS late_rate_pct,"
-    " CAST(sum(CAST(is_late AS INTEGER)) AS INTEGER) AS late_events,"
-    " CAST(count(*) AS INTEGER) AS total_events,"
+    " CAST(sum(CAST(is_late AS INTEGER)) AS BIGINT) AS late_events,"
+    " CAST(count(*) AS BIGINT) AS total_events,"
     f" min(CAST(event_ts AS DATE)) FILTER (WHERE {_HAS_KEY}) AS first_day_with_ui_variant,"
-    f" CAST(count(*) FILTER (WHERE {_HAS_KEY}) AS INTEGER) AS rows_with_ui_variant"
+    f" CAST(count(*) FILTER (WHERE {_HAS_KEY}) AS BIGINT) AS rows_with_ui_variant"
     " FROM silver_events"))
 def pipeline_health(lake: Lake) -> DataFrame:
     """M1: freshness, late rate and drift summary in one row."""
@@ -354,7 +354,7 @@ _TABLES = {"bronze.bronze_events": "bronze_events", "silver.silver_events": "sil
 
 
 @register("table_counts", with_chain(_sql_union(
-    [f"SELECT '{k}' AS table_name, CAST(count(*) AS INTEGER) AS \"rows\" FROM {v}"
+    [f"SELECT '{k}' AS table_name, CAST(count(*) AS BIGINT) AS \"rows\" FROM {v}"
      for k, v in _TABLES.items()])))
 def table_counts(lake: Lake) -> DataFrame:
     """M2: row counts of the bronze, silver and quarantine tables."""
@@ -418,8 +418,8 @@ def active_subs_daily(lake: Lake) -> DataFrame:
 
 
 @register("churn_rate_daily", with_chain(
-    "SELECT date_day, CAST(count(*) AS INTEGER) AS \"rows\","
-    " CAST(sum(churn_7d) AS INTEGER) AS churners,"
+    "SELECT date_day, CAST(count(*) AS BIGINT) AS \"rows\","
+    " CAST(sum(churn_7d) AS BIGINT) AS churners,"
     " round(100.0 * sum(churn_7d) / count(*), 2) AS churn_rate_pct"
     " FROM gold_user_features_daily GROUP BY date_day"))
 def churn_rate_daily(lake: Lake) -> DataFrame:
@@ -428,7 +428,7 @@ def churn_rate_daily(lake: Lake) -> DataFrame:
 
 
 @register("churn_rate_overall", with_chain(
-    "SELECT date_day, count(*) AS \"rows\", CAST(sum(churn_7d) AS INTEGER) AS churners,"
+    "SELECT date_day, count(*) AS \"rows\", CAST(sum(churn_7d) AS BIGINT) AS churners,"
     " CAST(avg(churn_7d) AS DOUBLE) AS churn_rate FROM gold_user_features_daily GROUP BY date_day"))
 def churn_rate_overall(lake: Lake) -> DataFrame:
     """Daily churn ratio, unrounded."""
@@ -459,8 +459,8 @@ def drift_ui_variant_daily(lake: Lake) -> DataFrame:
 
 @register("late_rate_daily", with_chain(
     "SELECT CAST(event_ts AS DATE) AS date_day, avg(CAST(is_late AS INTEGER)) * 100.0 AS late_rate_pct,"
-    " CAST(sum(CAST(is_late AS INTEGER)) AS INTEGER) AS late_events,"
-    " CAST(count(*) AS INTEGER) AS events FROM silver_events GROUP BY 1"))
+    " CAST(sum(CAST(is_late AS INTEGER)) AS BIGINT) AS late_events,"
+    " CAST(count(*) AS BIGINT) AS events FROM silver_events GROUP BY 1"))
 def late_rate_daily(lake: Lake) -> DataFrame:
     """Daily late %, late events and events."""
     return MON.late_rate_daily(lake.silver_events)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,19 +25,21 @@ class NoInputFiles(RuntimeError):
 def _relative(path_col):
     """``<folder>/<file name>`` of a file path, so hashes do not depend on where
     the feed folder is mounted (the folder name is kept: events/..., billing/...)."""
-    return F.regexp_extract(path_col, r"([^/]+/[^/]+)$", 1)
+    # the metadata column gives an encoded path; a plus sign in a name is a plus sign
+    plain = F.url_decode(F.replace(path_col, F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(plain, r"([^/]+/[^/]+)$", 1)
 
 
 def _pick_files(spark: SparkSession, reader, root: str, glob: str, limit_files: int):
-    """Resolve the matching files from the file index (no data is read); keep the
-    first ``limit_files`` by name when asked."""
+    """What to load: the folder itself, or its first ``limit_files`` files by name (from
+    the file index; no data is read)."""
     probe = reader.option("pathGlobFilter", glob).load(root)
-    files = sorted(probe.inputFiles())
+    files = sorted(unquote(f) for f in probe.inputFiles())
     if not files:
         raise NoInputFiles(f"no files matched {root}/{glob}")
     if limit_files and limit_files > 0:
-        files = sorted(files, key=lambda p: p.rsplit("/", 1)[-1])[:limit_files]
-    return files
+        return sorted(files, key=lambda p: p.rsplit("/", 1)[-1])[:limit_files]
+    return root
 
 
 def scan_jsonl(spark: SparkSession, root: str, glob: str = "*.jsonl",
@@ -46,7 +50,7 @@ def scan_jsonl(spark: SparkSession, root: str, glob: str = "*.jsonl",
     PATH_NOT_FOUND; an empty match raises :class:`NoInputFiles`.
     """
     files = _pick_files(spark, spark.read.format("text"), root, glob, limit_files)
-    df = spark.read.format("text").load(files)
+    df = spark.read.format("text").option("pathGlobFilter", glob).load(files)
     return (df.select(_relative(F.col("_metadata.file_path")).alias("source_file"),
                       F.col("value"))
               .where(strip(F.col("value")) != ""))
@@ -57,6 +61,6 @@ def scan_billing_csv(spark: SparkSession, root: str, glob: str = "*.csv",
     """Billing CSV rows (header line, all strings) with ``source_file``."""
     files = _pick_files(spark, spark.read.format("csv").option("header", "true")
                         .schema(BILLING_CSV_SCHEMA), root, glob, limit_files)
-    df = spark.read.csv(files, header=True, schema=BILLING_CSV_SCHEMA)
+    df = spark.read.option("pathGlobFilter", glob).csv(files, header=True, schema=BILLING_CSV_SCHEMA)
     return df.select(_relative(F.col("_metadata.file_path")).alias("source_file"),
                      "billing_date", "user_id", "event", "plan_id")

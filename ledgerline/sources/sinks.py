@@ -17,23 +17,12 @@ FOLD_REPORT_SCHEMA = T.StructType([
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - touches the file index only
-        return True
-    except Exception:  # noqa: BLE001 - missing path
-        return False
-
-
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
-def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full refresh of a table (atomic per table only)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    """Whether the table's folder holds anything but markers.  Only the folder is
+    asked; a table that is there but cannot be read, or a storage error, raises."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/[!_.]*")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern)
+    return found is not None and len(found) > 0
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:

@@ -40,6 +40,7 @@ from ledgerline.operators import bronze as B
 from ledgerline.operators import marts as M
 from ledgerline.operators import silver as S
 from ledgerline.session import checkpoint_dir
+from ledgerline.sources.sinks import table_exists
 
 RAW_LINE_SCHEMA = T.StructType([T.StructField("source_file", T.StringType()),
                                 T.StructField("value", T.StringType())])
@@ -67,14 +68,6 @@ def jsonl_stream(spark: SparkSession, root: str, glob: str = "*.jsonl") -> DataF
         "value").where(strip(F.col("value")) != "")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except Exception:  # noqa: BLE001 - not written yet
-        return False
-
-
 class BronzeSilverSink:
     """``foreachBatch`` handler doing T1 (bronze append) and T2 (silver upsert)."""
 
@@ -97,11 +90,15 @@ class BronzeSilverSink:
         fresh = B.parse_event_lines(batch, self.ingestion_ts, self.mode) \
             .dropDuplicates(["row_hash"]).checkpoint(eager=True)
         self.append_bronze(spark, fresh)
-        self.append_quarantine(spark, fresh)
-        self.upsert_silver(spark, S.valid_events(fresh))
+        # silver follows what bronze kept: a line landed again has its first load's stamp
+        keys = fresh.select("source_file", "row_hash")
+        kept = (spark.read.parquet(self.bronze_path).join(keys, ["source_file", "row_hash"], "left_semi")
+                .select(*fresh.columns).checkpoint(eager=True)) if table_exists(spark, self.bronze_path) else fresh
+        self.append_quarantine(spark, kept)
+        self.upsert_silver(spark, S.valid_events(kept))
 
     def append_bronze(self, spark: SparkSession, fresh: DataFrame) -> None:
-        existing = spark.read.parquet(self.bronze_path) if _exists(spark, self.bronze_path) else None
+        existing = spark.read.parquet(self.bronze_path) if table_exists(spark, self.bronze_path) else None
         # bronze is partitioned by source file: the repeat check reads only the
         # partitions of the batch's own files
         B.append_new(fresh, existing).write.mode("append").partitionBy("source_file") \
@@ -109,7 +106,7 @@ class BronzeSilverSink:
 
     def append_quarantine(self, spark: SparkSession, fresh: DataFrame) -> None:
         q = S.events_quarantine(fresh)
-        if _exists(spark, self.quarantine_path):
+        if table_exists(spark, self.quarantine_path):
             files = fresh.select("source_file").distinct()
             stored = spark.read.parquet(self.quarantine_path) \
                 .select("source_file", "bronze_row_hash").join(files, "source_file", "left_semi")
@@ -120,7 +117,7 @@ class BronzeSilverSink:
         day = F.to_date(F.col("event_ts"))
         batch_days = valid.select(day.alias("event_day"))
         rows = valid.select(*B.BRONZE_EVENT_COLUMNS)
-        stored_exists = _exists(spark, self.silver_path)
+        stored_exists = table_exists(spark, self.silver_path)
         if stored_exists:
             current = spark.read.parquet(self.silver_path)
             ids = valid.select("event_id").distinct()
