@@ -13,16 +13,21 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import stored
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("decimal(20,0)"))).first()
-    return tuple(r)
+def _stars(edges: DataFrame) -> bool:
+    """Whether the edges, each from a greater node to a smaller one, are stars: no node
+    points to two others, and none that points is pointed to.  A star's centre is then
+    the least node of its component."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("hub")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("hub")))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("hub").alias("hub"))
+    return seen.agg(F.count_if((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("hub") > 0)))).first()[0] == 0
 
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
     return (both.join(least, "a").where(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct())
+            .select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -34,13 +39,9 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` (the least node) of every node that has an edge to another."""
-    e = stored(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").distinct(), "edges")
-    mark = _mark(e)
-    while True:
+    ends = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
+    e = stored(ends.where("a != b").distinct(), "edges")
+    while not _stars(e):
         e = stored(_small_star(_large_star(e)), "edges")
-        now = _mark(e)
-        if now == mark:
-            break
-        mark = now
     nodes = e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
