@@ -46,10 +46,10 @@ def _existing(spark, path):
 def _report(parsed, existing) -> None:
     rows = B.load_report(parsed, existing).orderBy("source_file").collect()   # one row per file
     for r in rows:
-        print(f"file={r['source_file']} read={r['records_read']:,} inserted={r['inserted_rows']:,}")
-    print(f"COMPLETE: records_read={sum(r['records_read'] for r in rows):,} "
-          f"insert_attempts={sum(r['insert_attempts'] for r in rows):,} "
-          f"inserted={sum(r['inserted_rows'] for r in rows):,}")
+        print(f"  {r['source_file']}: {r['records_read']} records, {r['inserted_rows']} new")
+    print(f"loaded {len(rows)} file(s): {sum(r['records_read'] for r in rows)} records, "
+          f"{sum(r['insert_attempts'] for r in rows)} distinct, "
+          f"{sum(r['inserted_rows'] for r in rows)} new")
 
 
 def load_events(spark, a) -> None:
@@ -76,7 +76,7 @@ def silver(spark, a) -> None:
         bronze = spark.read.parquet(src)
         name = "silver_events" if kind == "events" else "silver_billing"
         n_s, n_q = S.refresh(spark, bronze, f"{a.out}/{name}", f"{a.out}/{name}_quarantine", kind)
-        print(f"OK: bronze -> silver {kind}: silver={n_s:,} quarantine={n_q:,}")
+        print(f"{name}: {n_s} rows kept, {n_q} quarantined")
 
 
 def marts(spark, a) -> None:
@@ -95,7 +95,7 @@ def marts(spark, a) -> None:
         .partitionBy("date_day").parquet(f"{out}/gold_user_features_daily")
     feats = spark.read.parquet(f"{out}/gold_user_features_daily")
     M.gold_churn_by_plan_daily(feats).write.mode("overwrite").parquet(f"{out}/gold_churn_by_plan_daily")
-    print(f"OK: marts written to {out}")
+    print(f"marts are in {out}")
 
 
 def test(spark, a) -> int:
@@ -107,20 +107,19 @@ def test(spark, a) -> int:
         print(f"{r['status'].upper():4} {r['check']} {r['model']}.{r['column_name']} "
               f"violations={r['violations']}")
     failed = sum(r["status"] == "fail" for r in rows)
-    print(f"Done. PASS={len(rows) - failed} FAIL={failed} TOTAL={len(rows)}")
+    print(f"{len(rows)} checks, {failed} failed")
     return 1 if failed else 0
 
 
 def train(spark, a) -> None:
-    cfg = C.TemporalCVConfig()
+    cfg = C.WalkForwardConfig()
     frame = C.stable_frame(C.training_frame(spark.read.parquet(f"{a.marts}/gold_user_features_daily")))
     prof = C.frame_profile(frame).first()                 # one row
-    print(f"DATA_SHAPE: ({prof['n_rows']}, {prof['n_cols']})")
-    print(f"DATE_RANGE: {prof['min_day']} -> {prof['max_day']}")
-    print(f"CHURN_COUNTS: {{0: {prof['n_churn_0']}, 1: {prof['n_churn_1']}}}")
-    print("NULLS:", {k[len('nulls_'):]: v for k, v in prof.asDict().items() if k.startswith("nulls_")})
-    folds = C.cv_run(frame, cfg, checkpoint=False).checkpoint(eager=True)
-    print("LAST 10 FOLDS")
+    print(f"frame: {prof['n_rows']} rows of {prof['n_cols']} columns, {prof['min_day']} to {prof['max_day']}, "
+          f"{prof['n_churn_1']} churned and {prof['n_churn_0']} not")
+    print("null values:", {k.removeprefix("nulls_"): v for k, v in prof.asDict().items() if k.startswith("nulls_")})
+    folds = C.cv_run(frame, cfg).checkpoint(eager=True)
+    print("latest folds:")
     for r in folds.orderBy(F.col("test_day").desc()).limit(10).orderBy("test_day").collect():
         print(f"  {r['test_day']} rows={r['rows_test']} positives={r['positives_test']} "
               f"skipped={r['skipped']} pr_auc={r['pr_auc']} roc_auc={r['roc_auc']}")
@@ -129,11 +128,11 @@ def train(spark, a) -> None:
     sinks.write_report_json(C.cv_summary_pop(folds), f"{a.reports}/churn_temporal_cv_summary_pop")
     coefs = C.model_coefficients(frame, cfg)
     sinks.write_report_csv(coefs, f"{a.reports}/churn_coefficients")
-    print("Top coefficients:")
+    print("largest coefficients:")
     for r in coefs.orderBy(F.col("coef").desc()).limit(25).collect():
         print(f"  {r['feature']:>24} {r['coef']: .6f}")
     sinks.write_report_json(C.final_fit_stats(frame, cfg), f"{a.reports}/churn_final_fit")
-    print(f"OK: reports written to {a.reports}")
+    print(f"reports are in {a.reports}")
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -482,7 +482,7 @@ def drift_key_daily(lake: Lake) -> DataFrame:
 # ---------------------------------------------------------------- churn model
 from ledgerline.plans import churn as C  # noqa: E402
 
-_CV = C.TemporalCVConfig()
+_CV = C.WalkForwardConfig()
 _D = "CAST({} AS DOUBLE)"
 _CHURN_CTES = f"""cv_t AS (
   SELECT date_day, user_id, coalesce(plan_id, 'unknown') AS plan_id, events_7d, sessions_7d,
@@ -550,6 +550,17 @@ def _stable_frame(lake: Lake) -> DataFrame:
     return C.stable_frame(_frame(lake))
 
 
+def _counted_frame(lake: Lake) -> DataFrame:
+    """Distinct (day, features, label) rows with their number, stored once."""
+    return C.stable_frame(C.counted_frame(_frame(lake)))
+
+
+def _day_counts(lake: Lake) -> DataFrame:
+    """Rows per day and label, stored once (two rows a day): enough for the fold plan,
+    class weights and counts."""
+    return C.stable_frame(C.day_counts(_frame(lake)))
+
+
 @register("training_frame", with_chain("SELECT * FROM cv_t", _CHURN_CTES))
 def training_frame(lake: Lake) -> DataFrame:
     """Model frame (9 columns of the gold features)."""
@@ -571,7 +582,7 @@ def frame_profile(lake: Lake) -> DataFrame:
     "SELECT date_day, (SELECT cutoff FROM cv_cut) AS cutoff_day, day_index FROM cv_idx", _CHURN_CTES))
 def eligible_days(lake: Lake) -> DataFrame:
     """Label-safe days (max day - 7 and before) with their index."""
-    return C.eligible_days(_stable_frame(lake)).withColumn("day_index", F.col("day_index").cast("long"))
+    return C.eligible_days(_day_counts(lake)).withColumn("day_index", F.col("day_index").cast("long"))
 
 
 @register("cv_folds", with_chain(
@@ -579,14 +590,14 @@ def eligible_days(lake: Lake) -> DataFrame:
     _CHURN_CTES))
 def cv_folds(lake: Lake) -> DataFrame:
     """C4: walk-forward folds with train/test rows and positives."""
-    return C.cv_folds(_stable_frame(lake)).drop("skipped")
+    return C.cv_folds(_day_counts(lake)).drop("skipped")
 
 
 @register("fold_skip", with_chain(
     "SELECT fold, test_day, rows_test, positives_test, skipped FROM cv_folds", _CHURN_CTES))
 def fold_skip(lake: Lake) -> DataFrame:
     """Folds without test positives are recorded as skipped."""
-    return C.cv_folds(_stable_frame(lake)).select("fold", "test_day", "rows_test", "positives_test",
+    return C.cv_folds(_day_counts(lake)).select("fold", "test_day", "rows_test", "positives_test",
                                            "skipped")
 
 
@@ -596,7 +607,7 @@ def fold_skip(lake: Lake) -> DataFrame:
     " WHERE date_day <= (SELECT cutoff FROM cv_cut) GROUP BY churn_7d", _CHURN_CTES))
 def class_weights(lake: Lake) -> DataFrame:
     """Balanced class weights of the final-fit rows."""
-    frame = _stable_frame(lake)
+    frame = _day_counts(lake)
     return C.class_weights(frame.where(F.col("date_day") <= C.cutoff_day(frame)))
 
 
@@ -604,14 +615,14 @@ def class_weights(lake: Lake) -> DataFrame:
     "SELECT fold, test_day, roc_auc FROM cv_table", _CHURN_CTES))
 def fold_roc_auc(lake: Lake) -> DataFrame:
     """Exact ROC-AUC per fold of the rule score (rank-sum, tied ranks averaged)."""
-    return C.rule_fold_table(_stable_frame(lake)).select("fold", "test_day", "roc_auc")
+    return C.rule_fold_table(_counted_frame(lake)).select("fold", "test_day", "roc_auc")
 
 
 @register("fold_average_precision", with_chain(
     "SELECT fold, test_day, pr_auc FROM cv_table", _CHURN_CTES))
 def fold_average_precision(lake: Lake) -> DataFrame:
     """Step-wise average precision per fold of the rule score."""
-    return C.rule_fold_table(_stable_frame(lake)).select("fold", "test_day", "pr_auc")
+    return C.rule_fold_table(_counted_frame(lake)).select("fold", "test_day", "pr_auc")
 
 
 _R = C.METRIC_PLACES
@@ -633,7 +644,7 @@ _R = C.METRIC_PLACES
     " FROM cv_table", _CHURN_CTES))
 def cv_summary(lake: Lake) -> DataFrame:
     """C12 (a): 14-field CV summary (ddof 1) of the rule-score folds."""
-    frame = _stable_frame(lake)
+    frame = _counted_frame(lake)
     return C.cv_summary(C.rule_fold_table(frame), frame)
 
 
@@ -646,7 +657,7 @@ def cv_summary(lake: Lake) -> DataFrame:
     " FROM cv_table", _CHURN_CTES))
 def cv_summary_pop(lake: Lake) -> DataFrame:
     """C12 (b): 6-field CV summary (ddof 0) of the rule-score folds."""
-    return C.cv_summary_pop(C.rule_fold_table(_stable_frame(lake)))
+    return C.cv_summary_pop(C.rule_fold_table(_counted_frame(lake)))
 
 
 @register("final_fit_stats", with_chain(
@@ -655,7 +666,7 @@ def cv_summary_pop(lake: Lake) -> DataFrame:
     " WHERE date_day <= (SELECT cutoff FROM cv_cut)", _CHURN_CTES))
 def final_fit_stats(lake: Lake) -> DataFrame:
     """C14: rows, positives and churn rate of the final fit."""
-    return C.final_fit_stats(_stable_frame(lake))
+    return C.final_fit_stats(_day_counts(lake))
 
 
 @register("fold_metric_trend", with_chain(
@@ -664,7 +675,7 @@ def final_fit_stats(lake: Lake) -> DataFrame:
     " CASE WHEN skipped THEN 0.0 ELSE roc_auc END AS roc_auc_marked FROM cv_table", _CHURN_CTES))
 def fold_metric_trend(lake: Lake) -> DataFrame:
     """Fold metrics by day, skipped folds marked at 0."""
-    return C.fold_metric_trend(C.rule_fold_table(_stable_frame(lake)))
+    return C.fold_metric_trend(C.rule_fold_table(_counted_frame(lake)))
 
 
 @register("fold_rolling_7d", with_chain(
@@ -674,7 +685,7 @@ def fold_metric_trend(lake: Lake) -> DataFrame:
     _CHURN_CTES))
 def fold_rolling_7d(lake: Lake) -> DataFrame:
     """7-calendar-day trailing mean of the scored folds' metrics."""
-    return C.fold_rolling_7d(C.rule_fold_table(_stable_frame(lake)))
+    return C.fold_rolling_7d(C.rule_fold_table(_counted_frame(lake)))
 
 
 @register("feature_pipeline")

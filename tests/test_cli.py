@@ -49,10 +49,10 @@ def test_pipeline_end_to_end(spark, tmpdir_path, capsys):
     assert main(["marts", "--silver", lake, "--out", f"{lake}/marts"]) == 0
     assert main(["test", "--marts", f"{lake}/marts", "--bronze-events", be, "--bronze-billing", bb]) == 0
     out = capsys.readouterr().out
-    assert "FAIL=0" in out and "inserted=0" in out
+    assert " checks, 0 failed" in out and " 0 new" in out
     assert main(["train", "--marts", f"{lake}/marts", "--reports", f"{lake}/reports"]) == 0
     printed = capsys.readouterr().out
-    assert "DATA_SHAPE" in printed and "LAST 10 FOLDS" in printed and "Top coefficients" in printed
+    assert "frame: " in printed and "latest folds:" in printed and "largest coefficients:" in printed
     folds = spark.read.option("header", "true").csv(f"{lake}/reports/churn_temporal_cv_folds")
     assert folds.count() == 40 - 7 - 7 - 21
     summary = spark.read.json(f"{lake}/reports/churn_temporal_cv_summary").first()
