@@ -11,8 +11,8 @@ Confirmed kinds are reported only when decoding proves them:
 * ``pem``: an armoured private or public key whose body decodes to DER with lengths
   that nest exactly, or to the OpenSSH key format with lengths that add up;
 * ``der``: a bare base64 or hex run that decodes to such a key;
-* ``wrapped``: a base64 or hex run that decodes to printable text which holds a base
-  ``assign`` or ``access`` match itself.
+* ``wrapped``: a base64 or hex run that decodes to text (printable characters and white
+  space) which holds a base ``assign`` or ``access`` match itself.
 
 Spans are code points, end exclusive.  Defined cases: a null text is an empty one;
 repeated rows and ids give one result row each; an empty table gives an empty result.
@@ -39,7 +39,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # runs are taken whole, so shorter ones fail
 
 JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*(?:PRIVATE|PUBLIC) KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{24,}={0,2}")
+#: From the shortest base match on: ``token=`` and 8 characters are 14 bytes, 19 symbols and a pad.
+BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{19,}={0,2}")
 HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9a-f]{2}){12,}(?![0-9A-Fa-f])|(?<![0-9A-Fa-f])(?:[0-9A-F]{2}){12,}(?![0-9A-Fa-f])")
 
 #: Kinds in the order that ties at one start take.
@@ -129,7 +130,7 @@ def _holds_secret(raw: bytes) -> bool:
         text = raw.decode()
     except UnicodeDecodeError:
         return False
-    return text.isprintable() and any(k != "hex" for *_, k in base_spans(text))
+    return "".join(text.split()).isprintable() and any(k != "hex" for *_, k in base_spans(text))
 
 
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:

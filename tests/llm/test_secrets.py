@@ -75,6 +75,15 @@ def test_structures_are_confirmed_by_decoding():
     assert kinds[8] == ["der", "der"] and kinds[9] == ["wrapped"]
 
 
+def test_wrapped_text_of_any_white_space_and_of_the_shortest_matches():
+    for secret in (b"password=correcthorse\n", b"user=x\npassword=correcthorse\n", b"a:\tb\r\nsecret = abcdefgh\r\n",
+                   b"token=abcdefgh", b"password=abcdefgh", b"AKIAABCDEFGHIJKL", b"AKIAABCDEFGHIJKLM"):
+        for run in (base64.b64encode(secret).decode(), secret.hex()):
+            assert (2, 2 + len(run), "wrapped") in scan(f"x {run} y")[1]
+            assert redact(f"x {run} y") == "x [SECRET] y"
+    assert "wrapped" not in [k for *_, k in scan(base64.b64encode(b"password=correcthorse\0").decode())[1]]
+
+
 def test_keys():
     assert is_key(KEY) and is_key(SSH)
     assert not is_key(KEY[:-1]) and not is_key(KEY + b"\0") and not is_key(SSH[:-1]) and not is_key(b"") and not is_key(b"\x30\x00" * 10)
