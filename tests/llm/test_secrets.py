@@ -84,6 +84,44 @@ def test_wrapped_text_of_any_white_space_and_of_the_shortest_matches():
     assert "wrapped" not in [k for *_, k in scan(base64.b64encode(b"password=correcthorse\0").decode())[1]]
 
 
+def broken(run, width, by):
+    return by.join(run[i: i + width] for i in range(0, len(run), width))
+
+
+def test_keys_with_escaped_line_breaks():
+    for raw, kind in ((KEY, "PRIVATE KEY"), (SSH, "OPENSSH PRIVATE KEY")):
+        body = base64.b64encode(raw).decode()
+        for by in ("\\n", "\\r\\n", "\\\\n", "\\n\\\n", "\\u000a", "\\\n"):
+            pem = f"-----BEGIN {kind}-----{by}{broken(body, 64, by)}{by}-----END {kind}-----"
+            text = json.dumps({"id": 1})[:-1] + f', "private_key": "{pem}{by}", "x": 2}}'
+            at = text.index(pem)
+            assert scan(text)[1] == [(at, at + len(pem), "pem")], by
+            assert pem not in redact(text)
+        escaped = broken(body, 64, "\\n").replace("/", "\\/").replace("+", "\\u002b").replace("=", "\\u003D")
+        assert [k for *_, k in scan(f"-----BEGIN {kind}-----\\n{escaped}\\n-----END {kind}-----")[1]] == ["pem"]
+        cut = body[:-8]
+        assert "pem" not in [k for *_, k in scan(f"-----BEGIN {kind}-----\\n{broken(cut, 64, chr(92) + 'n')}\\n-----END {kind}-----")[1]]
+
+
+def test_candidates_over_several_lines():
+    long = b"user=x\npassword=correcthorse\n" + bytes(range(32, 127)) * 2
+    for raw, kind in ((KEY, "der"), (SSH, "der"), (long, "wrapped")):
+        for width in (60, 64, 70, 76):
+            for by in ("\n", "\r\n", "\n    ", "\\n", "\\r\\n"):
+                for run in (base64.b64encode(raw).decode(), base64.b64encode(raw).decode().rstrip("="), raw.hex()):
+                    block = broken(run, width, by)
+                    for before, after in (("key: ", " end"), ("of words" + by, by + "-- end"), ('{"k": "', '"}')):
+                        spans = scan(before + block + after)[1]
+                        assert (len(before), len(before) + len(block), kind) in spans, (width, by, before)
+                        assert sum(k in ("der", "wrapped") for *_, k in spans) == 1
+    two = KEY[:-2] + b"\1\2"
+    text = "\n".join(["some", broken(base64.b64encode(KEY).decode(), 64, "\n"), broken(base64.b64encode(two).decode(), 64, "\n"), "words"])
+    assert [k for *_, k in scan(text)[1]] == ["der", "der"]
+    run = base64.b64encode(b"password=abcdefghi").decode()
+    assert scan(f"x {run}\nend")[1] == [(2, 2 + len(run), "wrapped")]
+    assert scan("plain words\nover several\nlines of text\nand more")[1] == []
+
+
 def test_keys():
     assert is_key(KEY) and is_key(SSH)
     assert not is_key(KEY[:-1]) and not is_key(KEY + b"\0") and not is_key(SSH[:-1]) and not is_key(b"") and not is_key(b"\x30\x00" * 10)
