@@ -12,11 +12,14 @@ smaller id.  The suffix order of a whole corpus is cut into shards by content:
    shard: its segments are suffix-sorted with common-prefix values (``induced``:
    recursive induction with disk-backed queues), and neighbours that share ``SPAN`` bytes
    form a group with the least id among its documents.
+   A bucket of more than ``SORT_BYTES`` is not sorted: where a common passage begins or
+   ends, one hash has another segment in every document.  Its windows are dealt on by
+   their own hash, each pack sending the distinct ones with their least ids.
 4. Each pack takes back one bit for each window of its segments and removes the bytes.
 
-Only hashes, distinct segments and bits are shuffled beside the packs; a passage that
-many documents share is reduced to one segment in every pack.  Nothing is collected on
-the driver but the corpus size.
+Only hashes, distinct segments or windows, and bits are shuffled beside the packs; a
+passage that many documents share is reduced to one segment in every pack.  Nothing is
+collected on the driver but the corpus size and the numbers of the oversized buckets.
 
 Defined cases: a null text is an empty one; shorter texts than the span are kept whole;
 rows with equal ids do not remove from each other; null ids count as greater than all
@@ -39,6 +42,10 @@ from ledgerline.llm.induced import sorted_suffixes
 SPAN, GRAM = 50, 16
 #: Bytes of text in a pack and, on average, behind a bucket.
 PACK_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20
+#: Bytes of segments that one bucket sorts at most; they take about 30 times as much memory.
+SORT_BYTES = 32 << 20
+#: Bytes of a hash's segments in a pack are told as a power of this, rounded up.
+_GROWTH = 1.1
 #: Bytes of queues that a suffix sort holds before it goes to disk.
 SORT_MEMORY = 128 << 20
 _STEP = 1 << 19
@@ -92,6 +99,12 @@ class Pack:
             return np.zeros(0, bool)
         return np.minimum.reduceat(self.id, self.first) != np.maximum.reduceat(self.id, self.first)
 
+    def sizes(self) -> np.ndarray:
+        """Of each hash, the bytes of its segments here as a power."""
+        if not self.first.size:
+            return np.zeros(0, np.uint8)
+        return size_powers(np.add.reduceat(self.count + self.span - 1, self.first), self.span)
+
     def share(self, flags: np.ndarray) -> None:
         """Keep the segments of flagged hashes and find the distinct ones: ``of`` segment ->
         distinct one; ``seg_start, seg_size, seg_least, seg_bucket`` by bucket, then content."""
@@ -110,6 +123,19 @@ class Pack:
         self.seg_start, self.seg_size, self.seg_bucket = self.start[order[first]], size[order[first]], b[first]
         self.seg_least = np.minimum.reduceat(self.id[order], first) if first.size else first
 
+    def deal(self, a: int, b: int, parts: int) -> tuple[np.ndarray, ...]:
+        """Windows of the distinct segments ``a..b`` by their own hashes.  Of each: its
+        distinct one, its segment's least id; of each distinct one, by part: the part, two
+        hashes, the least id."""
+        n = self.seg_size[a:b] - self.span + 1
+        start = np.repeat(self.seg_start[a:b] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        own = np.repeat(self.seg_least[a:b], n)
+        k1, k2 = content_keys(self.data, start, np.full(start.size, self.span))
+        order = np.lexsort((k2, k1))  # parts rise with the first hash
+        first, of = distinct(k1, k2, order)
+        one = order[first]
+        return of, own, bucket_of(k1[one], parts), k1[one], k2[one], np.minimum.reduceat(own[order], first)
+
 
 def windows(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, number of windows and hash of each segment, in text order."""
@@ -141,6 +167,29 @@ def windows(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tupl
     return at[first], np.diff(np.append(first, at.size)), mixed(own[first] + np.uint64(1))
 
 
+def size_powers(size: np.ndarray, span: int) -> np.ndarray:
+    return np.clip(np.ceil(np.log(size / span) / np.log(_GROWTH)), 0, 255).astype(np.uint8)
+
+
+def size_bounds(power: np.ndarray, span: int) -> np.ndarray:
+    """Bytes, at most a tenth above the told size."""
+    return np.ceil(span * _GROWTH ** power.astype(float) + 1e-6)
+
+
+def parts_of(total: int, limit: int) -> int:
+    """Parts of an oversized bucket: a window takes more bytes dealt than in a segment."""
+    return -(-4 * total // limit)
+
+
+def distinct(k1: np.ndarray, k2: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of keys in ``order``: where each distinct one begins there, and each key's distinct one."""
+    x, y = k1[order], k2[order]
+    new = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if order.size else np.zeros(0, bool)
+    of = np.empty(order.size, np.int64)
+    of[order] = np.cumsum(new) - 1
+    return np.flatnonzero(new), of
+
+
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
@@ -225,10 +274,7 @@ def shard(rows: list[dict], span: int, memory: int) -> list[bytes]:
     start = np.cumsum(size) - size
     k1, k2 = content_keys(data, start, size)
     order = np.lexsort((k2, k1))
-    new = np.append(True, (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1]))
-    first = np.flatnonzero(new)
-    of = np.empty(order.size, np.int64)
-    of[order] = np.cumsum(new) - 1
+    first, of = distinct(k1, k2, order)
     one = order[first]
     begin, found = least_ids(gathered(data, start[one], size[one]), size[one], np.minimum.reduceat(least[order], first), span, memory)
     out, at = [], 0
@@ -240,6 +286,55 @@ def shard(rows: list[dict], span: int, memory: int) -> list[bytes]:
     return out
 
 
+def window_shard(rows: list[dict]) -> list[bytes]:
+    """Bits of one part of an oversized bucket: per row (a pack's distinct windows),
+    whether a smaller id than the pack's least has the window."""
+    keys = np.concatenate([np.frombuffer(r["data"], "<u8") for r in rows]).reshape(-1, 2)
+    leasts = [np.frombuffer(r["least"], "<i8") for r in rows]
+    least = np.concatenate(leasts)
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    first, of = distinct(keys[:, 0], keys[:, 1], order)
+    below = np.minimum.reduceat(least[order], first)[of] < least
+    edges = np.cumsum([0, *(x.size for x in leasts)]).tolist()
+    return [np.packbits(below[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def outgoing(p: Pack, pid: int, hot: dict[int, int]) -> list[dict]:
+    """A pack's distinct segments by bucket (part -1); of oversized buckets the distinct
+    windows by part."""
+    import zstandard
+    squeeze, rows = zstandard.ZstdCompressor(3), []
+    for a, b in equal_runs(p.seg_bucket):
+        bucket = int(p.seg_bucket[a])
+        row = {"bucket": bucket, "pid": pid}
+        if bucket not in hot:
+            rows.append(row | {"part": -1, "sizes": p.seg_size[a:b].astype("<i8").tobytes(), "least": p.seg_least[a:b].astype("<i8").tobytes(),
+                               "data": squeeze.compress(gathered(p.data, p.seg_start[a:b], p.seg_size[a:b]).tobytes())})
+            continue
+        _, _, part, k1, k2, least = p.deal(a, b, hot[bucket])
+        keys = np.stack([k1, k2], 1).astype("<u8")
+        rows += [row | {"part": int(part[i]), "sizes": b"", "least": least[i:j].astype("<i8").tobytes(), "data": keys[i:j].tobytes()}
+                 for i, j in equal_runs(part)]
+    return rows
+
+
+def returned(p: Pack, answers: list[dict], hot: dict[int, int]) -> np.ndarray:
+    """The bits of all windows of a pack's distinct segments, in their order."""
+    size = p.seg_size - p.span + 1
+    edge = np.append(0, np.cumsum(size))
+    bits = np.zeros(int(edge[-1]), bool)
+    by = {(r["bucket"], r["part"]): np.frombuffer(r["bits"], np.uint8) for r in answers}
+    for a, b in equal_runs(p.seg_bucket):
+        bucket, n = int(p.seg_bucket[a]), int(edge[b] - edge[a])
+        if bucket not in hot:
+            bits[edge[a]: edge[b]] = np.unpackbits(by[bucket, -1], count=n)
+            continue
+        of, own, part, _, _, least = p.deal(a, b, hot[bucket])
+        below = np.concatenate([np.unpackbits(by[bucket, int(part[i])], count=j - i) for i, j in equal_runs(part)]).astype(bool)
+        bits[edge[a]: edge[b]] = below[of] | (least[of] < own)
+    return bits
+
+
 def removed(pack: Pack, bits: np.ndarray) -> np.ndarray:
     """Mask of the pack's bytes that go.  ``bits``: of each window of each distinct segment,
     whether an id below the pack's least one has it."""
@@ -258,7 +353,8 @@ def removed(pack: Pack, bits: np.ndarray) -> np.ndarray:
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM,
-                   bucket_bytes: int = BUCKET_BYTES, memory: int = SORT_MEMORY, texts: bool = False) -> DataFrame:
+                   bucket_bytes: int = BUCKET_BYTES, memory: int = SORT_MEMORY, texts: bool = False,
+                   sort_bytes: int = SORT_BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row; with ``texts`` also
     ``kept`` (the remaining bytes)."""
     all_packs = packs(df, id_col, text_col)
@@ -269,12 +365,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             for row in batch.to_pylist():
                 p = Pack(row, span, gram, buckets)
-                several = p.several()
+                several, sizes = p.several(), p.sizes()
                 low = p.hash.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
                 for a, b in equal_runs(p.bucket):
                     yield pa.record_batch([pa.array([p.bucket[a]], pa.int64()), pa.array([row["pid"]], pa.int64()),
-                                           pa.array([low[a:b].tobytes()]), pa.array([np.packbits(several[a:b]).tobytes()])],
-                                          names=["bucket", "pid", "hashes", "several"])
+                                           pa.array([low[a:b].tobytes()]), pa.array([np.packbits(several[a:b]).tobytes()]),
+                                           pa.array([sizes[a:b].tobytes()])],
+                                          names=["bucket", "pid", "hashes", "several", "sizes"])
 
     def find_shared(group: pa.Table) -> pa.Table:
         rows = _rows(group)
@@ -283,12 +380,15 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         value = np.zeros((low.shape[0], 8), np.uint8)
         value[:, :5] = low
         _, inverse, count = np.unique(value.view("<u8").ravel(), return_inverse=True, return_counts=True)
-        again, out, at = count[inverse] > 1, [], 0
+        again, out, at, total = count[inverse] > 1, [], 0, 0
         for r, x in zip(rows, lows, strict=True):
             several = np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(x)).astype(bool)
-            out.append(np.packbits(again[at: at + len(x)] | several).tobytes())
+            on = again[at: at + len(x)] | several
+            out.append(np.packbits(on).tobytes())
+            total += int(size_bounds(np.frombuffer(r["sizes"], np.uint8)[on], span).sum())
             at += len(x)
-        return pa.table([group.column("pid"), group.column("bucket"), pa.array(out, pa.binary())], names=["pid", "bucket", "bits"])
+        return pa.table([group.column("pid"), group.column("bucket"), pa.array(out, pa.binary()), pa.array([total] * len(out), pa.int64())],
+                        names=["pid", "bucket", "bits", "total"])
 
     def with_shared(pack: dict, answers: list[dict]) -> Pack:
         p = Pack(pack, span, gram, buckets)
@@ -299,32 +399,22 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return p
 
     def send_segments(left: pa.Table, right: pa.Table) -> pa.Table:
-        import zstandard
-        squeeze = zstandard.ZstdCompressor(3)
-        rows = []
-        for pack in _rows(left):
-            p = with_shared(pack, _rows(right))
-            for a, b in equal_runs(p.seg_bucket):
-                rows.append({"bucket": int(p.seg_bucket[a]), "pid": pack["pid"], "sizes": p.seg_size[a:b].astype("<i8").tobytes(),
-                             "least": p.seg_least[a:b].astype("<i8").tobytes(),
-                             "data": squeeze.compress(gathered(p.data, p.seg_start[a:b], p.seg_size[a:b]).tobytes())})
-        return pa.Table.from_pylist(rows, pa.schema([("bucket", pa.int64()), ("pid", pa.int64()), ("sizes", pa.binary()),
+        rows = [r for pack in _rows(left) for r in outgoing(with_shared(pack, _rows(right)), pack["pid"], hot)]
+        return pa.Table.from_pylist(rows, pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("pid", pa.int64()), ("sizes", pa.binary()),
                                                      ("least", pa.binary()), ("data", pa.binary())]))
 
     def sort_shard(group: pa.Table) -> pa.Table:
-        bits = shard(_rows(group), span, memory)
-        return pa.table([group.column("pid"), group.column("bucket"), pa.array(bits, pa.binary())], names=["pid", "bucket", "bits"])
+        rows = _rows(group)
+        bits = shard(rows, span, memory) if rows[0]["part"] < 0 else window_shard(rows)
+        return pa.table([group.column("pid"), group.column("bucket"), group.column("part"), pa.array(bits, pa.binary())],
+                        names=["pid", "bucket", "part", "bits"])
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {c: [] for c in names}
         answers = _rows(right)
         for pack in _rows(left):
             p = with_shared(pack, [r for r in answers if not r["sorted"]])
-            windows_of = p.seg_size - span + 1
-            size = np.bincount(p.seg_bucket, weights=windows_of, minlength=buckets).astype(np.int64) if p.seg_bucket.size else None
-            bits = [np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=int(size[r["bucket"]])).astype(bool)
-                    for r in sorted(answers, key=lambda r: r["bucket"]) if r["sorted"]]
-            gone = removed(p, np.concatenate(bits) if bits else np.zeros(0, bool))
+            gone = removed(p, returned(p, [r for r in answers if r["sorted"]], hot))
             starts = gone.copy()
             starts[1:] &= ~gone[:-1]
             borders = p.offsets[:-1][p.offsets[:-1] < gone.size]
@@ -343,11 +433,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     types = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(),
              "kept_sha256": pa.string(), **({"kept": pa.binary()} if texts else {})}
     names = list(types)
-    lists = all_packs.mapInArrow(tidied(list_hashes), "bucket long, pid long, hashes binary, several binary")
-    shared = stored(lists.groupBy("bucket").applyInArrow(tidied_group(find_shared), "pid long, bucket long, bits binary"), "shared-hashes")
+    lists = all_packs.mapInArrow(tidied(list_hashes), "bucket long, pid long, hashes binary, several binary, sizes binary")
+    shared = stored(lists.groupBy("bucket").applyInArrow(tidied_group(find_shared), "pid long, bucket long, bits binary, total long"), "shared-hashes")
+    hot = {r.bucket: parts_of(r.total, sort_bytes) for r in shared.where(F.col("total") > sort_bytes).select("bucket", "total").distinct().collect()}
     segments = (all_packs.groupBy("pid").cogroup(shared.groupBy("pid"))
-                .applyInArrow(tidied_group(send_segments), "bucket long, pid long, sizes binary, least binary, data binary"))
-    flags = stored(segments.groupBy("bucket").applyInArrow(tidied_group(sort_shard), "pid long, bucket long, bits binary"), "window-bits")
-    answers = shared.withColumn("sorted", F.lit(False)).unionByName(flags.withColumn("sorted", F.lit(True)))
+                .applyInArrow(tidied_group(send_segments), "bucket long, part long, pid long, sizes binary, least binary, data binary"))
+    flags = stored(segments.groupBy("bucket", "part").applyInArrow(tidied_group(sort_shard), "pid long, bucket long, part long, bits binary"), "window-bits")
+    answers = (shared.select("pid", "bucket", F.lit(-1).cast("long").alias("part"), "bits", F.lit(False).alias("sorted"))
+               .unionByName(flags.withColumn("sorted", F.lit(True))))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else "")
     return all_packs.groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(tidied_group(cut), schema)

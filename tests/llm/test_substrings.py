@@ -5,8 +5,10 @@ import random
 
 import numpy as np
 import pytest
+import zstandard
 
 from ledgerline.llm import induced as M
+from ledgerline.llm import substring_dedup as D
 from ledgerline.llm.substring_dedup import remove_repeats
 from tests.llm.helpers import EDGE_TEXTS, empty, frame
 
@@ -77,6 +79,53 @@ def test_random_documents(spark):
     assert found(frame(spark, rows), span=20, gram=6, bucket_bytes=2000) == brute(rows, 20)
 
 
+def crossed(n):
+    """A passage in every document, with other words around it in each."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    passage = " ".join(word() for _ in range(12))
+    return [(i, f"{word()} {word()} {word()} {word()} {passage} {word()} {word()} {word()} {word()}") for i in rng.sample(range(n), n)]
+
+
+def test_oversized_bucket_is_dealt_by_window(spark):
+    rows = crossed(150) + [(3, "x" * 90), (2, "x" * 70), (None, "y" * 60)]
+    assert found(frame(spark, rows), bucket_bytes=3000, sort_bytes=500) == brute(rows, 50)
+    assert found(frame(spark, rows), bucket_bytes=3000, sort_bytes=8000, memory=100) == brute(rows, 50)
+
+
+def test_no_task_gets_an_oversized_bucket():
+    span, limit, buckets = 50, 8000, 8
+    rows, groups, plain = crossed(2000), {}, {}
+    packs = []
+    for at in range(0, len(rows), 200):
+        data = [t.encode() for _, t in rows[at: at + 200]]
+        row = {"ids": np.array([i for i, _ in rows[at: at + 200]], "<i8").tobytes(), "known": np.ones(200, bool).tobytes(),
+               "offsets": np.cumsum([0, *map(len, data)]).astype("<i8").tobytes(), "size": sum(map(len, data)),
+               "data": zstandard.compress(b"".join(data))}
+        packs.append(D.Pack(row, span, 16, buckets))
+    seen = np.concatenate([p.hash for p in packs])
+    value, count = np.unique(seen, return_counts=True)
+    total = np.zeros(buckets)
+    flags = []
+    for p in packs:
+        on = p.several() | np.isin(p.hash, value[count > 1])
+        each = np.add.reduceat(p.count + span - 1, p.first)
+        told = D.size_bounds(p.sizes(), span)
+        assert (told >= each).all() and (told <= each * 1.1 + 2).all()
+        total += np.bincount(p.bucket[on], weights=told[on], minlength=buckets)
+        flags.append(on)
+    hot = {b: D.parts_of(int(t), limit) for b, t in enumerate(total.tolist()) if t > limit}
+    for p, on in zip(packs, flags):
+        p.share(on)
+        for to, over in ((groups, hot), (plain, {})):
+            for r in D.outgoing(p, 0, over):
+                n = np.frombuffer(r["sizes"], "<i8").sum() if r["part"] < 0 else len(r["data"])
+                to[r["bucket"], r["part"]] = to.get((r["bucket"], r["part"]), 0) + int(n)
+    assert max(plain.values()) > 10 * limit  # the whole bucket in one task
+    assert max(n for (_, part), n in groups.items() if part < 0) <= limit
+    assert max(groups.values()) <= 6 * limit  # 16 bytes of keys a window
+
+
 def test_edges(spark):
     rows = [(i, t if t is None or len(t) < 10_000 else t[:3000]) for i, t in enumerate(EDGE_TEXTS)] + [(100, "a" * 400), (99, "a" * 70), (101, "a" * 49)]
     assert found(frame(spark, rows)) == brute(rows, 50)
