@@ -772,7 +772,8 @@ def stream_events_daily(lake: Lake) -> DataFrame:
 @register("stream_events_daily_windowed")
 def stream_events_daily_windowed(lake: Lake) -> DataFrame:
     """T3 (windowed): daily events / approximate DAU / late events from an
-    event-time window with a 6-hour watermark (later data is dropped)."""
+    event-time window with a 6-hour watermark; days of later data and of
+    repeated ids are corrected from a late table."""
     base, landing = _landed(lake, "daily")
-    out = STR.run_events_daily(lake.spark, STR.landing_stream(lake.spark, landing), base)
-    return lake.spark.read.parquet(out)
+    return STR.run_events_daily_corrected(lake.spark, STR.landing_stream(lake.spark, landing), base,
+                                          lake.ingestion_ts)

@@ -23,6 +23,8 @@
   Windowed: an event-time 1-day window with a 6-hour watermark, where data
   later than the tolerance is dropped; exact distinct counts are not
   supported in streaming aggregation, so DAU is ``approx_count_distinct``.
+  What the window drops or counts by another arrival than the latest goes to
+  a late table, and the days of its rows are recomputed from silver.
 """
 
 from __future__ import annotations
@@ -95,8 +97,12 @@ class BronzeSilverSink:
         kept = (spark.read.parquet(self.bronze_path).join(keys, ["source_file", "row_hash"], "left_semi")
                 .select(*fresh.columns).checkpoint(eager=True)) if table_exists(spark, self.bronze_path) else fresh
         self.append_quarantine(spark, kept)
+        self.correct(spark, S.valid_events(kept), batch_id)
         self.upsert_silver(spark, S.valid_events(kept))
 
+    def correct(self, spark: SparkSession, valid: DataFrame, batch_id: int) -> None:
+        """Hook before the silver upsert of a batch."""
+
     def append_bronze(self, spark: SparkSession, fresh: DataFrame) -> None:
         existing = spark.read.parquet(self.bronze_path) if table_exists(spark, self.bronze_path) else None
         # bronze is partitioned by source file: the repeat check reads only the
@@ -163,6 +169,32 @@ def _remove_partition(spark: SparkSession, table: str, partition: str) -> None:
         fs.delete(path, True)
 
 
+class LateSink(BronzeSilverSink):
+    """The same handler, with a table of the rows that a window with a watermark may miss
+    or count otherwise than silver: rows older than the newest event so far less the
+    tolerance (no watermark is ahead of that), and all copies of an id that comes again.
+    Each batch has folders of its own, so a replay writes the same rows again."""
+
+    def __init__(self, *args, late_path: str, tolerance: str = LATE_TOLERANCE, **options):
+        super().__init__(*args, **options)
+        self.late_path, self.tolerance = late_path, tolerance
+
+    def correct(self, spark: SparkSession, valid: DataFrame, batch_id: int) -> None:
+        (valid.agg(F.max("event_ts").alias("newest")).write.mode("overwrite")
+         .parquet(f"{self.late_path}_newest/batch={batch_id}"))
+        newest = spark.read.parquet(f"{self.late_path}_newest").agg(F.max("newest").alias("newest")).first()["newest"]
+        day = F.to_date("event_ts").alias("event_day")
+        copies = valid.select("event_id", day, "row_hash")
+        if table_exists(spark, self.silver_path):
+            stored = spark.read.parquet(self.silver_path).select("event_id", "event_day", F.col("bronze_row_hash").alias("row_hash"))
+            copies = copies.unionByName(stored.join(copies.select("event_id"), "event_id", "left_semi"))
+        copies = copies.distinct()
+        again = copies.groupBy("event_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("event_id")
+        old = valid.where(F.col("event_ts") < F.lit(newest) - F.expr(f"INTERVAL {self.tolerance}"))
+        late = copies.join(again, "event_id", "left_semi").unionByName(old.select("event_id", day, "row_hash")).distinct()
+        late.write.mode("overwrite").parquet(f"{self.late_path}/batch={batch_id}")
+
+
 def run_bronze_silver(spark: SparkSession, source: DataFrame, base: str,
                       ingestion_ts: str = B.DEFAULT_INGESTION_TS) -> dict[str, str]:
     """Run T1 + T2 (+ exact T3) over everything available in ``source``
@@ -209,6 +241,23 @@ def run_events_daily(spark: SparkSession, source: DataFrame, base: str) -> str:
     return out
 
 
+def run_events_daily_corrected(spark: SparkSession, source: DataFrame, base: str,
+                               ingestion_ts: str = B.DEFAULT_INGESTION_TS) -> DataFrame:
+    """T3 (windowed) with the late table: days of late rows from silver (their DAU exact),
+    the others as the window counted them."""
+    windowed = spark.read.schema("date_day date, events long, dau_approx long, late_events long") \
+        .parquet(run_events_daily(spark, source, base))
+    sink = LateSink(f"{base}/bronze_events", f"{base}/silver_events", f"{base}/silver_events_quarantine",
+                    ingestion_ts, late_path=f"{base}/late_events")
+    q = (source.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/_chk_late")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    days = spark.read.parquet(sink.late_path).select("event_day").distinct()
+    silver = spark.read.parquet(sink.silver_path).join(days, "event_day", "left_semi")
+    return (windowed.join(days, windowed["date_day"] == days["event_day"], "left_anti")
+            .unionByName(M.fct_events_daily(silver).withColumnRenamed("dau", "dau_approx")))
+
+
 def scratch_base(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming run under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/ledgerline-stream/{name}-{uuid.uuid4().hex}"
