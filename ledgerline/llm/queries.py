@@ -78,6 +78,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), size=5, threshold=0.8)
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.divergence import source_divergence
+    return source_divergence(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 # word by word: every 13-word (or shorter whole) window of an item against every
@@ -158,8 +164,46 @@ SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed
 FROM d LEFT JOIN s USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+# every kept term of every group, and every pair of groups of a language
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT row_number() OVER () AS doc_id, text, lang, source FROM documents)),
+t AS (SELECT doc_id, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+c AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n
+      FROM groups AS g JOIN kept AS k ON g.lang = k.lang
+      LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+p AS (SELECT lang, source, term, n,
+             1 + (CAST(1000000000 AS HUGEINT) * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + v) AS p
+      FROM c JOIN v USING (lang)),
+q AS (SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (n + 1)) // (sum(n) OVER (PARTITION BY lang) + v) AS q
+      FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term) JOIN v USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f, 0) AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source AS s, y.source AS o, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS f
+             FROM p AS x JOIN p AS y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+             GROUP BY ALL) AS z ON z.lang = a.lang AND z.s = a.source AND z.o = b.source),
+terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op4_topk_products": OP4_SQL,
     "op6_substring_dedup": OP6_SQL,
+    "op13_source_divergence": OP13_SQL,
 }
