@@ -78,6 +78,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), size=5, threshold=0.8)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.conversation_repair import conversation_repairs, damaged
+    return conversation_repairs(damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.divergence import source_divergence
     return source_divergence(table(spark, sf_dir, "documents"), min_docs=3, top=200)
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_source_divergence": op13_source_divergence,
 }
 
@@ -164,6 +170,68 @@ SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed
 FROM d LEFT JOIN s USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+# every edit script of a conversation by prefixes: the least (cost, audit) of each state after
+# each row; crc32 is spelt out bit by bit
+OP12_SQL = """
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')) AS k
+  FROM conversations),
+crc AS (
+  SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, CAST(octet_length(k) AS BIGINT) + 1), lambda i: CAST(ascii(substring(decode(k), i, 1)) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, j: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS kind
+  FROM src),
+rows AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM crc WHERE kind <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM rows),
+marked AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         left(role, 1) || left(lead(role) OVER (PARTITION BY conv_id ORDER BY i), 1) AS initials
+  FROM numbered),
+inserts(state, at, script, lines) AS (VALUES
+  (0, 0, '', CAST([] AS VARCHAR[])), (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']),
+  (1, 1, '', []), (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']),
+  (2, 2, '', []), (2, 3, 'I', ['assistant:']), (3, 3, '', []), (3, 2, 'I', ['user:'])),
+moves(at, edit, initial, after, cost, role) AS (VALUES
+  (0, 'D', NULL, 0, 3, NULL), (1, 'D', NULL, 1, 3, NULL), (2, 'D', NULL, 2, 3, NULL), (3, 'D', NULL, 3, 3, NULL),
+  (0, 'R', NULL, 2, 2, 'user'), (1, 'R', NULL, 2, 2, 'user'), (3, 'R', NULL, 2, 2, 'user'), (2, 'R', NULL, 3, 2, 'assistant'),
+  (0, 'K', 's', 1, 0, NULL), (0, 'K', 'u', 2, 0, NULL), (1, 'K', 'u', 2, 0, NULL), (3, 'K', 'u', 2, 0, NULL), (2, 'K', 'a', 3, 0, NULL)),
+best AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])} AS found FROM marked
+  UNION ALL
+  SELECT conv_id, i, state, min(found) FROM (
+    SELECT b.conv_id, r.i, m.after AS state,
+           {'cost': b.found.cost + 2 * len(s.script) + m.cost + CASE WHEN m.edit <> 'D' AND r.fault = 'truncated' THEN 1 ELSE 0 END,
+            'audit': b.found.audit || s.script || m.edit,
+            'lines': list_concat(b.found.lines, s.lines, CASE WHEN m.edit = 'D' THEN [] ELSE [coalesce(m.role, r.role) || ':' || r.text] END)} AS found
+    FROM best AS b JOIN marked AS r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1
+    JOIN inserts AS s ON s.state = b.state JOIN moves AS m ON m.at = s.at
+    WHERE m.edit = 'D' OR (r.fault IN ('', 'truncated') AND (m.edit = 'R' OR m.initial = left(r.role, 1))))
+  GROUP BY conv_id, i, state),
+closing(state, script, lines) AS (VALUES
+  (0, '', CAST([] AS VARCHAR[])), (1, 'II', ['user:', 'assistant:']), (2, 'I', ['assistant:']), (3, '', [])),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i < last AND coalesce(initials, '') NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, max(i) OVER (PARTITION BY conv_id) AS last FROM marked) GROUP BY conv_id),
+done AS (
+  SELECT b.conv_id, min({'cost': b.found.cost + 2 * len(z.script), 'audit': b.found.audit || z.script, 'lines': list_concat(b.found.lines, z.lines)}) AS found
+  FROM best AS b JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND c.n = b.i JOIN closing AS z ON z.state = b.state GROUP BY b.conv_id),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(found.cost, 0) AS BIGINT) AS cost,
+       coalesce(found.audit, '') AS audit, sha256(coalesce(array_to_string(found.lines, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
 # every kept term of every group, and every pair of groups of a language
 OP13_SQL = r"""
 WITH d AS (
@@ -205,5 +273,6 @@ ORACLES: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op4_topk_products": OP4_SQL,
     "op6_substring_dedup": OP6_SQL,
+    "op12_conversation_repair": OP12_SQL,
     "op13_source_divergence": OP13_SQL,
 }
