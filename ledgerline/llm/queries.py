@@ -78,6 +78,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), size=5, threshold=0.8)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.toxicity import toxicity
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.conversation_repair import conversation_repairs, damaged
     return conversation_repairs(damaged(table(spark, sf_dir, "conversations")))
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_toxicity": op11_toxicity,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_source_divergence": op13_source_divergence,
 }
@@ -195,11 +201,11 @@ marked AS (
                  WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
          left(role, 1) || left(lead(role) OVER (PARTITION BY conv_id ORDER BY i), 1) AS initials
   FROM numbered),
-inserts(state, at, script, lines) AS (VALUES
+inserts(state, here, script, lines) AS (VALUES
   (0, 0, '', CAST([] AS VARCHAR[])), (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']),
   (1, 1, '', []), (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']),
   (2, 2, '', []), (2, 3, 'I', ['assistant:']), (3, 3, '', []), (3, 2, 'I', ['user:'])),
-moves(at, edit, initial, after, cost, role) AS (VALUES
+moves(here, edit, initial, after, cost, role) AS (VALUES
   (0, 'D', NULL, 0, 3, NULL), (1, 'D', NULL, 1, 3, NULL), (2, 'D', NULL, 2, 3, NULL), (3, 'D', NULL, 3, 3, NULL),
   (0, 'R', NULL, 2, 2, 'user'), (1, 'R', NULL, 2, 2, 'user'), (3, 'R', NULL, 2, 2, 'user'), (2, 'R', NULL, 3, 2, 'assistant'),
   (0, 'K', 's', 1, 0, NULL), (0, 'K', 'u', 2, 0, NULL), (1, 'K', 'u', 2, 0, NULL), (3, 'K', 'u', 2, 0, NULL), (2, 'K', 'a', 3, 0, NULL)),
@@ -212,7 +218,7 @@ best AS (
             'audit': b.found.audit || s.script || m.edit,
             'lines': list_concat(b.found.lines, s.lines, CASE WHEN m.edit = 'D' THEN [] ELSE [coalesce(m.role, r.role) || ':' || r.text] END)} AS found
     FROM best AS b JOIN marked AS r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1
-    JOIN inserts AS s ON s.state = b.state JOIN moves AS m ON m.at = s.at
+    JOIN inserts AS s ON s.state = b.state JOIN moves AS m ON m.here = s.here
     WHERE m.edit = 'D' OR (r.fault IN ('', 'truncated') AND (m.edit = 'R' OR m.initial = left(r.role, 1))))
   GROUP BY conv_id, i, state),
 closing(state, script, lines) AS (VALUES
