@@ -47,6 +47,9 @@ WINDOW = 128
 SECOND, STEEP, AT = 0.25, 1.0, 0.7
 PREFIXES = (4, 5, 6)
 
+#: Behind every window: zstandard starts no match in the last bytes of its input.
+PAD = b" " * 9
+
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -164,7 +167,7 @@ class Distance:
             to = min(end, at + WINDOW)
             if to < end:
                 to = data.rfind(b" ", at + 1, to) + 1 or (data.find(b" ", to) + 1 or end)
-            window = b" " + data[at:to]
+            window = b" " + data[at:to] + PAD
             gain = len(ordinary(window)) - len(toxic(window))
             if gain > best:
                 best, second, where = gain, best, window

@@ -2,7 +2,7 @@
 
 import zlib
 
-from ledgerline.llm.toxicity import AT, WINDOW, Distance, calibrated, learn_toxicity, own_segments, score_toxicity, toxicity, words_of
+from ledgerline.llm.toxicity import AT, PAD, WINDOW, Distance, calibrated, learn_toxicity, own_segments, score_toxicity, toxicity, words_of
 from tests.llm.helpers import EDGE_TEXTS, by_id, empty, frame
 
 SF = "/root/testdata/sf0.01"
@@ -35,9 +35,11 @@ def test_only_learning_labels_matter(spark):
 
 def test_every_window_counts():
     """The evidence is the largest gain of any window of the whole text."""
-    distance = Distance((b" the cat sat on a mat ", b" wretch villain the cat sat on a mat "))
-    clean = "the cat sat on a mat " * 400
-    assert distance.evidence(clean) == (0, None)
+    common = [f"{a}{b}{c}" for a in ("th", "onder", "wi", "re") for b in ("ing", "lan", "so", "quel") for c in ("", "ly", "est", "mark", "ou")]
+    tail = (" " + " ".join(common) + " ").encode()
+    distance = Distance((tail, b" wretch  villain " + tail))
+    clean = " ".join(common[i * i % len(common)] + ("s" if i % 3 else "") for i in range(2_000)) + " "
+    assert distance.evidence(clean)[0] < 2
     for text in ("wretch " + clean, clean + " villain", clean + "wretch villain " + clean):
         data = " ".join(words_of(text)).encode()
         cuts, at = [], 0
@@ -45,7 +47,7 @@ def test_every_window_counts():
             to = min(len(data), at + WINDOW)
             while to < len(data) and data[to - 1: to] != b" ":
                 to -= 1
-            cuts.append(b" " + data[at:to])
+            cuts.append(b" " + data[at:to] + PAD)
             at = to
         gains = sorted((len(distance.ordinary.compress(w)) - len(distance.toxic.compress(w)) for w in cuts), reverse=True)
         evidence, worst = distance.evidence(text)
