@@ -688,37 +688,137 @@ def fold_rolling_7d(lake: Lake) -> DataFrame:
     return C.fold_rolling_7d(C.rule_fold_table(_counted_frame(lake)))
 
 
-@register("feature_pipeline")
+# The model's oracle solves the same objective by itself: undamped Newton steps in a recursive
+# CTE, each normal system by Gauss-Jordan elimination on lists.
+_NEWTON_STEPS = 10
+_X = [f"coalesce(CAST({c} AS DOUBLE), 0.0)" for c in C.NUMERIC_FEATURES]
+
+
+def _model_ctes(fits: str, rows: str = "") -> str:
+    """``m_beta(fit, beta)``: coefficients of every ``m_fit(fit, until)``, trained on the days
+    before ``until``; with ``rows``, only up to the design."""
+    stats = ",\n    ".join(f"avg(x{i}) AS mean{i}, CASE WHEN min(x{i}) = max(x{i}) THEN 1.0 ELSE sqrt(avg(x{i} * x{i}) - avg(x{i}) * avg(x{i})) END AS scale{i}"
+                           for i in range(len(_X)))
+    scaled = ", ".join(f"(x{i} - mean{i}) / scale{i}" for i in range(len(_X)))
+    columns = ", ".join(f"{x} AS x{i}" for i, x in enumerate(_X))
+    n = len(_X)
+    return f"""{_CHURN_CTES},
+m_fit AS ({fits}),
+m_train AS MATERIALIZED (
+  SELECT f.fit, t.plan_id, t.churn_7d AS y, {columns} FROM cv_t t JOIN m_fit f ON t.date_day < f.until),
+m_levels AS (SELECT list(DISTINCT plan_id ORDER BY plan_id) AS levels FROM m_train),
+m_scale AS MATERIALIZED (
+  SELECT fit, count(*) / (2.0 * count(*) FILTER (y = 0)) AS w0, count(*) / (2.0 * count(*) FILTER (y = 1)) AS w1,
+    {stats}
+  FROM m_train GROUP BY fit),
+m_x AS MATERIALIZED (
+  SELECT fit, y, x, CAST(count(*) AS DOUBLE) * any_value(w) AS w
+  FROM (SELECT t.fit, t.y, CASE t.y WHEN 1 THEN w1 ELSE w0 END AS w,
+               list_concat([{scaled}], list_transform((SELECT levels FROM m_levels), lambda v: CASE WHEN v = t.plan_id THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END),
+                           [1.0::DOUBLE]) AS x
+        FROM m_train t JOIN m_scale s ON s.fit = t.fit)
+  GROUP BY fit, y, x),
+m_dim AS (SELECT CAST({n} + len(levels) + 1 AS INTEGER) AS d FROM m_levels),
+m_at AS MATERIALIZED (SELECT i, j, d FROM m_dim, (SELECT unnest(range(1, 200)) AS i), (SELECT unnest(range(1, 200)) AS j) WHERE i <= d AND j <= d + 1),
+m_step AS (
+  SELECT 0 AS step, fit, list_transform(range(1, (SELECT d FROM m_dim) + 1), lambda i: CAST(0 AS DOUBLE)) AS beta FROM m_scale
+  UNION ALL
+  SELECT step + 1, fit,
+    list_transform(list_reduce(list_transform(range(1, len(beta) + 1), lambda p: [[CAST(p AS DOUBLE)]]),
+      lambda m, q: list_transform(m, lambda r, i: CASE WHEN i = q[1][1]
+          THEN list_transform(r, lambda v: v / r[CAST(q[1][1] AS INTEGER)])
+          ELSE list_transform(r, lambda v, j: v - r[CAST(q[1][1] AS INTEGER)] * m[CAST(q[1][1] AS INTEGER)][j] / m[CAST(q[1][1] AS INTEGER)][CAST(q[1][1] AS INTEGER)]) END),
+      augmented), lambda r, i: beta[i] - r[len(r)])
+  FROM (
+    SELECT step, fit, beta, list(line ORDER BY i) AS augmented FROM (
+      SELECT step, fit, beta, i, list(v ORDER BY j) AS line FROM (
+        SELECT step, fit, beta, i, j,
+          sum(CASE WHEN j <= d THEN w * p * (1 - p) * x[i] * x[j] ELSE w * (p - y) * x[i] END)
+            + CASE WHEN i = d THEN 0.0 WHEN i = j THEN 1.0 WHEN j = d + 1 THEN beta[i] ELSE 0.0 END AS v
+        FROM (SELECT step, m_step.fit, beta, x, y, w, 1 / (1 + exp(-list_dot_product(x, beta))) AS p
+              FROM m_step JOIN m_x ON m_x.fit = m_step.fit WHERE step < {_NEWTON_STEPS}), m_at
+        GROUP BY step, fit, beta, i, j, d)
+      GROUP BY step, fit, beta, i)
+    GROUP BY step, fit, beta)),
+m_beta AS MATERIALIZED (SELECT fit, beta FROM m_step WHERE step = {_NEWTON_STEPS}),
+m_all AS (SELECT *, {columns} FROM cv_t),
+m_scored AS (
+  SELECT b.fit, t.date_day, t.user_id, t.churn_7d,
+    1 / (1 + exp(-list_dot_product(b.beta, list_concat([{scaled}],
+      list_transform((SELECT levels FROM m_levels), lambda v: CASE WHEN v = t.plan_id THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), [1.0::DOUBLE])))) AS score
+  FROM m_all t, m_beta b JOIN m_scale s ON s.fit = b.fit {rows})"""
+
+
+_FINAL_FIT = _model_ctes("SELECT -1 AS fit, cutoff + 1 AS until FROM cv_cut")
+
+
+def _model_oracle(select: str, ctes: str = _FINAL_FIT) -> str:
+    return with_chain(select, ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+FEATURE_PLACES = 9
+
+
+@register("feature_pipeline", with_chain(f"""SELECT t.date_day, t.user_id, {', '.join(
+    f"round(({x} - s.mean{i}) / s.scale{i}, {FEATURE_PLACES}) AS {c}" for i, (c, x) in enumerate(zip(C.NUMERIC_FEATURES, _X, strict=True)))},
+  t.plan_id AS plan_level, CASE WHEN list_contains(l.levels, t.plan_id) THEN 1 ELSE 0 END AS plan_known,
+  CAST(len(l.levels) AS INTEGER) AS n_levels
+FROM cv_t t, s, l""", _CHURN_CTES + f""",
+fitted AS (SELECT plan_id, {', '.join(f"{x} AS x{i}" for i, x in enumerate(_X))} FROM cv_t WHERE date_day <= (SELECT cutoff FROM cv_cut)),
+s AS (SELECT {', '.join(f"avg(x{i}) AS mean{i}, CASE WHEN min(x{i}) = max(x{i}) THEN 1.0 ELSE stddev_pop(x{i}) END AS scale{i}" for i in range(len(_X)))} FROM fitted),
+l AS (SELECT list(DISTINCT plan_id) AS levels FROM fitted)"""))
 def feature_pipeline(lake: Lake) -> DataFrame:
     """Preprocessing fitted on the final-fit rows (0-impute, population
-    standardisation, one-hot plan) applied to every row of the frame."""
+    standardisation, one-hot plan) applied to every row of the frame.  The one-hot block
+    is shown as the level it stands for, whether it has a column, and the block's width."""
     frame = _stable_frame(lake)
-    pre, _ = C.fit_preprocessor(frame.where(F.col("date_day") <= C.cutoff_day(frame)))
-    return frame.select("date_day", "user_id", *pre.columns())
-
-
-@register("churn_model")
+    counted = C.counted_frame(frame.where(F.col("date_day") <= C.cutoff_day(frame)))
+    pre, _ = C.fit_preprocessor(counted)
+    columns = pre.columns()
+    n = len(C.NUMERIC_FEATURES)
+    hot = F.array(*columns[n:])
+    level = F.coalesce("plan_id", F.lit(C.UNKNOWN_LEVEL))
+    wide = frame.select("date_day", "user_id", *[F.round(c, FEATURE_PLACES).alias(name) for c, name in zip(columns, C.NUMERIC_FEATURES)],
+                        hot.alias("hot"), level.alias("plan_level"))
+    names = F.array(*[F.lit(v) for v in pre.levels])
+    known = F.aggregate("hot", F.lit(0.0), lambda a, v: a + v).cast("int")
+    shown = F.coalesce(F.get(names, F.array_position("hot", F.lit(1.0)).cast("int") - 1), F.col("plan_level"))
+    return wide.select("date_day", "user_id", *C.NUMERIC_FEATURES, shown.alias("plan_level"), known.alias("plan_known"), F.size("hot").alias("n_levels"))
+
+
+@register("churn_model", _model_oracle(f"SELECT date_day, user_id, churn_7d, round(score, {C.SCORE_PLACES}) AS score FROM m_scored"))
 def churn_model(lake: Lake) -> DataFrame:
     """Balanced L2 logistic regression fitted on the eligible days;
     churn probability of every row."""
-    frame = C.stable_frame(_frame(lake))
-    pre, model = C.fit_model(frame.where(F.col("date_day") <= C.cutoff_day(frame)))
-    return C.score(pre, model, frame, ["date_day", "user_id", "churn_7d"])
-
-
-@register("cv_run")
+    frame = _stable_frame(lake)
+    pre, model = C.final_model(C.stable_frame(C.counted_frame(frame)))
+    out = C.score(pre, model, frame, ["date_day", "user_id", "churn_7d"])
+    return out.withColumn("score", F.round("score", C.SCORE_PLACES))
+
+
+@register("cv_run", _model_oracle("""SELECT f.fold, f.test_day, f.rows_test, f.positives_test, f.skipped, """ + f"""
+  round(a.ap, {C.METRIC_PLACES}) AS pr_auc, round(r.roc_auc, {C.METRIC_PLACES}) AS roc_auc
+FROM cv_folds f LEFT JOIN cvm_ap a ON a.fold = f.fold LEFT JOIN cvm_auc r ON r.fold = f.fold""",
+    _model_ctes("SELECT fold AS fit, test_day AS until FROM cv_folds WHERE NOT skipped", "JOIN cv_folds g ON g.fold = b.fit WHERE t.date_day = g.test_day")
+    + ",\ncvm_scored AS MATERIALIZED (SELECT fit AS fold, churn_7d AS label, round(score, 12) AS score FROM m_scored),\n"
+    + _CHURN_CTES[_CHURN_CTES.index("cv_auc AS ("):_CHURN_CTES.index("cv_table AS (")].rstrip().rstrip(",")
+    .replace("cv_scored", "cvm_scored").replace("cv_auc", "cvm_auc").replace("cv_ap", "cvm_ap")))
 def cv_run(lake: Lake) -> DataFrame:
     """C11: walk-forward CV of the model, every fold; fold table with metrics."""
     return C.cv_run(_frame(lake))
 
 
-@register("model_coefficients")
+@register("model_coefficients", _model_oracle(f"""SELECT name AS feature, round(coef, {C.SCORE_PLACES}) AS coef FROM (
+  SELECT unnest(list_concat({C.NUMERIC_FEATURES!r}, list_transform(levels, lambda v: 'plan_id_' || v), ['intercept'])) AS name, unnest(beta) AS coef
+  FROM m_beta, m_levels)"""))
 def model_coefficients(lake: Lake) -> DataFrame:
     """Coefficients of the final fit, descending."""
-    return C.model_coefficients(_frame(lake))
+    return C.model_coefficients(_frame(lake)).withColumn("coef", F.round("coef", C.SCORE_PLACES))
 
 
-@register("scored_users_daily")
+@register("scored_users_daily", _model_oracle(f"""SELECT date_day, count(*) AS users, round(avg(s), {C.SCORE_PLACES}) AS mean_score, {', '.join(
+    f"list(s ORDER BY s)[CAST(ceil(CAST({q} AS DOUBLE) * count(*)) AS BIGINT)] AS p{round(100 * q)}" for q in C.QUANTILES)}
+FROM (SELECT date_day, round(score, {C.SCORE_PLACES}) AS s FROM m_scored) GROUP BY date_day"""))
 def scored_users_daily(lake: Lake) -> DataFrame:
     """Daily score distribution of the final model."""
     return C.scored_users_daily(_frame(lake))

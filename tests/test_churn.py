@@ -156,7 +156,7 @@ def test_unseen_plan_encodes_as_zeros(spark):
 
 def test_cv_run_and_reports(spark, tmpdir_path):
     f = C.training_frame(frame(spark, 30, users=30))
-    table = C.cv_run(f, C.WalkForwardConfig(parallelism=2))
+    table = C.cv_run(f)
     rows = table.collect()
     assert len(rows) == 2
     assert all(r["roc_auc"] is None or 0 <= r["roc_auc"] <= 1 for r in rows)
