@@ -11,7 +11,9 @@ from hypothesis import strategies as st
 from ledgerline.operators import bronze as B
 
 text = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=8)
-scalars = st.one_of(st.none(), st.booleans(), st.integers(-10**12, 10**12), text)
+floats = st.one_of(st.floats(allow_nan=False, allow_infinity=False, allow_subnormal=False), st.integers(-10**6, 10**6).map(float),
+                   st.integers(-10**7, 10**7).map(lambda k: k / 1000))
+scalars = st.one_of(st.none(), st.booleans(), st.integers(-10**12, 10**12), st.integers(-10**40, 10**40), floats, text)
 values = st.recursive(scalars, lambda c: st.one_of(st.lists(c, max_size=3),
                                                    st.dictionaries(text, c, max_size=3)), max_leaves=8)
 records = st.dictionaries(st.sampled_from(["event_id", "event_ts", "user_id", "props", "x", "é"]),
@@ -30,6 +32,39 @@ def test_row_hash_matches_canonical_definition(spark, recs):
     assert got == want
 
 
+def hashes(spark, texts, mode="failfast"):
+    df = spark.createDataFrame([("f", t) for t in texts], "source_file string, value string")
+    return [r["row_hash"] for r in B.parse_event_lines(df, mode=mode).select("row_hash").collect()]
+
+
+def wanted(texts):
+    return [hashlib.sha256(("f|" + json.dumps(json.loads(t), sort_keys=True, separators=(",", ":"),
+                                              ensure_ascii=False)).encode()).hexdigest() for t in texts]
+
+
+def test_numbers_keep_their_python_form(spark):
+    texts = [f'{{"x": {n}}}' for n in (
+        "1", "1.0", "1.50", "-0.0", "0.0", "0", "1e20", "1E5", "1e15", "1e16", "123456789012345678.0", "9007199254740993.0", "0.0001", "0.00001",
+        "1.5e-5", "2e-3", "1.7976931348623157e308", "2.2250738585072014e-308", "100.0", "1e22", "1e23", "0.1", "1e-7", "12e2",
+        "12345678901234567890", "-123456789012345678901234567890123456789012", "1e400", "-1e400")]
+    texts += ['{"a": "1.0", "b": ' + json.dumps("x\\") + ', "c": 2.50, "d": ' + json.dumps('say "1.0" 3.50 \\') + ', "e": [1.0, {"f": -2.0e0}]}',
+              "{" + json.dumps('k\\"2.0') + ': 2.0, "1.0": 1.0}', '{"props": {"v": 1.0}, "s": ' + json.dumps("\x01\x02x \x1f") + "}",
+              '{"s": ' + json.dumps("\x01\x021.5") + ', "t": ' + json.dumps("\x01\x02\x02\x02") + ', "u": ' + json.dumps("\\u0001\x02") + ', "z": 1.0}',
+              '{"s": ' + json.dumps("\x01\x021.5") + "}",
+              '{"s": "' + "1.5 " * 20_000 + '", "z": 3.10}']
+    got = hashes(spark, texts)
+    for t, g, w in zip(texts, got, wanted(texts), strict=True):
+        assert g == w, t[:80]
+    assert len(set(hashes(spark, ['{"x": 1}', '{"x": 1.0}']))) == 2
+
+
+def test_props_keep_floats_and_zero_is_falsy(spark):
+    df = spark.createDataFrame([("f", '{"event_id": "a", "props": {"v": 1.0, "w": 1e20}}'), ("f", '{"event_id": "b", "props": -0.0}')],
+                               "source_file string, value string")
+    got = {r["event_id"]: r["props"] for r in B.parse_event_lines(df).collect()}
+    assert got == {"a": '{"v":1.0,"w":1e+20}', "b": "{}"}
+
+
 def test_escape_case_fix_leaves_escaped_backslashes_alone(spark):
     recs = [{"a": "\\u000B"}, {"a": "\x0b\x0b\\\x0b\x1f"}, {"a": "\\\\\x0e"}, {"b": ["\x1a", {"c": "\x0f"}]}]
     lines = [("f", json.dumps(r)) for r in recs]
