@@ -8,7 +8,8 @@ the dictionary's own end and the lead-in's size is taken off, since zstandard st
 very short inputs as they are.
 
 Bounds: the sample is at most ``SAMPLE_ROWS`` texts a language (by a hash of the id,
-short ones first), each cut to ``SAMPLE_BYTES`` characters; a dictionary is at most
+short ones first), of a longer one a block of ``SAMPLE_BYTES`` characters from a place
+given by the hash; a dictionary is at most
 ``DICT_BYTES``.  Everything else covers all rows.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and
@@ -20,6 +21,7 @@ are not learned from and not held out.
 from __future__ import annotations
 
 import re
+import sys
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -36,7 +38,9 @@ BLOCK, SHORT, LEAD = 2048, 400, 512
 #: Margins below this are rejected.
 NARROW = 0.005
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Runs of letters: word characters without digits and other numbers (``½``, ``²``, ``Ⅷ``).
+NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha())
+WORD = re.compile(rf"[^\W\d_{NUMBERS}]+")
 
 
 def words_only(text: str | None) -> bytes:
@@ -54,7 +58,9 @@ def learn_dictionaries(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = (texts(df, id_col, text_col, F.col(lang_col).cast("string").alias("lang"))
             .where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out("id"))
             .select("lang", F.xxhash64(F.col("id").cast("string")).alias("h"), (F.length("text") > SAMPLE_BYTES).alias("long"),
-                    F.substring("text", 1, SAMPLE_BYTES).alias("text")))
+                    "text"))
+    start = F.pmod("h", F.greatest(F.length("text") - SAMPLE_BYTES, F.lit(0)) + 1) + 1
+    rows = rows.withColumn("text", F.col("text").substr(start.cast("int"), F.lit(SAMPLE_BYTES)))
     pick = Window.partitionBy("lang").orderBy("long", "h", "text")
     sample = rows.withColumn("n", F.row_number().over(pick)).where(F.col("n") <= SAMPLE_ROWS)
 

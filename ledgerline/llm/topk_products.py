@@ -193,6 +193,9 @@ def top_k_products(df: DataFrame, is_query: Column, k: int = 20, scale: float =
     rows = rows.distinct()
     asked = whole_vectors(df.where(F.coalesce(is_query, F.lit(False))), id_col, vec_col, scale).distinct()
 
+    # rows of a query's own id can take up that many places of its list
+    keep = k + (asked.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1)
+
     # at most k + 1 ids of each class; the limit is applied before rows are shuffled
     order = Window.partitionBy("vec").orderBy("id")
     few = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
@@ -225,14 +228,14 @@ def top_k_products(df: DataFrame, is_query: Column, k: int = 20, scale: float =
 
     # floors from the longest block of each dimension
     longest = blocks.groupBy("dim").agg(F.max_by("block", F.struct("top", "block")).alias("block"))
-    seeds = _stripes(queries.groupBy("dim", "block").applyInPandas(_pack(0), PACKED), blocks.join(longest, ["dim", "block"]), 1, k + 1)
-    floors = (seeds.groupBy("qcid").agg(F.count(F.lit(1)).alias("c"), F.min("score").alias("s")).where(F.col("c") > k)
+    seeds = _stripes(queries.groupBy("dim", "block").applyInPandas(_pack(0), PACKED), blocks.join(longest, ["dim", "block"]), 1, keep)
+    floors = (seeds.groupBy("qcid").agg(F.count(F.lit(1)).alias("c"), F.min("score").alias("s")).where(F.col("c") >= keep)
               .select(F.col("qcid").alias("cid"), F.col("s").cast("double").alias("floor")))
     floored = queries.join(floors, "cid", "left").fillna({"floor": float("-inf")})
-    found = _stripes(floored.groupBy("dim", "block").applyInPandas(_pack(0), PACKED), blocks, min(STRIPES, base), k + 1)
+    found = _stripes(floored.groupBy("dim", "block").applyInPandas(_pack(0), PACKED), blocks, min(STRIPES, base), keep)
 
     best = Window.partitionBy("qcid").orderBy(F.desc("score"), "vec_id")
-    top = (found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).groupBy("qcid")
+    top = (found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= keep).groupBy("qcid")
            .agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("top")))
     each = asked.join(wanted.select("vec", F.col("cid").alias("qcid")), "vec").join(top, "qcid")
     own = F.slice(F.filter("top", lambda t: t["vec_id"] != F.col("id")), 1, k)

@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import slices, stored, tidied
 
-#: Longest word looked up, and distinct words counted in a task before they are sent on.
-WORD_LENGTH, FLUSH_WORDS = 20, 200_000
+#: Words up to this length are looked up whole, longer ones by their first letters; distinct
+#: words counted in a task before they are sent on.
+SHORT_WORD, FLUSH_WORDS = 20, 200_000
 
-HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
+OPENS = re.compile(r"<(script|style)\b", re.I)
+CLOSERS = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -59,8 +61,37 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return text, verdict
 
 
+def visible_text(html: str) -> str:
+    """The text between tags; scripts, styles and comments go with their content.  One
+    that is never closed loses its opening tag only, and a ``<`` that no ``>`` follows is
+    text.  Each closer is looked for once: where there is none, none follows later."""
+    out, at, missing = [], 0, set()
+    while (start := html.find("<", at)) >= 0:
+        end = -1
+        opened = OPENS.match(html, start)
+        if opened and (name := opened[1].lower()) not in missing:
+            closer = CLOSERS[name].search(html, opened.end())
+            if closer:
+                end = closer.end()
+            else:
+                missing.add(name)
+        if end < 0 and "comment" not in missing and html.startswith("<!--", start):
+            end = html.find("-->", start + 4) + 3
+            if end < 3:
+                missing.add("comment")
+                end = -1
+        if end < 0:
+            end = html.find(">", start + 1) + 1
+        if end <= 0:
+            break
+        out += (html[at:start], " ")
+        at = end
+    out.append(html[at:])
+    return "".join(out)
+
+
 def word_counts(pages: DataFrame, html_col: str) -> DataFrame:
-    """``word, n`` over the visible text of all pages (words up to ``WORD_LENGTH``)."""
+    """``word, n`` over the visible text of all pages."""
     def count(batches):
         def sent(c):
             return pa.record_batch([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
@@ -70,27 +101,31 @@ def word_counts(pages: DataFrame, html_col: str) -> DataFrame:
             for batch in slices(whole, "html"):
                 for html in batch.column("html").to_pylist():
                     if html:
-                        seen.update(LETTERS.findall(HIDDEN.sub(" ", html).lower()))
+                        seen.update(LETTERS.findall(visible_text(html).lower()))
                     if len(seen) > FLUSH_WORDS:
                         yield sent(seen)
                         seen = Counter()
         yield sent(seen)
 
     raw = pages.select(F.col(html_col).cast("string").alias("html")).mapInArrow(tidied(count), "word string, n long")
-    return raw.where(F.length("word") <= WORD_LENGTH).groupBy("word").agg(F.sum("n").alias("n"))
+    return raw.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def viterbi(name: str, words: dict[str, int], total: int) -> list[str]:
     """The most probable split of a name; an unknown run of letters costs ten times more
     with each letter.  Ties go to the longer last word."""
+    ten, lengths = log(10), sorted({len(w) for w in words}, reverse=True)
     best = [(0.0, 0)]
+    # start of the cheapest unknown run, whatever its end
+    run = (0.0, 0)
     for end in range(1, len(name) + 1):
-        options = []
-        for start in range(max(0, end - WORD_LENGTH), end):
-            n = words.get(name[start:end], 0)
-            cost = log(total / n) if n else log(total) + (end - start - 1) * log(10)
-            options.append((best[start][0] + cost, start))
-        best.append(min(options))
+        cost, start = best[run[1]][0] + log(total) + (end - run[1] - 1) * ten, run[1]
+        for size in lengths:
+            n = words.get(name[end - size:end]) if size <= end else None
+            if n:
+                cost, start = min((cost, start), (best[end - size][0] + log(total / n), end - size))
+        best.append((cost, start))
+        run = min(run, (cost - end * ten, end))
     out, end = [], len(name)
     while end:
         start = best[end][1]
@@ -103,9 +138,16 @@ def segmented(names: DataFrame, unigrams: DataFrame) -> DataFrame:
     """``name, words`` of each distinct name."""
     total = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + 1
     starts = names.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("at"))
-    parts = starts.select("name", F.explode(F.sequence(F.lit(1), F.least(F.lit(WORD_LENGTH), F.length("name") - F.col("at") + 1))).alias("len"), "at")
+    parts = starts.select("name", F.explode(F.sequence(F.lit(1), F.least(F.lit(SHORT_WORD), F.length("name") - F.col("at") + 1))).alias("len"), "at")
     parts = parts.select("name", F.expr("substring(name, at, len)").alias("word")).distinct()
-    known = parts.join(unigrams, "word").groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+    found = parts.join(unigrams.where(F.length("word") <= SHORT_WORD), "word").select("name", "word", "n")
+    # a longer word begins at a place with its first letters
+    beginning = SHORT_WORD + 1
+    heads = (starts.where(F.length("name") - F.col("at") + 1 >= beginning)
+             .select("name", "at", F.col("name").substr(F.col("at"), F.lit(beginning)).alias("head")))
+    long = (unigrams.where(F.length("word") >= beginning).select("word", "n", F.substring("word", 1, beginning).alias("head")).join(heads, "head")
+            .where(F.col("name").substr(F.col("at"), F.length("word")) == F.col("word")).select("name", "word", "n").distinct())
+    known = found.unionByName(long).groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("known"))
 
     def split(batches):
         for batch in batches:

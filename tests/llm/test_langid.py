@@ -2,7 +2,9 @@
 
 import zlib
 
-from ledgerline.llm.langid import keep_identified, language_id
+import regex
+
+from ledgerline.llm.langid import Compressors, keep_identified, language_id, learn_dictionaries
 from tests.llm.helpers import by_id, empty, frame
 
 SF = "/root/testdata/sf0.01"
@@ -29,6 +31,24 @@ def test_held_out_labels_do_not_matter(spark):
     assert {i: tuple(r) for i, r in by_id(language_id(plain)).items()} == {i: tuple(r) for i, r in by_id(language_id(turned)).items()}
 
 
+def test_numbers_are_not_letters(spark):
+    rows = [(0, "½ ² Ⅷ 12 ٣"), (4, "ª a"), (8, "x²"), *[(i, f"some words in text {i}") for i in range(100, 140)]]
+    got = by_id(language_id(frame(spark, rows)))
+    assert got[0].lang_pred == "und" and got[0].score == 0
+    assert got[4].lang_pred == got[8].lang_pred == "en"
+
+
+def test_equals_a_loop_over_the_dictionaries(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = learn_dictionaries(docs)
+    known = Compressors(learned)
+    got = by_id(language_id(docs))
+    for r in docs.collect():
+        words = " ".join(regex.findall(r"\p{L}+", (r.text or "").lower())).encode()
+        want = known.sizes(words)[0][1] if words else "und"
+        assert got[r.doc_id].lang_pred == want
+
+
 def test_defined_cases(spark):
     got = by_id(language_id(frame(spark)))
     assert got[0].lang_pred == got[1].lang_pred == got[4].lang_pred == "und"

@@ -33,6 +33,13 @@ def test_random_vectors(spark, monkeypatch, spread, dim):
     assert found(spark, rows) == brute(rows, 20)
 
 
+def test_one_id_with_several_vectors(spark):
+    rng = np.random.default_rng(1)
+    rows = [(20, rng.normal(size=3).tolist()) for _ in range(10)] + [(i, rng.normal(size=3).tolist()) for i in range(101, 137)] + [(0, [9.0, 9.0, 9.0])]
+    got = found(spark, rows)
+    assert got == brute(rows, 20) and sum(r[0] == 20 for r in got) == 200
+
+
 def test_edges(spark):
     rows = [(0, [1.0, 2.0]), (20, [0.0, -0.0]), (40, None), (60, []), (80, [1.0, None]), (100, [float("nan"), 1.0]), (120, [float("inf"), 0.0]),
             (1, [1.0, 2.0]), (2, [-0.0, 0.0]), (3, [3.0]), (None, [1.0, 1.0]), (1, [1.0, 2.0]), (4, [-5.0, 1.0]), (140, [2.0]), (5, [0.015, -0.001])]

@@ -2,13 +2,18 @@
 
 import itertools
 import math
+import random
 import re
+import time
 from collections import Counter
 
+import pytest
+
 from ledgerline.llm.queries import URL_RULES
-from ledgerline.llm.url_filter import HIDDEN, LETTERS, url_verdicts, viterbi
+from ledgerline.llm.url_filter import LETTERS, url_verdicts, viterbi, visible_text
 
 SF = "/root/testdata/sf0.001"
+HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 
 
 def parts(url):
@@ -19,7 +24,7 @@ def parts(url):
 
 
 def brute(rows):
-    counts = Counter(w for _, _, html in rows for w in LETTERS.findall(HIDDEN.sub(" ", html or "").lower()) if len(w) <= 20)
+    counts = Counter(w for _, _, html in rows for w in LETTERS.findall(HIDDEN.sub(" ", html or "").lower()))
     total, judged = sum(counts.values()) + 1, []
     for i, url, _ in rows:
         host, path = parts(url)
@@ -72,3 +77,30 @@ def test_viterbi_is_the_best_of_all_splits():
             at = [0, *[i + 1 for i, c in enumerate(cuts) if c], len(name)]
             options.append([name[x:y] for x, y in zip(at, at[1:])])
         assert math.isclose(cost(viterbi(name, counts, total)), min(map(cost, options)))
+
+
+@pytest.mark.parametrize("piece", ["<script ", "<!-- ", "<style>", "<", "</script ", "<script></scrip", "<!--->"])
+def test_hostile_html_takes_one_scan(piece):
+    html = piece * (1_000_000 // len(piece))
+    begun = time.perf_counter()
+    visible_text(html)
+    assert time.perf_counter() - begun < 3
+
+
+def test_visible_text_is_what_the_pattern_leaves():
+    rng = random.Random(4)
+    pieces = ["<script>", "</script >", "<SCRIPT x>", "<style", ">", "</style>", "<!--", "-->", "<b>", "</b>", "word", " ", "<", "<!-->", "--", "scripts", "<scripts>"]
+    for _ in range(3000):
+        html = "".join(rng.choices(pieces, k=rng.randint(0, 12)))
+        assert visible_text(html) == HIDDEN.sub(" ", html), html
+
+
+def test_long_words(spark):
+    word = "donaudampfschifffahrtsgesellschaft"
+    rows = [(1, f"http://{word}x.net/", f"<p>{word} {word}</p>"), (2, f"http://my{word}.net/", "<p>my x</p>"), (3, "http://" + "zq" * 40 + ".net/", None)]
+    check(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert viterbi(word + "x", {word: 2, "x": 1}, 9) == [word, "x"]
+    assert viterbi("zq" * 40, {}, 100) == ["zq" * 40]
+    begun = time.perf_counter()
+    viterbi("ab" * 100_000, {"ab": 3}, 100)
+    assert time.perf_counter() - begun < 5
