@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ledgerline.operators import bronze as B
 from ledgerline.plans.lake import Lake
 from ledgerline.plans.oracle import with_chain
+from ledgerline.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,11 +50,9 @@ def register(key: str, oracle: str | None = None):
 # ---------------------------------------------------------------- bronze
 @register("raw_events_scan", with_chain("SELECT source_file, raw_value AS value FROM ev_parsed"))
 def raw_events_scan(lake: Lake) -> DataFrame:
-    """B1 line handling over the stand-in feed: blank lines dropped and the
-    first-N-files rule applied by file name (N = 0: every file).  The folder
-    listing and glob of B1 (``sources.files.scan_jsonl``) run in the tests on
-    real files."""
-    return B.limit_files(B.scan_lines(lake.raw_event_lines), 0)
+    """B1: the feed landed as one JSONL file per source file, then scanned as a loader
+    does: folder, glob, file name from the file's metadata, blank lines dropped."""
+    return files.scan_jsonl(lake.spark, lake.events_folder)
 
 
 @register("bronze_events_parse", with_chain(
@@ -83,10 +82,12 @@ def bronze_events_load(lake: Lake) -> DataFrame:
 
 @register("bronze_billing_load", with_chain("SELECT * FROM bronze_billing"))
 def bronze_billing_load(lake: Lake) -> DataFrame:
-    """Billing CSV rows loaded twice (a re-run): each hash once."""
-    first = B.load_bronze_billing(lake.raw_billing_rows, None, lake.ingestion_ts,
+    """The feed landed as CSV files and scanned; loaded twice (a re-run): each hash
+    once."""
+    rows = files.scan_billing_csv(lake.spark, lake.billing_folder)
+    first = B.load_bronze_billing(rows, None, lake.ingestion_ts,
                                   empty_as_null=lake.empty_as_null)
-    second = B.load_bronze_billing(lake.raw_billing_rows, first, lake.ingestion_ts,
+    second = B.load_bronze_billing(rows, first, lake.ingestion_ts,
                                    empty_as_null=lake.empty_as_null)
     return first.unionByName(second)
 
@@ -843,10 +844,11 @@ def _landed(lake: Lake, name: str) -> tuple[str, str]:
 
 @register("stream_bronze_events", with_chain("SELECT * FROM bronze_events"))
 def stream_bronze_events(lake: Lake) -> DataFrame:
-    """Bronze built incrementally by a stream over the landed feed."""
-    base, landing = _landed(lake, "bronze")
-    paths = STR.run_bronze_silver(lake.spark, STR.landing_stream(lake.spark, landing), base,
-                                  lake.ingestion_ts)
+    """Bronze built incrementally by a stream over the feed's JSONL files, some days'
+    files a micro-batch."""
+    base = STR.scratch_base(lake.spark, "bronze")
+    source = STR.jsonl_stream(lake.spark, lake.events_folder, max_files=64)
+    paths = STR.run_bronze_silver(lake.spark, source, base, lake.ingestion_ts)
     return lake.spark.read.parquet(paths["bronze"])
 
 

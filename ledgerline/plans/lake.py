@@ -10,6 +10,7 @@ checkpoint folder and reads them back, cutting lineage.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from ledgerline.operators import marts as M
 from ledgerline.operators import silver as S
 from ledgerline.operators import staging as G
 from ledgerline.session import checkpoint_dir, use_utc
-from ledgerline.sources import adapter
+from ledgerline.sources import adapter, landing
 
 
 class Lake:
@@ -49,6 +50,22 @@ class Lake:
             return self._raw_billing
         return adapter.raw_billing_rows(self.spark, self.sf_dir)
 
+    # ---- the feeds as files ----------------------------------------------
+    @cached_property
+    def feed_folder(self) -> str:
+        """A fresh folder of the shared checkpoint folder for landed feed files."""
+        return f"{checkpoint_dir(self.spark)}/feeds/{uuid.uuid4().hex}"
+
+    @cached_property
+    def events_folder(self) -> str:
+        landing.land_event_files(self.raw_event_lines, f"{self.feed_folder}/events")
+        return f"{self.feed_folder}/events"
+
+    @cached_property
+    def billing_folder(self) -> str:
+        landing.land_billing_files(self.raw_billing_rows, f"{self.feed_folder}/billing")
+        return f"{self.feed_folder}/billing"
+
     # ---- bronze ----------------------------------------------------------
     @cached_property
     def parsed_events(self) -> DataFrame:

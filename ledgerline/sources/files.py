@@ -22,7 +22,7 @@ class NoInputFiles(RuntimeError):
     """The directory exists but no file matches the glob."""
 
 
-def _relative(path_col):
+def relative_name(path_col):
     """``<folder>/<file name>`` of a file path, so hashes do not depend on where
     the feed folder is mounted (the folder name is kept: events/..., billing/...)."""
     # the metadata column gives an encoded path; a plus sign in a name is a plus sign
@@ -51,7 +51,7 @@ def scan_jsonl(spark: SparkSession, root: str, glob: str = "*.jsonl",
     """
     files = _pick_files(spark, spark.read.format("text"), root, glob, limit_files)
     df = spark.read.format("text").option("pathGlobFilter", glob).load(files)
-    return (df.select(_relative(F.col("_metadata.file_path")).alias("source_file"),
+    return (df.select(relative_name(F.col("_metadata.file_path")).alias("source_file"),
                       F.col("value"))
               .where(strip(F.col("value")) != ""))
 
@@ -62,5 +62,5 @@ def scan_billing_csv(spark: SparkSession, root: str, glob: str = "*.csv",
     files = _pick_files(spark, spark.read.format("csv").option("header", "true")
                         .schema(BILLING_CSV_SCHEMA), root, glob, limit_files)
     df = spark.read.option("pathGlobFilter", glob).csv(files, header=True, schema=BILLING_CSV_SCHEMA)
-    return df.select(_relative(F.col("_metadata.file_path")).alias("source_file"),
+    return df.select(relative_name(F.col("_metadata.file_path")).alias("source_file"),
                      "billing_date", "user_id", "event", "plan_id")

@@ -41,6 +41,7 @@ from ledgerline.functions.time import lateness_sec
 from ledgerline.operators import bronze as B
 from ledgerline.operators import marts as M
 from ledgerline.operators import silver as S
+from ledgerline.sources.files import relative_name
 from ledgerline.session import checkpoint_dir
 from ledgerline.sources.sinks import table_exists
 
@@ -61,12 +62,12 @@ def landing_stream(spark: SparkSession, path: str,
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
 
 
-def jsonl_stream(spark: SparkSession, root: str, glob: str = "*.jsonl") -> DataFrame:
+def jsonl_stream(spark: SparkSession, root: str, glob: str = "*.jsonl", max_files: int = 1000) -> DataFrame:
     """Raw lines of JSONL feed files as they arrive: ``(source_file, value)``;
     ``source_file`` is ``<folder>/<file name>``; blank lines skipped."""
-    lines = spark.readStream.option("pathGlobFilter", glob).text(root)
+    lines = spark.readStream.option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files).text(root)
     return lines.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1).alias("source_file"),
+        relative_name(F.col("_metadata.file_path")).alias("source_file"),
         "value").where(strip(F.col("value")) != "")
 
 

@@ -219,3 +219,16 @@ def test_day_boundary_in_daily_facts(spark):
     daily = {r["date_day"].isoformat(): r["events"]
              for r in M.fct_events_daily(G.stg_events(S.silver_events(bronze))).collect()}
     assert daily == {"2024-01-01": 1, "2024-01-02": 1}
+
+
+def test_landed_files_scan_back(spark, tmpdir_path):
+    from ledgerline.sources.landing import land_billing_files, land_event_files
+    lines = [("events/day one.jsonl", '{"a": 1}'), ("events/day+two%.jsonl", '{"a": "x, y"}'), ("events/day one.jsonl", '{"a": 2}')]
+    land_event_files(spark.createDataFrame(lines, "source_file string, value string"), f"{tmpdir_path}/in/events")
+    assert sorted(tuple(r) for r in scan_jsonl(spark, f"{tmpdir_path}/in/events").collect()) == sorted(lines)
+    assert sorted(os.listdir(f"{tmpdir_path}/in/events"))[-2:] == ["day one.jsonl", "day+two%.jsonl"]
+    rows = [("billing/a b.csv", " 2024-01-01 ", 'u"1', "start,", None), ("billing/c.csv", "2024-01-02", "", "cancel", "pro")]
+    empty_is_null = [tuple(None if v == "" else v for v in r) for r in rows]
+    land_billing_files(spark.createDataFrame(rows, "source_file string, billing_date string, user_id string, event string, plan_id string"),
+                       f"{tmpdir_path}/in/billing")
+    assert sorted(tuple(r) for r in scan_billing_csv(spark, f"{tmpdir_path}/in/billing").collect()) == empty_is_null
