@@ -3,13 +3,11 @@
 A word is a run of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z are lower-cased.  Both
 sides hash every ``K``-gram of words and keep, for each sliding window of ``W``
 neighbouring hashes, the smallest one.  ``K + W - 1`` is the span length, so any shared
-span of that many words shares a kept hash.  Kept hashes of the texts are joined with
-those of the benchmark, each hit is extended to the spans around it, and spans are
-compared word by word.  Items shorter than the span are one window of their own
-length, fingerprinted by the hash of all their words.
-
-Before the join, text fingerprints pass a Bloom filter of the benchmark's, bounded on
-any benchmark (``bloom``); it only saves work.
+span of that many words shares a kept hash.  Kept hashes of the benchmark fill a bounded
+Bloom filter (``bloom``), which only saves work: a window of a text that holds none of them
+cannot be shared.  The windows that pass are joined with the benchmark's whole windows,
+word by word; fingerprint positions are not joined and hits are not extended.  Items
+shorter than the span are one window of their own length.
 
 Defined cases: a null text has no words and is not hit; null or wordless items have
 no window; an item row with a null id marks words but is not listed; repeated item

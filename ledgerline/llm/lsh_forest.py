@@ -1,15 +1,15 @@
-"""Operator 10, n-gram Jaccard join over a MinHash LSH forest.
+"""Operator 10, n-gram Jaccard join by MinHash bands and exact verification.
 
 Texts are sets of ``SHINGLE``-word shingles (words as in operator 1; a shorter text is
 one shingle of all its words).  Texts with the same words in the same order are one
 class and go through the join once.
 
-A forest has ``TREES`` prefix tries of MinHash signatures, sorted by tree and prefix.  A
-matched prefix starts at ``DEPTH`` values and is shortened until all tries together
-find a pair at the threshold with probability ``RECALL``.  Classes that share such a
-prefix in any trie fall into one candidate component; in a component, *every* pair is
-verified on the exact shingle sets, so a pair missed by all tries is still found where
-other texts connect it.
+Signatures have ``TREES`` bands.  All bands match on the longest prefix, of at most
+``DEPTH`` values, that finds a pair at the threshold with probability ``RECALL`` over all
+bands (5 values at 0.8); the length is computed once, the tries of a forest are not
+sorted nor shortened level by level.  Classes that share a band fall into one candidate
+component; in a component, *every* pair is verified on the exact shingle sets, so a pair
+missed by all bands is still found where other texts connect it.
 
 Candidate components over ``BLOCK`` classes are cut into blocks by a hash, and each pair
 of blocks is a task of its own; a task gives link counts and a spanning forest, never
