@@ -38,13 +38,16 @@ BLOCK, SHORT, LEAD = 2048, 400, 512
 #: Margins below this are rejected.
 NARROW = 0.005
 
-#: Runs of letters: word characters without digits and other numbers (``½``, ``²``, ``Ⅷ``).
-NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha())
-WORD = re.compile(rf"[^\W\d_{NUMBERS}]+")
+#: Numbers that count as word characters (``½``, ``²``, ``Ⅷ``) are no letters.
+NUMBER = re.compile("[" + "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha()) + "]")
+WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_only(text: str | None) -> bytes:
-    return " ".join(WORD.findall(text.lower())).encode() if text else b""
+    if not text:
+        return b""
+    text = text.lower()
+    return " ".join(WORD.findall(text if text.isascii() else NUMBER.sub(" ", text))).encode()
 
 
 def held_out(id_col: str):
