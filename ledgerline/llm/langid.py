@@ -39,7 +39,7 @@ BLOCK, SHORT, LEAD = 2048, 400, 512
 NARROW = 0.005
 
 #: Numbers that count as word characters (``½``, ``²``, ``Ⅷ``) are no letters.
-NUMBER = re.compile("[" + "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha()) + "]")
+NUMBERS = frozenset(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha())
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -47,7 +47,10 @@ def words_only(text: str | None) -> bytes:
     if not text:
         return b""
     text = text.lower()
-    return " ".join(WORD.findall(text if text.isascii() else NUMBER.sub(" ", text))).encode()
+    if not text.isascii():
+        for c in NUMBERS.intersection(text):
+            text = text.replace(c, " ")
+    return " ".join(WORD.findall(text)).encode()
 
 
 def held_out(id_col: str):
