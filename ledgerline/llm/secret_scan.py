@@ -30,6 +30,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Callable
 from itertools import accumulate
 
@@ -115,23 +116,31 @@ def _der_items(raw: bytes, at: int, end: int, depth: int) -> list[int] | None:
     return tags
 
 
+def _openssh_size(read: Callable[[int], bytes]) -> int:
+    """Bytes of an OpenSSH key by its own lengths; ``read`` gives 4 bytes from an offset on
+    (fewer at the end)."""
+    at = len(OPENSSH)
+    for _ in range(3):  # cipher, key derivation, its options
+        field = read(at)
+        if len(field) < 4:
+            return 0
+        at += 4 + int.from_bytes(field, "big")
+    field = read(at)
+    if len(field) < 4:
+        return 0
+    at += 4
+    for _ in range(min(int.from_bytes(field, "big"), 16) + 1):  # public keys, then the private part
+        field = read(at)
+        if len(field) < 4:
+            return 0
+        at += 4 + int.from_bytes(field, "big")
+    return at
+
+
 def key_size(raw: bytes) -> int:
     """Bytes of the key at the start of ``raw`` by its own lengths; 0 if there is none."""
     if raw.startswith(OPENSSH):
-        at = len(OPENSSH)
-        for _ in range(3):  # cipher, key derivation, its options
-            if len(raw) - at < 4:
-                return 0
-            at += 4 + int.from_bytes(raw[at: at + 4], "big")
-        if len(raw) - at < 4:
-            return 0
-        keys = int.from_bytes(raw[at: at + 4], "big")
-        at += 4
-        for _ in range(min(keys, 16) + 1):  # public keys, then the private part
-            if len(raw) - at < 4:
-                return 0
-            at += 4 + int.from_bytes(raw[at: at + 4], "big")
-        return at
+        return _openssh_size(lambda at: raw[at: at + 4])
     if len(raw) < 6 or raw[0] != 0x30:
         return 0
     n = raw[1] & 0x7F if raw[1] & 0x80 else 0
@@ -206,9 +215,15 @@ def _key_end(whole: str, at: int, line: dict[int, int], decode: Callable[[str],
     """The line after a key that begins at ``at`` and ends with a line."""
     left = (len(whole) - at) // 4 * 4
     head = decode(whole[at: at + min(left, 60)]) or b""
-    if head.startswith(OPENSSH):
-        head = decode(whole[at: at + left]) or b""
-    end = at - (-key_size(head) * symbols // 3)
+
+    def read(offset: int) -> bytes:
+        # only the groups of 3 bytes that hold the 4 bytes
+        group, skip = divmod(offset, 3)
+        part = whole[at + group * symbols: at + min(left, (group + 2) * symbols)]
+        return (decode(part) or b"")[skip: skip + 4]
+
+    size = _openssh_size(read) if head.startswith(OPENSSH) else key_size(head)
+    end = at - (-size * symbols // 3)
     if end == at or end not in line:
         return None
     raw = decode(whole[at:end])
@@ -232,6 +247,12 @@ def _text_end(whole: str, edge: list[int], size: list[int], i: int, decode: Call
     return next((to for to in ends if holds(to)), None), end
 
 
+def _inside(span: tuple, spans: list[tuple[int, int, str]]) -> bool:
+    """Whether one of ``spans`` (by start, not overlapping) holds ``span``."""
+    k = bisect_right(spans, span[0], key=lambda s: s[0])
+    return k > 0 and span[1] <= spans[k - 1][1]
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Candidates that decode to what they look like."""
     out = []
@@ -246,16 +267,15 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
             if raw is not None and is_key(raw):
                 out.append((m.start(), m.end(), "pem"))
     armoured = [s for s in out if s[2] == "pem"]
-    inside = lambda m, spans: any(a <= m[0] and m[1] <= b for a, b, _ in spans)
     for pattern, lines, decode, symbols in ((BASE64, BASE64_LINES, _from_base64, 4), (HEX_ANY, HEX_LINES, _from_hex, 6)):
-        joined = [s for s in line_spans(text, lines, decode, symbols) if not inside(s, armoured)]
+        joined = [s for s in line_spans(text, lines, decode, symbols) if not _inside(s, armoured)]
         out += joined
         for m in pattern.finditer(text):
             raw = decode(m[0])
             if raw is None:
                 continue
             kind = "der" if is_key(raw) else "wrapped" if _holds_secret(raw) else None
-            if kind and not inside(m.span(), joined):
+            if kind and not _inside(m.span(), joined):
                 out.append((m.start(), m.end(), kind))
     return out
 

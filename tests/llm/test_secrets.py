@@ -4,6 +4,8 @@ import base64
 import hashlib
 import json
 import re
+import struct
+import time
 
 from pyspark.sql import functions as F
 
@@ -135,3 +137,18 @@ def test_redaction(spark):
         if r.text is not None and scan(r.text)[1]:
             covered = {p for a, b, _ in scan(r.text)[1] for p in range(a, b)}
             assert r.out.replace("[SECRET]", "") == "".join(c for p, c in enumerate(r.text) if p not in covered)
+
+
+def test_many_joined_spans_and_key_headers_take_linear_time():
+    wrapped = base64.b64encode(b"token=abcdefgh12345678 and some more text").decode()
+    pair = f"x {wrapped[:20]}\n{wrapped[20:]} y\n"
+    fields = struct.pack(">I", 4) + b"none"
+    header = base64.b64encode(b"openssh-key-v1\0" + fields * 2 + bytes(4) + struct.pack(">I", 1) + b"abcdefg")[:60].decode()
+
+    def seconds(text: str) -> float:
+        start = time.process_time()
+        scan(text)
+        return time.process_time() - start
+
+    for unit in (pair, header + "\n"):
+        assert seconds(unit * 16000) < 40 * max(seconds(unit * 1000), 0.02)  # 16 times the text
