@@ -43,32 +43,32 @@ def _existing(spark, path):
     return spark.read.parquet(path) if sinks.table_exists(spark, path) else None
 
 
-def _report(parsed, existing) -> None:
-    rows = B.load_report(parsed, existing).orderBy("source_file").collect()   # one row per file
+def _load(spark, parsed, bronze: str) -> None:
+    """Report a parsed (checkpointed) batch against the table at ``bronze``, then append
+    what is new; of the table only the batch's files are read."""
+    existing, names = _existing(spark, bronze), B.batch_files(parsed)
+    rows = B.load_report(parsed, existing, names).orderBy("source_file").collect()   # one row per file
     for r in rows:
         print(f"  {r['source_file']}: {r['records_read']} records, {r['inserted_rows']} new")
     print(f"loaded {len(rows)} file(s): {sum(r['records_read'] for r in rows)} records, "
-          f"{sum(r['insert_attempts'] for r in rows)} distinct, "
+          f"{sum(r['insert_attempts'] for r in rows)} attempted, "
           f"{sum(r['inserted_rows'] for r in rows)} new")
+    sinks.append_by(B.append_new(parsed, existing, names), bronze, "source_file")
 
 
 def load_events(spark, a) -> None:
     checkpoint_dir(spark)
     lines = files.scan_jsonl(spark, a.events_dir, a.glob, a.limit_files)
-    existing = _existing(spark, a.bronze)
     parsed = B.parse_event_lines(lines, a.ingestion_ts or _now(), a.mode).checkpoint(eager=True)
-    _report(parsed, existing)
-    B.append_new(parsed, existing).write.mode("append").partitionBy("source_file").parquet(a.bronze)
+    _load(spark, parsed, a.bronze)
 
 
 def load_billing(spark, a) -> None:
     checkpoint_dir(spark)
     rows = files.scan_billing_csv(spark, a.billing_dir, a.glob, a.limit_files)
-    existing = _existing(spark, a.bronze)
     parsed = B.parse_billing_rows(rows, a.ingestion_ts or _now(), a.empty_as_null, a.mode) \
         .checkpoint(eager=True)
-    _report(parsed, existing)
-    B.append_new(parsed, existing).write.mode("append").partitionBy("source_file").parquet(a.bronze)
+    _load(spark, parsed, a.bronze)
 
 
 def silver(spark, a) -> None:

@@ -8,6 +8,8 @@ shuffle) and anti-joined against the existing table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ BILLING_FIELDS = ["billing_date", "user_id", "event", "plan_id"]
 BRONZE_BILLING_COLUMNS = BILLING_FIELDS + ["source_file", "ingestion_ts", "row_hash"]
 # Key under which ``props`` keeps the text of a line that is not JSON.
 RAW_LINE_KEY = "_raw_line"
+# Names of source files in one literal partition filter.
+FILES_PER_FILTER = 1000
 # Fixed value: one load run stamps all its rows with one ingestion time.
 DEFAULT_INGESTION_TS = "2024-02-01 00:00:00"
 
@@ -121,7 +125,30 @@ def billing_row_hash() -> Column:
     return F.sha2(payload, 256)
 
 
-def append_new(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
+def batch_files(batch: DataFrame) -> list[str]:
+    """The source files of a load: one name a file that the load's scan has listed."""
+    return [r[0] for r in batch.select("source_file").distinct().collect()]
+
+
+def of_files(table: DataFrame, files: list[str]) -> DataFrame:
+    """Rows of ``table`` of the named source files.  The names are literals, so of a
+    table partitioned by file only their partitions are listed and read; a long list
+    goes in several filters of ``FILES_PER_FILTER`` names."""
+    names = sorted(set(files))
+    parts = [table.where(F.col("source_file").isin(names[i: i + FILES_PER_FILTER]))
+             for i in range(0, max(len(names), 1), FILES_PER_FILTER)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _stored_hashes(existing: DataFrame, batch: DataFrame, files: list[str] | None) -> DataFrame:
+    stored = existing.select("source_file", "row_hash")
+    if files is not None:
+        return of_files(stored, files)
+    return stored.join(batch.select("source_file").distinct(), "source_file", "left_semi")
+
+
+def append_new(batch: DataFrame, existing: DataFrame | None,
+               files: list[str] | None = None) -> DataFrame:
     """B4 core: rows of ``batch`` whose hash is neither repeated earlier in the
     batch nor present in ``existing``.  The result is what gets appended.
 
@@ -129,16 +156,16 @@ def append_new(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     their order (a billing hash covers trimmed values, the rows keep untrimmed ones).
 
     The hash covers the source file, so a batch row can only match stored rows
-    of the same file: a semi join on ``source_file`` keeps those, and the anti
-    join is on (source_file, row_hash).  Whether the semi join prunes partitions
-    of a table partitioned by file is up to the planner's runtime filter."""
+    of the same file, and the anti join is on (source_file, row_hash).  ``files`` names
+    the batch's files (:func:`batch_files`): the stored table is then pruned to their
+    partitions.  Without it a semi join on ``source_file`` keeps those rows, and pruning
+    is up to the planner's runtime filter."""
     least = F.min(F.struct(*[F.col(c) for c in batch.columns if c != "row_hash"])).alias("_row")
     fresh = batch.groupBy("row_hash").agg(least).select(
         *[F.col("row_hash") if c == "row_hash" else F.col(f"_row.{c}").alias(c) for c in batch.columns])
     if existing is None:
         return fresh
-    files = fresh.select("source_file").distinct()
-    stored = existing.select("source_file", "row_hash").join(files, "source_file", "left_semi")
+    stored = _stored_hashes(existing, fresh, files)
     return fresh.join(stored, on=["source_file", "row_hash"], how="left_anti") \
         .select(*batch.columns)
 
@@ -157,21 +184,25 @@ def load_bronze_billing(rows: DataFrame, existing: DataFrame | None = None,
     return append_new(parse_billing_rows(rows, ingestion_ts, empty_as_null, mode), existing)
 
 
-def load_report(parsed: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def load_report(parsed: DataFrame, existing: DataFrame | None = None,
+                files: list[str] | None = None) -> DataFrame:
     """Per source file, records read, insert attempts (every record is an
-    attempt) and rows actually inserted (new, first of their hash)."""
-    marked = parsed.select("source_file", "row_hash")
+    attempt) and rows actually inserted (new, first of their hash).
+
+    Stored rows of the batch's files (pruned by ``files``, see :func:`append_new`) are
+    grouped together with the records, as rows that count for none: one exchange on
+    (file, hash), no join and no dedup of the stored table."""
+    seen = parsed.select("source_file", "row_hash", F.lit(1).alias("records"))
     if existing is not None:
-        known = existing.select("row_hash", F.lit(True).alias("_known")).dropDuplicates(["row_hash"])
-        marked = marked.join(known, "row_hash", "left")
-    else:
-        marked = marked.withColumn("_known", F.lit(None).cast("boolean"))
-    per_hash = (marked.groupBy("source_file", "row_hash")
-                .agg(F.count(F.lit(1)).alias("n"), F.max("_known").alias("_known")))
+        stored = _stored_hashes(existing, parsed, files)
+        seen = seen.unionByName(stored.withColumn("records", F.lit(0)))
+    per_hash = (seen.groupBy("source_file", "row_hash")
+                .agg(F.sum("records").alias("n"), (F.min("records") > 0).alias("is_new"))
+                .where(F.col("n") > 0))
     return (per_hash.groupBy("source_file")
             .agg(F.sum("n").alias("records_read"),
                  F.sum("n").alias("insert_attempts"),
-                 F.count_if(F.col("_known").isNull()).alias("inserted_rows")))
+                 F.count_if("is_new").alias("inserted_rows")))
 
 
 def limit_files(lines: DataFrame, limit: int) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.json import has_top_key, top_keys
 from ledgerline.operators.marts import rounded_pct
+from ledgerline.session import checkpoint_dir
 
 # Fixed value: the drift key the dashboards watch.
 DRIFT_KEY = "ui_variant"
@@ -47,13 +48,21 @@ def date_bounds(*marts: DataFrame) -> DataFrame:
     return days.agg(F.min("lo").alias("min_day"), F.max("hi").alias("max_day"))
 
 
+def feed_bounds(stg_events: DataFrame, stg_billing: DataFrame) -> DataFrame:
+    """M4 without the marts: F1's days are the events' days, and F2's and F3's first and
+    last days are those of billing, so neither is aggregated nor the grid expanded."""
+    return date_bounds(stg_events.select(F.to_date("event_ts").alias("date_day")),
+                       stg_billing.select(F.col("billing_date").alias("date_day")))
+
+
 def _range(df: DataFrame, start: Column, end: Column) -> DataFrame:
     return df.where(F.col("date_day").between(start, end))
 
 
-def _bounds(*marts: DataFrame) -> tuple[Column, Column]:
-    b = date_bounds(*marts)
-    return b.select("min_day").scalar(), b.select("max_day").scalar()
+def bounds_literal(bounds: DataFrame) -> tuple[Column, Column]:
+    """First and last day evaluated once (one row), as literals that prune partitions."""
+    row = bounds.first()
+    return F.lit(row["min_day"]).cast("date"), F.lit(row["max_day"]).cast("date")
 
 
 def events_daily_range(events_daily: DataFrame, start: Column, end: Column) -> DataFrame:
@@ -83,9 +92,8 @@ def billing_daily_range(billing_daily: DataFrame, start: Column, end: Column) ->
 def pivot_sum(df: DataFrame, value: str, category: str = "plan_id",
               values: list[str] | None = None) -> DataFrame:
     """M7 / M8: day x category pivot of ``value`` summed, missing cells 0."""
-    g = df.groupBy("date_day")
-    p = g.pivot(category, values) if values is not None else g.pivot(category)
-    wide = p.agg(F.sum(value))
+    cells = df.groupBy("date_day", category).agg(F.sum(value).alias("cell"))
+    wide = _wide(cells, category, values)
     cats = [c for c in wide.columns if c != "date_day"]
     return wide.na.fill(0, subset=cats)
 
@@ -97,9 +105,23 @@ def pivot_unique(df: DataFrame, value: str, category: str = "plan_id",
     cell = F.when(F.count(F.lit(1)) > 1,
                   F.raise_error(F.lit(f"duplicate (date_day, {category}) cell"))) \
         .otherwise(F.first(value))
-    g = df.groupBy("date_day")
-    p = g.pivot(category, values) if values is not None else g.pivot(category)
-    return p.agg(cell)
+    return _wide(df.groupBy("date_day", category).agg(cell.alias("cell")), category, values)
+
+
+def _wide(cells: DataFrame, category: str, values: list[str] | None) -> DataFrame:
+    """One row a day, one column a category, from one ``cell`` for each pair of them.
+    Without ``values`` the cells are checkpointed, so that finding the categories and
+    filling the columns does not run the chain below twice."""
+    if values is None:
+        checkpoint_dir(cells.sparkSession)
+        cells = cells.checkpoint(eager=True)
+    # a cell is alone in its day and category
+    return cells.groupBy("date_day").pivot(category, values).agg(F.first("cell"))
+
+
+def active_subs_rows(subs: DataFrame, start: Column, end: Column) -> DataFrame:
+    """M9: the (day, is_active) rows of F3 within range, one per user and day."""
+    return _range(subs, start, end).select("date_day", "is_active")
 
 
 def active_subs_daily(subs: DataFrame, start: Column, end: Column) -> DataFrame:

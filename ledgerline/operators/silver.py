@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.time import lateness_sec
+from ledgerline.sources import sinks
 
 # Reason codes and the accepted billing events.
 EVENT_REASONS = [
@@ -121,15 +122,57 @@ def silver_billing(bronze_billing: DataFrame) -> DataFrame:
         F.col("row_hash").alias("bronze_row_hash"), "source_file", "ingestion_ts")
 
 
+class RefreshMismatch(RuntimeError):
+    """Written rows do not add up to bronze."""
+
+
+def check_counts(bronze: DataFrame, kept: int, quarantined: int, kind: str = "events") -> int:
+    """Raise :class:`RefreshMismatch` unless kept, repeated and quarantined rows make up
+    bronze; returns the repeated ones.  Bronze is counted by itself: its rows, the
+    invalid ones and the distinct ids of the rest."""
+    if kind == "events":
+        invalid = _event_invalid()
+        distinct = F.count_distinct(F.when(~invalid, F.col("event_id")))
+    else:
+        invalid = _billing_invalid()
+        distinct = F.count_if(~invalid)
+    row = bronze.agg(F.count(F.lit(1)).alias("n"), F.count_if(invalid).alias("invalid"),
+                     distinct.alias("distinct")).first()
+    if (kept, quarantined) != (row["distinct"], row["invalid"]):
+        raise RefreshMismatch(
+            f"{kind}: {row['n']} bronze rows hold {row['distinct']} to keep and {row['invalid']} to "
+            f"quarantine, but {kept} and {quarantined} were written")
+    return row["n"] - kept - quarantined
+
+
 def refresh(spark, bronze: DataFrame, silver_path: str, quarantine_path: str,
-            kind: str = "events") -> tuple[int, int]:
-    """Full refresh of a silver table and its quarantine.  Quarantine is
-    written first, then silver; returns the two row counts (checked against
-    bronze by the caller).  Atomic per table only."""
+            kind: str = "events", tables: tuple[str, str] | None = None) -> tuple[int, int]:
+    """Full refresh of a silver table and its quarantine; returns their row counts.
+
+    Both are written to fresh folders beside the old ones and counted against bronze
+    (:func:`check_counts`).  Only then do they take the old ones' place, quarantine
+    first: a failing check or write leaves both old tables as they were.  The switch is a
+    rename of folders; with ``tables`` (the catalog names of silver and quarantine) the
+    folders stay where they are written and the catalog tables are pointed at them, which
+    suits stores without a rename."""
     if kind == "events":
         q, s = events_quarantine(bronze), silver_events(bronze)
     else:
         q, s = billing_quarantine(bronze), silver_billing(bronze)
-    q.write.mode("overwrite").parquet(quarantine_path)
-    s.write.mode("overwrite").parquet(silver_path)
-    return (spark.read.parquet(silver_path).count(), spark.read.parquet(quarantine_path).count())
+    new_q, new_s = sinks.fresh_folder(quarantine_path), sinks.fresh_folder(silver_path)
+    try:
+        q.write.parquet(new_q)
+        s.write.parquet(new_s)
+        kept, quarantined = spark.read.parquet(new_s).count(), spark.read.parquet(new_q).count()
+        check_counts(bronze, kept, quarantined, kind)
+    except Exception:
+        sinks.remove_folder(spark, new_q)
+        sinks.remove_folder(spark, new_s)
+        raise
+    if tables:
+        sinks.switch_location(spark, tables[1], new_q)
+        sinks.switch_location(spark, tables[0], new_s)
+    else:
+        sinks.replace_folder(spark, new_q, quarantine_path)
+        sinks.replace_folder(spark, new_s, silver_path)
+    return kept, quarantined

@@ -321,18 +321,12 @@ def _pivot_sql(src: str, value: str, agg: str, fill: bool) -> str:
     return f"SELECT date_day, {', '.join(cols)} FROM {src} GROUP BY date_day"
 
 
-def _lake_bounds(lake: Lake):
-    return MON._bounds(lake.fct_events_daily, lake.fct_billing_daily, lake.fct_subscriptions_daily)
-
-
 def _events_range(lake: Lake) -> DataFrame:
-    lo, hi = _lake_bounds(lake)
-    return MON.events_daily_range(lake.fct_events_daily, lo, hi)
+    return MON.events_daily_range(lake.fct_events_daily, *lake.day_bounds)
 
 
 def _billing_range(lake: Lake) -> DataFrame:
-    lo, hi = _lake_bounds(lake)
-    return MON.billing_daily_range(lake.fct_billing_daily, lo, hi)
+    return MON.billing_daily_range(lake.fct_billing_daily, *lake.day_bounds)
 
 
 @register("pipeline_health", with_chain(
@@ -375,8 +369,7 @@ def events_daily_range(lake: Lake) -> DataFrame:
 @register("date_bounds", with_chain("SELECT * FROM m_bounds", _BOUNDS_CTE))
 def date_bounds(lake: Lake) -> DataFrame:
     """M4: min and max day over the three daily marts."""
-    return MON.date_bounds(lake.fct_events_daily, lake.fct_billing_daily,
-                           lake.fct_subscriptions_daily)
+    return MON.feed_bounds(lake.stg_events, lake.stg_billing)
 
 
 @register("product_kpis", with_chain(
@@ -414,8 +407,15 @@ def new_paid_by_plan_pivot(lake: Lake) -> DataFrame:
     " AND (SELECT max_day FROM m_bounds) GROUP BY date_day", _BOUNDS_CTE))
 def active_subs_daily(lake: Lake) -> DataFrame:
     """M9: users and active subscriptions per day over the date range."""
-    lo, hi = _lake_bounds(lake)
-    return MON.active_subs_daily(lake.fct_subscriptions_daily, lo, hi)
+    return MON.active_subs_daily(lake.fct_subscriptions_daily, *lake.day_bounds)
+
+
+@register("active_subs_rows", with_chain(
+    "SELECT date_day, is_active FROM fct_subscriptions_daily WHERE date_day BETWEEN"
+    " (SELECT min_day FROM m_bounds) AND (SELECT max_day FROM m_bounds)", _BOUNDS_CTE))
+def active_subs_rows(lake: Lake) -> DataFrame:
+    """M9: the (day, is_active) row of every user over the date range."""
+    return MON.active_subs_rows(lake.fct_subscriptions_daily, *lake.day_bounds)
 
 
 @register("churn_rate_daily", with_chain(

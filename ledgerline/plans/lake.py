@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import bronze as B
 from ledgerline.operators import marts as M
+from ledgerline.operators import monitor as MON
 from ledgerline.operators import silver as S
 from ledgerline.operators import staging as G
 from ledgerline.session import checkpoint_dir, use_utc
@@ -125,6 +126,11 @@ class Lake:
         """First and last billing day, evaluated once per lake."""
         return M.billing_bounds_literal(self.stg_billing)
 
+    @cached_property
+    def day_bounds(self):
+        """First and last day of the daily marts, evaluated once per lake."""
+        return MON.bounds_literal(MON.feed_bounds(self.stg_events, self.stg_billing))
+
     @cached_property
     def fct_subscriptions_daily(self) -> DataFrame:
         return M.fct_subscriptions_daily(self.stg_billing, self.billing_bounds)
@@ -148,8 +154,8 @@ class Lake:
         """Write a relation to Parquet in the shared checkpoint folder and swap
         in the re-read table (cuts lineage; survives executor loss)."""
         df = getattr(self, name)
-        path = f"{checkpoint_dir(self.spark)}/ledgerline/{name}"
-        df.write.mode("overwrite").parquet(path)
+        path = f"{checkpoint_dir(self.spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
         out = self.spark.read.parquet(path)
         self.__dict__[name] = out
         return out
@@ -183,9 +189,8 @@ def build(lake: Lake, base: str, tables: list[str] | None = None) -> dict[str, s
         if name == "silver_events":
             df = df.withColumn("event_day", F.to_date("event_ts"))
         path = f"{base}/{name}"
-        w = df.write.mode("overwrite")
         if LAYOUT[name]:
-            w = w.partitionBy(*LAYOUT[name])
-        w.parquet(path)
+            df = df.hint("rebalance", *LAYOUT[name])
+        df.write.mode("overwrite").partitionBy(*LAYOUT[name]).parquet(path)
         out[name] = path
     return out

@@ -43,7 +43,7 @@ from ledgerline.operators import marts as M
 from ledgerline.operators import silver as S
 from ledgerline.sources.files import relative_name
 from ledgerline.session import checkpoint_dir
-from ledgerline.sources.sinks import table_exists
+from ledgerline.sources.sinks import append_by, table_exists
 
 RAW_LINE_SCHEMA = T.StructType([T.StructField("source_file", T.StringType()),
                                 T.StructField("value", T.StringType())])
@@ -92,33 +92,36 @@ class BronzeSilverSink:
         # completes the missing ones and changes nothing else.
         fresh = B.parse_event_lines(batch, self.ingestion_ts, self.mode) \
             .dropDuplicates(["row_hash"]).checkpoint(eager=True)
-        self.append_bronze(spark, fresh)
+        files = B.batch_files(fresh)
+        self.append_bronze(spark, fresh, files)
         # silver follows what bronze kept: a line landed again has its first load's stamp
         keys = fresh.select("source_file", "row_hash")
-        kept = (spark.read.parquet(self.bronze_path).join(keys, ["source_file", "row_hash"], "left_semi")
+        kept = (B.of_files(spark.read.parquet(self.bronze_path), files).join(keys, ["source_file", "row_hash"], "left_semi")
                 .select(*fresh.columns).checkpoint(eager=True)) if table_exists(spark, self.bronze_path) else fresh
-        self.append_quarantine(spark, kept)
+        self.append_quarantine(spark, kept, files)
         self.correct(spark, S.valid_events(kept), batch_id)
         self.upsert_silver(spark, S.valid_events(kept))
 
     def correct(self, spark: SparkSession, valid: DataFrame, batch_id: int) -> None:
         """Hook before the silver upsert of a batch."""
 
-    def append_bronze(self, spark: SparkSession, fresh: DataFrame) -> None:
+    def append_bronze(self, spark: SparkSession, fresh: DataFrame,
+                      files: list[str] | None = None) -> None:
+        # bronze and quarantine are partitioned by source file: the repeat checks read only
+        # the partitions of the batch's own files
+        files = B.batch_files(fresh) if files is None else files
         existing = spark.read.parquet(self.bronze_path) if table_exists(spark, self.bronze_path) else None
-        # bronze is partitioned by source file: the repeat check reads only the
-        # partitions of the batch's own files
-        B.append_new(fresh, existing).write.mode("append").partitionBy("source_file") \
-            .parquet(self.bronze_path)
+        append_by(B.append_new(fresh, existing, files), self.bronze_path, "source_file")
 
-    def append_quarantine(self, spark: SparkSession, fresh: DataFrame) -> None:
+    def append_quarantine(self, spark: SparkSession, fresh: DataFrame,
+                          files: list[str] | None = None) -> None:
+        files = B.batch_files(fresh) if files is None else files
         q = S.events_quarantine(fresh)
         if table_exists(spark, self.quarantine_path):
-            files = fresh.select("source_file").distinct()
-            stored = spark.read.parquet(self.quarantine_path) \
-                .select("source_file", "bronze_row_hash").join(files, "source_file", "left_semi")
+            stored = B.of_files(spark.read.parquet(self.quarantine_path), files) \
+                .select("source_file", "bronze_row_hash")
             q = q.join(stored, ["source_file", "bronze_row_hash"], "left_anti")
-        q.write.mode("append").parquet(self.quarantine_path)
+        append_by(q, self.quarantine_path, "source_file")
 
     def upsert_silver(self, spark: SparkSession, valid: DataFrame) -> None:
         day = F.to_date(F.col("event_ts"))
