@@ -157,15 +157,16 @@ def doubled(names: np.ndarray) -> np.ndarray:
 def common(text: np.ndarray, order: np.ndarray, cap: int, zero_ends: bool) -> np.ndarray:
     """Common prefix of each suffix with the one before it, up to ``cap``."""
     out = np.zeros(order.size, np.uint8)
-    at = np.arange(1, order.size)
+    at, a, b = np.arange(1, order.size), order[:-1], order[1:]
     for k in range(cap):
-        a, b = order[at - 1] + k, order[at] + k
-        inside = np.maximum(a, b) < text.size
-        at, a, b = at[inside], a[inside], b[inside]
-        same = text[a] == text[b]
+        if not zero_ends:  # else a 0 stops both suffixes before the text's end
+            inside = np.maximum(a, b) < text.size
+            at, a, b = at[inside], a[inside], b[inside]
+        x = text[a]
+        same = x == text[b]
         if zero_ends:
-            same &= text[a] != 0
-        at = at[same]
+            same &= x != 0
+        at, a, b = at[same], a[same] + 1, b[same] + 1
         if not at.size:
             break
         out[at] = k + 1

@@ -48,7 +48,7 @@ SORT_BYTES = 32 << 20
 _GROWTH = 1.1
 #: Bytes of queues that a suffix sort holds before it goes to disk.
 SORT_MEMORY = 128 << 20
-_STEP = 1 << 19
+_STEP = 1 << 15
 _LAST = (1 << 63) - 1
 
 PACK = "pid long, ids binary, known binary, offsets binary, size long, data binary"
@@ -107,20 +107,17 @@ class Pack:
 
     def share(self, flags: np.ndarray) -> None:
         """Keep the segments of flagged hashes and find the distinct ones: ``of`` segment ->
-        distinct one; ``seg_start, seg_size, seg_least, seg_bucket`` by bucket, then content."""
+        distinct one; ``seg_start, seg_size, seg_least, seg_mark, seg_bucket`` by bucket, then
+        content.  A mark is the low half of the hash."""
         each = np.diff(np.append(self.first, self.start.size))
         on = np.repeat(flags, each)
         bucket = np.repeat(self.bucket, each)[on]
         self.start, self.count, self.id = self.start[on], self.count[on], self.id[on]
         size = self.count + self.span - 1
-        k1, k2 = content_keys(self.data, self.start, size)
-        order = np.lexsort((k2, k1, bucket))
-        b, x, y = bucket[order], k1[order], k2[order]
-        new = np.append(True, (b[1:] != b[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if order.size else np.zeros(0, bool)
-        first = np.flatnonzero(new)
-        self.of = np.empty(order.size, np.int64)
-        self.of[order] = np.cumsum(new) - 1
-        self.seg_start, self.seg_size, self.seg_bucket = self.start[order[first]], size[order[first]], b[first]
+        order, first, self.of = distinct_parts(self.data, self.start, size, bucket)
+        one = order[first]
+        self.seg_start, self.seg_size, self.seg_bucket = self.start[one], size[one], bucket[one]
+        self.seg_mark = np.repeat(self.hash.astype(np.uint32), each)[on][one]
         self.seg_least = np.minimum.reduceat(self.id[order], first) if first.size else first
 
     def deal(self, a: int, b: int, parts: int) -> tuple[np.ndarray, ...]:
@@ -158,13 +155,16 @@ def windows(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tupl
         least[lo:hi] = m
     a = offsets[:-1]
     b = np.maximum(a, offsets[1:] - span + 1)
-    ok = np.cumsum(np.bincount(a, minlength=data.size + 1) - np.bincount(b, minlength=data.size + 1))[:n] > 0
-    at = np.flatnonzero(ok)
-    if not at.size:
-        return at, at, np.zeros(0, np.uint64)
-    own = least[at]
-    first = np.flatnonzero(np.append(True, (at[1:] != at[:-1] + 1) | (own[1:] != own[:-1])))
-    return at[first], np.diff(np.append(first, at.size)), mixed(own[first] + np.uint64(1))
+    # a row's windows begin in [a, b); those from b to the row's end would cross it
+    inside = np.repeat(np.arange(2 * a.size) % 2 == 0, np.stack([b - a, offsets[1:] - b], 1).ravel())[:n]
+    border = inside.copy()
+    border[1:] &= least[1:] != least[:-1]
+    border[a[a < b]] = True
+    border[b[b < n]] = True
+    at = np.flatnonzero(border)
+    count, on = np.diff(at, append=n), inside[at]
+    at, count = at[on], count[on]
+    return at, count, mixed(least[at] + np.uint64(1))
 
 
 def size_powers(size: np.ndarray, span: int) -> np.ndarray:
@@ -190,6 +190,38 @@ def distinct(k1: np.ndarray, k2: np.ndarray, order: np.ndarray) -> tuple[np.ndar
     return np.flatnonzero(new), of
 
 
+def distinct_parts(data: np.ndarray, start: np.ndarray, size: np.ndarray,
+                   bucket: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of ``data`` grouped by bucket and content: their order, where each distinct one
+    begins there, and each part's distinct one.  Hashes only order the parts; should
+    different contents have equal hashes, the bytes themselves are taken as keys."""
+    bucket = np.zeros(start.size, np.int64) if bucket is None else bucket
+    k1, k2 = content_keys(data, start, size)
+    for _ in range(2):
+        order = np.lexsort((k2, k1, bucket))
+        b, x, y = bucket[order], k1[order], k2[order]
+        new = np.append(True, (b[1:] != b[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if order.size else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        of = np.empty(order.size, np.int64)
+        of[order] = np.cumsum(new) - 1
+        if same_content(data, start, size, order[first][of]):
+            break
+        seen: dict[bytes, int] = {}
+        k1 = np.array([seen.setdefault(data[a: a + n].tobytes(), len(seen)) for a, n in zip(start.tolist(), size.tolist(), strict=True)], np.uint64)
+        k2 = np.zeros(k1.size, np.uint64)
+    return order, first, of
+
+
+def same_content(data: np.ndarray, start: np.ndarray, size: np.ndarray, other: np.ndarray) -> bool:
+    """Whether each part has the bytes of the part whose number ``other`` gives."""
+    i = np.flatnonzero(other != np.arange(start.size))
+    if not np.array_equal(size[i], size[other[i]]):
+        return False
+    group = 1 << 13
+    return all(np.array_equal(gathered(data, start[j], size[j]), gathered(data, start[other[j]], size[j]))
+               for j in (i[a: a + group] for a in range(0, i.size, group)))
+
+
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
@@ -271,12 +303,19 @@ def shard(rows: list[dict], span: int, memory: int) -> list[bytes]:
     data = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(r["data"], max_output_size=int(s.sum())), np.uint8)
                            for r, s in zip(rows, sizes, strict=True)])
     size, least = np.concatenate(sizes), np.concatenate(leasts)
+    mark = np.concatenate([np.frombuffer(r["marks"], "<u4") for r in rows])
     start = np.cumsum(size) - size
-    k1, k2 = content_keys(data, start, size)
-    order = np.lexsort((k2, k1))
-    first, of = distinct(k1, k2, order)
+    order, first, of = distinct_parts(data, start, size)
     one = order[first]
-    begin, found = least_ids(gathered(data, start[one], size[one]), size[one], np.minimum.reduceat(least[order], first), span, memory)
+    start, size, least = start[one], size[one], np.minimum.reduceat(least[order], first)
+    # a segment whose hash has no other content shares no window with another segment
+    _, inverse, count = np.unique(mark[one], return_inverse=True, return_counts=True)
+    alone = count[inverse] == 1
+    begin = np.empty(one.size, np.int64)
+    begin[~alone], found = least_ids(gathered(data, start[~alone], size[~alone]), size[~alone], least[~alone], span, memory)
+    n = size[alone] - span + 1
+    begin[alone] = found.size + np.cumsum(n) - n
+    found = np.append(found, np.repeat(least[alone], n))
     out, at = [], 0
     for s, own in zip(sizes, leasts, strict=True):
         n = s - span + 1
@@ -309,11 +348,11 @@ def outgoing(p: Pack, pid: int, hot: dict[int, int]) -> list[dict]:
         row = {"bucket": bucket, "pid": pid}
         if bucket not in hot:
             rows.append(row | {"part": -1, "sizes": p.seg_size[a:b].astype("<i8").tobytes(), "least": p.seg_least[a:b].astype("<i8").tobytes(),
-                               "data": squeeze.compress(gathered(p.data, p.seg_start[a:b], p.seg_size[a:b]).tobytes())})
+                               "marks": p.seg_mark[a:b].astype("<u4").tobytes(), "data": squeeze.compress(gathered(p.data, p.seg_start[a:b], p.seg_size[a:b]).tobytes())})
             continue
         _, _, part, k1, k2, least = p.deal(a, b, hot[bucket])
         keys = np.stack([k1, k2], 1).astype("<u8")
-        rows += [row | {"part": int(part[i]), "sizes": b"", "least": least[i:j].astype("<i8").tobytes(), "data": keys[i:j].tobytes()}
+        rows += [row | {"part": int(part[i]), "sizes": b"", "marks": b"", "least": least[i:j].astype("<i8").tobytes(), "data": keys[i:j].tobytes()}
                  for i, j in equal_runs(part)]
     return rows
 
@@ -401,7 +440,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def send_segments(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = [r for pack in _rows(left) for r in outgoing(with_shared(pack, _rows(right)), pack["pid"], hot)]
         return pa.Table.from_pylist(rows, pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("pid", pa.int64()), ("sizes", pa.binary()),
-                                                     ("least", pa.binary()), ("data", pa.binary())]))
+                                                     ("least", pa.binary()), ("marks", pa.binary()), ("data", pa.binary())]))
 
     def sort_shard(group: pa.Table) -> pa.Table:
         rows = _rows(group)
@@ -437,7 +476,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = stored(lists.groupBy("bucket").applyInArrow(tidied_group(find_shared), "pid long, bucket long, bits binary, total long"), "shared-hashes")
     hot = {r.bucket: parts_of(r.total, sort_bytes) for r in shared.where(F.col("total") > sort_bytes).select("bucket", "total").distinct().collect()}
     segments = (all_packs.groupBy("pid").cogroup(shared.groupBy("pid"))
-                .applyInArrow(tidied_group(send_segments), "bucket long, part long, pid long, sizes binary, least binary, data binary"))
+                .applyInArrow(tidied_group(send_segments), "bucket long, part long, pid long, sizes binary, least binary, marks binary, data binary"))
     flags = stored(segments.groupBy("bucket", "part").applyInArrow(tidied_group(sort_shard), "pid long, bucket long, part long, bits binary"), "window-bits")
     answers = (shared.select("pid", "bucket", F.lit(-1).cast("long").alias("part"), "bits", F.lit(False).alias("sorted"))
                .unionByName(flags.withColumn("sorted", F.lit(True))))
