@@ -9,7 +9,10 @@ One file holds the ids of a run of documents in ascending id order::
 
 An Elias-Fano section keeps the low ``k`` bits of each value packed and the rest as a
 unary bit vector with the bit position of every 256th one, about ``2 + log2(max / n)``
-bits a value; ``EliasFano.select`` finds one value without reading the others.
+bits a value; ``EliasFano.select`` finds one value without reading the others, and
+``values`` a run of them from the stored positions at its ends.  ``TokenFile`` reads a
+document, or runs of ``READ_DOCS`` documents, by selects on the borders and ranged reads
+of the ids; the query's offsets come from it, without a table of 64-bit borders.
 
 Files are written by tasks into the cluster's shared folder under names no other
 attempt uses.  The manifest table, written by Spark's own committer, names the files
@@ -22,6 +25,7 @@ no rows.
 
 from __future__ import annotations
 
+import io
 import uuid
 import zlib
 
@@ -39,6 +43,8 @@ MAGIC = 0x314B4F5446454C31
 SAMPLE = 256
 #: Ids of one file at most, but for a longer single document.
 FILE_IDS = 1 << 24
+#: Documents whose borders are selected at once.
+READ_DOCS = 1 << 12
 
 
 class EliasFano:
@@ -97,11 +103,24 @@ class EliasFano:
         upper = start + int(ones[need]) - i
         return (upper << self.k) | int(self._low(np.array([i]))[0])
 
+    def values(self, a: int, b: int) -> np.ndarray:
+        """The values ``a <= i < b``, as int64: only the upper bits between the stored
+        positions around them are looked at."""
+        if not 0 <= a <= b <= self.n:
+            raise IndexError((a, b))
+        if a == b:
+            return np.zeros(0, np.int64)
+        block, after = a // SAMPLE, -(-b // SAMPLE)
+        first = int(self.samples[block])
+        end = int(self.samples[after]) if after < self.samples.size else 8 * self.high.size
+        bits = np.unpackbits(self.high[first >> 3: -(-end // 8)], bitorder="little")[first & 7:]
+        i = np.arange(a, b)
+        upper = first + np.flatnonzero(bits)[a - block * SAMPLE: b - block * SAMPLE] - i
+        return ((upper.astype(np.uint64) << np.uint64(self.k)) | self._low(i)).astype(np.int64)
+
     def all(self) -> np.ndarray:
         """Every value, as int64."""
-        i = np.arange(self.n)
-        upper = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n] - i
-        return ((upper.astype(np.uint64) << np.uint64(self.k)) | self._low(i)).astype(np.int64)
+        return self.values(0, self.n)
 
 
 def file_bytes(doc_ids: list, counts: np.ndarray, ids: np.ndarray, width: int) -> bytes:
@@ -113,16 +132,55 @@ def file_bytes(doc_ids: list, counts: np.ndarray, ids: np.ndarray, width: int) -
                      EliasFano.of(known - least).to_bytes(), ids.astype(f"<u{width}").tobytes()])
 
 
+class TokenFile:
+    """A file opened for random access; the ids stay in it until they are asked for."""
+
+    def __init__(self, file):
+        self.file = file
+        magic, self.docs, self.nulls, self.total, self.width = np.frombuffer(file.read(40), "<u8").tolist()
+        if magic != MAGIC:
+            raise ValueError("not a token-id file")
+        self.least = int(np.frombuffer(file.read(8), "<i8")[0])
+        self.borders, self.known = self._section(), self._section()
+        self.at = file.tell()
+
+    def _section(self) -> EliasFano:
+        head = self.file.read(40)
+        n, _, n_low, n_high, width = np.frombuffer(head, "<u8").tolist()
+        return EliasFano.read(memoryview(head + self.file.read(n_low + n_high + -(-n // SAMPLE) * width)))[0]
+
+    def doc_ids(self, a: int, b: int) -> list:
+        """Ids of the documents ``a <= i < b``; nulls come first."""
+        lead = max(0, min(b, self.nulls) - a)
+        known = self.known.values(max(a, self.nulls) - self.nulls, max(b, self.nulls) - self.nulls)
+        return [None] * lead + (known + self.least).tolist()
+
+    def start(self, i: int) -> int:
+        """Ids in the file before document ``i``."""
+        return self.borders.select(i - 1) if i else 0
+
+    def ids(self, a: int, b: int) -> np.ndarray:
+        self.file.seek(self.at + a * self.width)
+        return np.frombuffer(self.file.read((b - a) * self.width), f"<u{self.width}")
+
+    def document(self, i: int) -> np.ndarray:
+        """The ids of document ``i``, by two selects and one ranged read."""
+        end = self.borders.select(i)
+        return self.ids(self.start(i), end)
+
+    def runs(self, size: int | None = None):
+        """``(document ids, starts, ends, token ids)`` of runs of documents."""
+        size = size or READ_DOCS
+        for a in range(0, self.docs, size):
+            b = min(self.docs, a + size)
+            base, ends = self.start(a), self.borders.values(a, b)
+            yield self.doc_ids(a, b), np.append(base, ends[:-1]), ends, self.ids(base, int(ends[-1]))
+
+
 def read_file(raw: bytes) -> tuple[list, EliasFano, np.ndarray]:
     """Document ids, borders and ids of a file."""
-    view = memoryview(raw)
-    magic, docs, nulls, total, width = np.frombuffer(view[:40], "<u8").tolist()
-    if magic != MAGIC:
-        raise ValueError("not a token-id file")
-    least = int(np.frombuffer(view[40:48], "<i8")[0])
-    borders, view = EliasFano.read(view[48:])
-    known, view = EliasFano.read(view)
-    return [None] * nulls + (known.all() + least).tolist(), borders, np.frombuffer(view[: total * width], f"<u{width}")
+    f = TokenFile(io.BytesIO(raw))
+    return f.doc_ids(0, f.docs), f.borders, f.ids(0, f.total)
 
 
 def _store(uri: str):
@@ -198,13 +256,12 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, folder: str) -> D
         store, _ = _store(folder)
         for batch in batches:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
-                with store.open_input_stream(path) as f:
-                    docs, borders, ids = read_file(f.read())
-                ends = borders.all()
-                starts = np.append(0, ends)[:-1]
-                crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(starts + base, pa.int64()),
-                                       pa.array(ends - starts, pa.int64()), pa.array(crc, pa.int64())], names=schema.names)
+                with store.open_input_file(path) as f:
+                    for docs, starts, ends, ids in TokenFile(f).runs():
+                        edges = (ends - starts[0]).tolist()
+                        crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip([0, *edges[:-1]], edges, strict=True)]
+                        yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(starts + base, pa.int64()),
+                                               pa.array(ends - starts, pa.int64()), pa.array(crc, pa.int64())], names=schema.names)
 
     return placed.select("path", "base").repartition(F.col("path")).mapInArrow(tidied(read), schema)
 

@@ -1,5 +1,6 @@
 """Operators 2, 5 and 8 against the tokenizers' own libraries."""
 
+import io
 import hashlib
 import random
 import zlib
@@ -12,7 +13,7 @@ from ledgerline.llm import pieces
 from ledgerline.llm.piece_codec import decode_pieces, encode_pieces, piece_digests
 from ledgerline.llm.queries import BYTE_BPE, PIECE_BPE, tokenizer_path
 from ledgerline.llm.token_counts import token_counts
-from ledgerline.llm.token_files import EliasFano, file_bytes, read_file, token_file_digests, write_token_files
+from ledgerline.llm.token_files import EliasFano, TokenFile, file_bytes, read_file, token_file_digests, write_token_files
 from tests.llm.helpers import EDGE_TEXTS, by_id, empty, frame
 
 
@@ -117,10 +118,32 @@ def test_elias_fano(n, step):
     assert bytes(rest) == b"rest" and ef.all().tolist() == values.tolist()
     for i in range(0, n, 7):
         assert ef.select(i) == values[i]
+        assert ef.values(i, min(n, i + 300)).tolist() == values[i: i + 300].tolist()
+    with pytest.raises(IndexError):
+        ef.values(0, n + 1)
     if n > 500:
         assert len(EliasFano.of(values).to_bytes()) * 8 < n * (2.5 + max(0, np.log2(values[-1] / n)) + 1) + 400
 
 
+@pytest.mark.parametrize("nulls,n", [(0, 900), (1, 700), (300, 300), (5, 0), (257, 2)])
+def test_documents_by_select(nulls, n):
+    rng = np.random.default_rng(n)
+    docs = [None] * nulls + np.cumsum(rng.integers(0, 3, n)).tolist()
+    counts = rng.integers(1, 40, len(docs))
+    ids = rng.integers(0, 1 << 16, int(counts.sum()))
+    ends = np.cumsum(counts)
+    f = TokenFile(io.BytesIO(file_bytes(docs, counts, ids, 2)))
+    for i in range(0, len(docs), 13):
+        assert f.document(i).tolist() == ids[ends[i] - counts[i]: ends[i]].tolist()
+    for size in (1, 7, 256, 300, None):
+        runs = list(f.runs(size))
+        assert [d for r in runs for d in r[0]] == docs
+        assert np.concatenate([r[1] for r in runs]).tolist() == (ends - counts).tolist()
+        assert np.concatenate([r[2] for r in runs]).tolist() == ends.tolist()
+        assert np.concatenate([r[3] for r in runs]).tolist() == ids.tolist()
+
+
 def test_file_of_nothing():
+    assert list(TokenFile(io.BytesIO(file_bytes([], np.zeros(0, np.int64), np.zeros(0, np.uint32), 2))).runs()) == []
     ids, borders, flat = read_file(file_bytes([], np.zeros(0, np.int64), np.zeros(0, np.uint32), 2))
     assert ids == [] and borders.n == 0 and flat.size == 0
