@@ -12,6 +12,8 @@ smaller id.  The suffix order of a whole corpus is cut into shards by content:
    shard: its segments are suffix-sorted with common-prefix values (``induced``:
    recursive induction with disk-backed queues), and neighbours that share ``SPAN`` bytes
    form a group with the least id among its documents.
+   A segment whose hash has no other content is not sorted: equal windows have equal
+   hashes, so its windows are in no other segment.  Segments count as equal by their bytes.
    A bucket of more than ``SORT_BYTES`` is not sorted: where a common passage begins or
    ends, one hash has another segment in every document.  Its windows are dealt on by
    their own hash, each pack sending the distinct ones with their least ids.

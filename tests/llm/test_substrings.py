@@ -132,3 +132,21 @@ def test_edges(spark):
     assert remove_repeats(empty(spark)).count() == 0
     kept = {r.doc_id: bytes(r.kept).decode() for r in remove_repeats(frame(spark, rows), texts=True).collect()}
     assert kept[100] == "" and kept[99] == "a" * 70 and kept[101] == "a" * 49
+
+
+def test_equal_hashes_of_different_contents(monkeypatch):
+    """Contents decide where two hashes agree by chance or by design."""
+    data = np.frombuffer(b"abcabdabcxyabc", np.uint8)
+    start, size = np.array([0, 3, 6, 9, 11]), np.array([3, 3, 3, 2, 3])
+    bucket = np.array([0, 0, 0, 0, 1])
+
+    def classes():
+        order, first, of = D.distinct_parts(data, start, size, bucket)
+        assert sorted(order.tolist()) == list(range(5)) and (np.diff(bucket[order]) >= 0).all()
+        assert first.size == 4 and len(set(of.tolist())) == 4
+        return of[0] == of[2] and of[4] not in of[:4]
+
+    assert classes()
+    zero = np.zeros(5, np.uint64)
+    monkeypatch.setattr(D, "content_keys", lambda *_: (zero, zero))
+    assert classes()
