@@ -1,7 +1,8 @@
-"""JSON column helpers (all JVM-side expressions)."""
+"""JSON column helpers."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,96 +11,45 @@ from pyspark.sql import functions as F
 FALSY_JSON = ["null", "{}", "[]", '""', "0", "0.0", "-0.0", "false"]
 
 
-# Control characters that JSON writers escape as \u00XX (they
-# have no short escape) and whose hex digits differ in case between writers;
-# the canonical form uses lower-case hex digits.
-UPPER_HEX_ESCAPES = ["0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"]
-
-
-# Control characters that valid JSON text cannot hold as they are: they stand for escapes
-# and around numbers while a line is marked.
-_BACKSLASH, _QUOTE, _OPEN, _CLOSE = "\x03", "\x04", "\x01", "\x02"
-# A string, or a number that a parser would not print back as it was
-# written (one with a fraction or exponent, or too long for 64 bits).
-_STRING_OR_NUMBER = r'("[^"]*")|(-?\d+(?:\.\d+(?:[eE][+-]?\d+)?|[eE][+-]?\d+)|-?\d{19,})'
-_MARK = '"\\u0001\\u0002'      # how a marked number begins in JSON text
-
-
-def mark_numbers(text: Column) -> Column:
-    """JSON text whose fractional, exponent and very long numbers are strings that begin
-    with two control characters, so that a parser keeps their digits.  Text without
-    such a number comes back unchanged."""
-    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
-    # a string's own pair of these characters is told apart by a third
-    plain = F.replace(plain, F.lit(r"\u0001\u0002"), F.lit(r"\u0001\u0002\u0002"))
-    # strings come back followed by an empty pair of marks, which goes
-    marked = F.replace(F.regexp_replace(plain, _STRING_OR_NUMBER, f"$1{_OPEN}$2{_CLOSE}"), F.lit(_OPEN + _CLOSE), F.lit(""))
-    for short, whole in ((_OPEN, _MARK), (_CLOSE, '"'), (_QUOTE, '\\"'), (_BACKSLASH, "\\\\")):
-        marked = F.replace(marked, F.lit(short), F.lit(whole))
-    return marked
-
-
-def shortest_float(text: Column) -> Column:
-    """A JSON number with fraction or exponent as Python prints the float: the shortest
-    digits that read back the same, fixed from 1e-4 up to below 1e16 (``0.0001``, ``1.0``,
-    ``1e+16``, ``1.5e-05``, ``-0.0``).  Numbers too large for a float print as
-    ``Infinity``; subnormal ones keep the platform's digits."""
-    value = text.cast("double")
-    # older platforms print a digit too many for some floats: fewer digits are tried first
-    tried = [F.format_string(f"%.{places}e", value) for places in (14, 15)]
-    shown = value.cast("string")
-    for t in reversed(tried):
-        shown = F.when(t.cast("double") == value, F.upper(t)).otherwise(shown)
-    shown = F.regexp_replace(shown, "^-", "")
-    head = F.substring_index(shown, "E", 1)
-    power = F.when(shown.contains("E"), F.substring_index(shown, "E", -1).cast("int")).otherwise(0)
-    whole = F.substring_index(head, ".", 1)
-    all_digits = F.replace(head, F.lit("."), F.lit(""))
-    from_first = F.regexp_replace(all_digits, "^0+", "")
-    digits = F.regexp_replace(from_first, "0+$", "")
-    n = F.length(digits)
-    point = F.length(whole) + power - (F.length(all_digits) - F.length(from_first))
-    fixed = (F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-             .when(point >= n, F.concat(digits, F.repeat(F.lit("0"), point - n), F.lit(".0")))
-             .otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, n))))
-    power_text = F.abs(point - 1).cast("string")
-    scientific = F.concat(F.substring(digits, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), n))).otherwise(F.lit("")),
-                          F.when(point - 1 < 0, F.lit("e-")).otherwise(F.lit("e+")),
-                          F.when(F.length(power_text) < 2, F.concat(F.lit("0"), power_text)).otherwise(power_text))
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    size = (F.when(F.abs(value) == float("inf"), F.lit("Infinity")).when(n == 0, F.lit("0.0"))
-            .when((point - 1 >= -4) & (point - 1 < 16), fixed).otherwise(scientific))
-    return F.concat(sign, size)
-
-
-def _numbers_back(text: Column) -> Column:
-    """JSON text of a marked value, its numbers printed as Python does."""
-    parts = F.split(text, _MARK.replace("\\", "\\\\") + r"(?=-?\d)", -1)
-
-    def number(part: Column) -> Column:
-        digits = F.substring_index(part, '"', 1)
-        shown = F.when(digits.rlike("[.eE]"), shortest_float(digits)).otherwise(digits)
-        return F.concat(shown, F.substring(part, F.length(digits) + 2, F.length(part)))
-    return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), number), ""))
-
-
-def canonical_json(variant: Column) -> Column:
-    r"""Canonical text of a parsed JSON value: object keys sorted at every level,
-    no blanks, non-ASCII kept, \u00XX escapes with lower-case hex digits, floats in
-    Python's shortest form where the text was marked by ``mark_numbers`` before parsing.
-
-    Spark serialises VARIANT values with sorted keys and without blanks; the
-    only other difference to the canonical form is the case of those escape
-    digits, fixed only on lines that contain such an escape.
-    """
-    text = F.to_json(variant)
-    fixed = text
-    for h in UPPER_HEX_ESCAPES:
-        # an escape, i.e. a backslash not itself escaped, followed by u00XX
-        fixed = F.regexp_replace(fixed, r"(?<!\\)((?:\\\\)*)\\u00" + h, "$1\\\\u00" + h.lower())
-    escaped = F.when(text.contains("\\u00"), fixed).otherwise(text)
-    own = F.regexp_replace(_numbers_back(escaped), r"(?<!\\)((?:\\\\)*)\\u0001\\u0002\\u0002", r"$1\\u0001\\u0002")
-    return F.when(text.contains("\\u0001\\u0002"), own).otherwise(escaped)
+def canonical_digest(prefix: Column, text: Column) -> Column:
+    """``hash, props`` of each JSON text.  ``hash``: the hex SHA-256 of ``prefix``, ``|`` and the
+    text in canonical form, which is Python's ``json.dumps(sort_keys=True, separators=(",", ":"),
+    ensure_ascii=False)``: keys in code point order, no blanks, floats in their shortest form,
+    integers of any length.  ``props``: the canonical text of the top-level key ``props``, null
+    without that key.  Null for a text that is not JSON; text after the first value, which
+    the platform's parser leaves unread, is left out here too.
+
+    The form is defined by Python's writer, so Python writes it, one Arrow batch at a time.
+    The same steps as column expressions (numbers marked before parsing, escapes and digits
+    rewritten after it) parsed and printed each line several times."""
+    def digests(prefixes: pa.Array, texts: pa.Array) -> pa.Array:
+        import json
+        from hashlib import sha256
+
+        def record(pairs):
+            found = dict(pairs)
+            if len(found) < len(pairs):
+                raise ValueError("repeated key")
+            return found
+
+        def refuse(name):
+            raise ValueError(name)
+
+        read = json.JSONDecoder(object_pairs_hook=record, parse_constant=refuse).raw_decode
+        write = json.JSONEncoder(sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode
+        hashes, props = [], []
+        for prefix, text in zip(prefixes.to_pylist(), texts.to_pylist(), strict=True):
+            try:
+                value = None if text is None else read(text.lstrip(" \t\r\n"))[0]
+            except (ValueError, RecursionError):
+                text = None
+            own = text is not None and isinstance(value, dict) and "props" in value
+            # a lone surrogate becomes a question mark, as on the platform
+            hashes.append(None if text is None or prefix is None else sha256(f"{prefix}|{write(value)}".encode(errors="replace")).hexdigest())
+            props.append(write(value["props"]).encode(errors="replace").decode() if own else None)
+        return pa.StructArray.from_arrays([pa.array(hashes, pa.string()), pa.array(props, pa.string())], ["hash", "props"])
+
+    return F.arrow_udf(digests, "hash string, props string")(prefix, text)
 
 
 def props_or_empty(props_text: Column) -> Column:

@@ -118,3 +118,31 @@ def test_top_level_key_test_equals_python(spark, docs):
     got = [r[0] for r in df.select(has_top_key(F.col("props"), "x")).collect()]
     want = [isinstance(d, dict) and "x" in d for d in docs]
     assert got == want
+
+
+def test_keys_sort_by_code_point(spark):
+    # UTF-16 order puts a character beyond U+FFFF before U+E000
+    recs = [{"props": {"": None, "\U00010000": 1.5}}, {"￿": {"\U0001f600": 1, "": 2}, "\U0001f600": 0}]
+    texts = [json.dumps(r) for r in recs] + [json.dumps(recs[1], ensure_ascii=False)]
+    assert hashes(spark, texts) == wanted(texts)
+    df = spark.createDataFrame([("f", texts[0])], "source_file string, value string")
+    assert B.parse_event_lines(df).first()["props"] == '{"":null,"\U00010000":1.5}'
+
+
+def test_lines_are_parsed_once(spark):
+    """One parse of a line and no pattern is in the plan, whatever is read from it."""
+    df = spark.createDataFrame([("f", "{}")], "source_file string, value string")
+    plan = B.parse_event_lines(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json") <= 1 and plan.count("digests(") == 1 and "regexp_replace" not in plan
+
+
+def test_repeated_keys_and_odd_constants_are_malformed(spark):
+    texts = ['{"a": 1, "a": 2}', '{"a": NaN}', '{"a": [1, {"b": 1, "b": 1}]}']
+    assert hashes(spark, texts, "permissive") == [hashlib.sha256(f"f|malformed|{t}".encode()).hexdigest() for t in texts]
+    for t in texts:
+        try:
+            hashes(spark, [t])
+        except Exception as e:  # noqa: BLE001
+            assert "MALFORMED" in str(e) or "DUPLICATE" in str(e), str(e)[:200]
+        else:
+            raise AssertionError(t)
