@@ -11,7 +11,7 @@ sorted nor shortened level by level.  Classes that share a band fall into one ca
 component; in a component, *every* pair is verified on the exact shingle sets, so a pair
 missed by all bands is still found where other texts connect it.
 
-Candidate components over ``BLOCK`` classes are cut into blocks by a hash, and each pair
+Candidate components over ``BLOCK`` classes or ``BLOCK_SHINGLES`` shingles are cut into blocks by a hash, and each pair
 of blocks is a task of its own; a task gives link counts and a spanning forest, never
 the pairs themselves.  Sets are shipped once per block pair, and only for classes that
 have a candidate; a Bloom filter keeps all other texts out of the shuffle.
@@ -36,8 +36,9 @@ from ledgerline.llm.decontamination import grams, mixed, windows_in, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 32, 8, 0.99999
-#: Classes of one block, and shingle columns multiplied at once.
-BLOCK, COLUMNS = 512, 8192
+#: Classes of one block and, on average, shingles of one; shingle columns multiplied, and
+#: shingles ranked, at once.
+BLOCK, BLOCK_SHINGLES, COLUMNS, RANKED = 512, 1 << 21, 8192, 1 << 19
 SEED = 20_240_229
 
 
@@ -96,10 +97,11 @@ def _word_keys(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def forest(df: DataFrame, id_col: str, text_col: str, size: int, trees: int, depth: int) -> DataFrame:
-    """``id, text_md5, k1, k2, tries`` per row; keys and tries null without shingles."""
+    """``id, text_md5, k1, k2, shingles, tries`` per row; keys and tries null without shingles."""
     field = id_field(df, id_col, "id")
     schema = T.StructType([field, T.StructField("md5", T.StringType()), T.StructField("k1", T.LongType()),
-                           T.StructField("k2", T.LongType()), T.StructField("tries", T.ArrayType(T.LongType()))])
+                           T.StructField("k2", T.LongType()), T.StructField("shingles", T.LongType()),
+                           T.StructField("tries", T.ArrayType(T.LongType()))])
 
     def sign(batches):
         for whole in batches:
@@ -111,7 +113,7 @@ def forest(df: DataFrame, id_col: str, text_col: str, size: int, trees: int, dep
                 k1, k2 = (pa.array(k.view(np.int64), mask=~some) for k in _word_keys(hashes, first))
                 ends = np.append(0, np.cumsum(some * trees)).astype(np.int32)
                 tries = pa.ListArray.from_arrays(pa.array(ends), pa.array(sig.ravel()), mask=pa.array(~some))
-                yield pa.record_batch([batch.column("id"), batch.column("md5"), k1, k2, tries], names=schema.names)
+                yield pa.record_batch([batch.column("id"), batch.column("md5"), k1, k2, pa.array(np.diff(offsets), pa.int64()), tries], names=schema.names)
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.withColumn("md5", F.md5(F.col("text").cast("binary"))).mapInArrow(tidied(sign), schema)
@@ -132,8 +134,21 @@ def shingle_sets(rows: DataFrame, size: int) -> DataFrame:
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
     """Sizes of the intersections of every left set with every right one (or every left
-    one): shared shingles become columns of a 0/1 matrix, multiplied in runs."""
+    one): shared shingles become columns of a 0/1 matrix, multiplied in runs.  The sorted
+    sets are taken by ranges of some ``RANKED`` shingles, which bounds the memory."""
     sets = left + (right or [])
+    parts = -(-sum(s.size for s in sets) // RANKED)
+    if parts <= 1:
+        return _range_overlaps(sets, len(left), right is not None)
+    cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+    edges = [np.concatenate([[0], np.searchsorted(s, cuts), [s.size]]) for s in sets]
+    out = 0
+    for k in range(parts):
+        out += _range_overlaps([s[e[k]: e[k + 1]] for s, e in zip(sets, edges, strict=True)], len(left), right is not None)
+    return out
+
+
+def _range_overlaps(sets: list[np.ndarray], n: int, two: bool) -> np.ndarray:
     values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     shared = count[column] > 1
@@ -141,14 +156,13 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarr
     _, column = np.unique(column, return_inverse=True)
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    n = len(left)
-    out = np.zeros((n, len(right) if right is not None else n), np.int64)
+    out = np.zeros((n, len(sets) - n if two else n), np.int64)
     width = int(column[-1]) + 1 if column.size else 0
     for lo in range(0, width, COLUMNS):
         a, b = np.searchsorted(column, [lo, lo + COLUMNS])
         m = np.zeros((len(sets), min(COLUMNS, width - lo)), np.float32)
         m[row[a:b], column[a:b] - lo] = 1
-        out += (m[:n] @ (m[n:] if right is not None else m).T).astype(np.int64)
+        out += (m[:n] @ (m[n:] if two else m).T).astype(np.int64)
     return out
 
 
@@ -157,7 +171,7 @@ def verified(threshold: float):
     def verify(group: pa.Table) -> pa.Table:
         cid = group.column("cid").to_numpy()
         size = group.column("n").to_numpy()
-        sets = [np.frombuffer(s, np.uint64) for s in group.column("sets").to_pylist()]
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for chunk in group.column("sets").chunks for s in chunk]
         second = group.column("second").to_numpy(zero_copy_only=False).astype(bool)
         within = not second.any()
         at = [np.flatnonzero(~second), np.flatnonzero(second)]
@@ -193,9 +207,9 @@ def verified(threshold: float):
     return verify
 
 
-def _blocks(size: Column, cid: Column, block: int) -> Column:
-    """``i, j, second``: the block pairs of a class, by the size of its component."""
-    n = F.ceil(size / block).cast("int")
+def _blocks(size: Column, total: Column, cid: Column, block: int, block_shingles: int = BLOCK_SHINGLES) -> Column:
+    """``i, j, second``: the block pairs of a class, by the classes and shingles of its component."""
+    n = F.greatest(F.ceil(size / block), F.least(F.ceil(total / block_shingles), size)).cast("int")
     own = F.pmod(F.xxhash64(cid), n).cast("int")
     return F.transform(F.sequence(F.lit(0), n - 1), lambda x: F.struct(
         F.least(own, x).alias("i"), F.greatest(own, x).alias("j"), (own > x).alias("second")))
@@ -211,8 +225,9 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = stored(forest(df, id_col, text_col, size, trees, prefix_length(threshold, trees, depth, recall)), "forest")
     known = rows.where(F.col("k1").isNotNull())
     least = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("md5").alias("md5")))
-    classes = known.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), least.alias("rep"), F.max("tries").alias("tries"))
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("cid"), "k1", "k2", "n",
+    classes = known.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), least.alias("rep"), F.max("shingles").alias("shingles"),
+                                          F.max("tries").alias("tries"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("cid"), "k1", "k2", "n", "shingles",
                                     F.col("rep.id").alias("id"), F.col("rep.md5").alias("md5"), "tries"), "classes")
 
     # classes that share a prefix: a star around the least of each
@@ -220,9 +235,10 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = leaves.groupBy("tree", "prefix").agg(F.min("cid").alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
     edges = leaves.join(shared.drop("c"), ["tree", "prefix"]).where("cid != hub").select("cid", "hub").distinct()
     candidates = connected_components(edges, "cid", "hub")
-    sizes = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    placed = stored(candidates.join(sizes, "component").join(classes.select(F.col("cid").alias("node"), "n", "id", "md5"), "node")
-                    .select(F.col("node").alias("cid"), "component", "size", "n", F.col("id").alias("rep_id"), "md5"), "candidates")
+    found = candidates.join(classes.select(F.col("cid").alias("node"), "n", "shingles", "id", "md5"), "node")
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.sum("shingles").alias("total"))
+    placed = stored(found.join(sizes, "component")
+                    .select(F.col("node").alias("cid"), "component", "size", "total", "n", F.col("id").alias("rep_id"), "md5"), "candidates")
 
     # the sets of one row of each such class
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -232,8 +248,8 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     picked = (texts.where(passes).join(placed.select("cid", "rep_id", "md5"), (F.col("text_md5") == F.col("md5")) & F.col("id").eqNullSafe(F.col("rep_id")))
               .select("cid", "text"))
     sets = shingle_sets(picked, size).dropDuplicates(["cid"])
-    parts = (sets.join(placed.select("cid", "component", "size", "n"), "cid")
-             .select("cid", "component", "n", "sets", F.explode(_blocks(F.col("size"), F.col("cid"), block)).alias("p"))
+    parts = (sets.join(placed.select("cid", "component", "size", "total", "n"), "cid")
+             .select("cid", "component", "n", "sets", F.explode(_blocks(F.col("size"), F.col("total"), F.col("cid"), block)).alias("p"))
              .select("cid", "component", "n", "sets", "p.*"))
     checked = stored(parts.groupBy("component", "i", "j").applyInArrow(verified(threshold), "cid long, root long, links long"), "links")
 

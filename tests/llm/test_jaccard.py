@@ -98,3 +98,32 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_overlaps_of_long_sets_take_bounded_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    from ledgerline.llm import lsh_forest as L
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(0, 1 << 64, 40_000, dtype=np.uint64))
+    sets = [np.sort(rng.choice(pool, 20_000, replace=False)) for _ in range(100)]
+    some = {(i, j): np.intersect1d(sets[i], sets[j]).size for i, j in ((0, 1), (5, 77), (98, 99), (4, 4))}
+    tracemalloc.start()
+    within, across = L.overlaps(sets, None), L.overlaps(sets[:60], sets[60:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for (i, j), n in some.items():
+        assert within[i, j] == n and (i >= 60 or j < 60 or across[i, j - 60] == n)
+    # the sets are 16 MB; ranking them whole takes over 130 MB
+    assert peak < 80 << 20, peak >> 20
+
+
+def test_components_of_many_shingles_are_cut_into_blocks(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.llm.lsh_forest import _blocks
+    rows = spark.createDataFrame([(5, 100, 9), (5, 1000, 9), (5, 10_000, 9), (1, 10_000, 9)], "size long, total long, cid long")
+    got = [r[0] for r in rows.select(F.size(_blocks(F.col("size"), F.col("total"), F.col("cid"), 4, 400))).collect()]
+    assert got == [2, 3, 5, 1]
