@@ -34,6 +34,13 @@ def append_by(df: DataFrame, path: str, column: str) -> None:
     df.hint("rebalance", column).write.mode("append").partitionBy(column).parquet(path)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a new folder and read it back: later readers take only the columns
+    they need, compressed, where a checkpoint holds whole rows."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_folder(path: str) -> str:
     """A new folder name beside ``path``."""
     return f"{path.rstrip('/')}__{uuid.uuid4().hex[:12]}"

@@ -13,7 +13,7 @@
   columns), re-ranks its valid rows together with the stored rows of those
   days and of its own days (latest arrival wins), and overwrites only those
   day partitions (dynamic partition overwrite); a day left without rows is
-  cleared.  The merged rows are checkpointed first, so the write never reads
+  cleared.  The merged rows are stored first, so the write never reads
   the partitions it replaces.  ``dropDuplicatesWithinWatermark`` is not used:
   it keeps the first arrival, the rule keeps the latest.
 * T3 - daily event facts, two ways.  Exact: the same micro-batch that
@@ -43,7 +43,7 @@ from ledgerline.operators import marts as M
 from ledgerline.operators import silver as S
 from ledgerline.sources.files import relative_name
 from ledgerline.session import checkpoint_dir
-from ledgerline.sources.sinks import append_by, table_exists
+from ledgerline.sources.sinks import append_by, remove_folder, stored, table_exists
 
 RAW_LINE_SCHEMA = T.StructType([T.StructField("source_file", T.StringType()),
                                 T.StructField("value", T.StringType())])
@@ -83,21 +83,36 @@ class BronzeSilverSink:
         self.daily_path = daily_path
         self.ingestion_ts = ingestion_ts
         self.mode = mode
+        self.scratch: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        checkpoint_dir(spark)
+        self.scratch = f"{checkpoint_dir(spark)}/ledgerline-stream/batch-{uuid.uuid4().hex}"
+        try:
+            self.load(spark, batch, batch_id)
+        finally:
+            remove_folder(spark, self.scratch)
+            self.scratch = None
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """A micro-batch's rows stored in the shared folder until its end, so that later
+        steps read their columns alone."""
+        return stored(df, f"{self.scratch or scratch_base(df.sparkSession, 'kept')}/{name}-{uuid.uuid4().hex}")
+
+    def load(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
         # Every step works from the whole (deduplicated) batch and is
         # repeat-safe on its own, so a replay after a failure between steps
         # completes the missing ones and changes nothing else.
         fresh = B.parse_event_lines(batch, self.ingestion_ts, self.mode) \
-            .dropDuplicates(["row_hash"]).checkpoint(eager=True)
+            .dropDuplicates(["row_hash"])
+        fresh = self.keep(fresh, "batch")
         files = B.batch_files(fresh)
         self.append_bronze(spark, fresh, files)
         # silver follows what bronze kept: a line landed again has its first load's stamp
         keys = fresh.select("source_file", "row_hash")
         kept = (B.of_files(spark.read.parquet(self.bronze_path), files).join(keys, ["source_file", "row_hash"], "left_semi")
-                .select(*fresh.columns).checkpoint(eager=True)) if table_exists(spark, self.bronze_path) else fresh
+                .select(*fresh.columns)) if table_exists(spark, self.bronze_path) else fresh
+        kept = self.keep(kept, "kept")
         self.append_quarantine(spark, kept, files)
         self.correct(spark, S.valid_events(kept), batch_id)
         self.upsert_silver(spark, S.valid_events(kept))
@@ -143,7 +158,7 @@ class BronzeSilverSink:
                       .select(*[F.col("bronze_row_hash").alias("row_hash") if c == "row_hash"
                                 else F.col(c) for c in B.BRONZE_EVENT_COLUMNS]))
             rows = rows.unionByName(stored)
-        merged = S.silver_events(rows).withColumn("event_day", day).checkpoint(eager=True)
+        merged = self.keep(S.silver_events(rows).withColumn("event_day", day), "merged")
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("event_day").parquet(self.silver_path))
         kept = {r[0] for r in merged.select("event_day").distinct().collect()}

@@ -153,3 +153,24 @@ def test_corrected_windows_equal_the_facts_for_any_grouping_of_files(spark, tmpd
         assert {r["date_day"].day: (r["events"], r["late_events"]) for r in rows} == want and len(rows) == len(want)
         lost.append(sum(r["events"] for r in spark.read.parquet(f"{base}/events_daily_stream").collect()))
     assert lost[0] < sum(n for n, _ in want.values())  # the window alone drops rows
+
+
+def test_a_batch_leaves_no_scratch_tables_and_no_checkpoints(spark, tmpdir_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from ledgerline.streaming.incremental import BronzeSilverSink
+
+    def refused(*_, **__):
+        raise AssertionError("whole rows are not checkpointed")
+    rows = [(f"events/2024-01-0{d}.jsonl", f'{{"event_id": "e{d}", "event_ts": "2024-01-0{d}T00:00:00Z", "received_ts": "2024-01-0{d}T00:00:01Z",'
+             f' "event_type": "login", "user_id": "u"}}') for d in (1, 2, 2)]
+    sink = BronzeSilverSink(*(f"{tmpdir_path}/{t}" for t in ("bronze", "silver", "quarantine")), daily_path=f"{tmpdir_path}/daily")
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", refused)
+    sink(spark.createDataFrame(rows, "source_file string, value string"), 0)
+    assert spark.read.parquet(f"{tmpdir_path}/silver").count() == spark.read.parquet(f"{tmpdir_path}/bronze").count() == 2
+    seen = []
+    keep = sink.keep
+    monkeypatch.setattr(sink, "keep", lambda df, name: seen.append(sink.scratch) or keep(df, name))
+    sink(spark.createDataFrame(rows, "source_file string, value string"), 1)
+    assert len(seen) == 3 and not any(os.path.exists(s.removeprefix("file:")) for s in seen)
+    assert isinstance(spark.range(1), DataFrame)
