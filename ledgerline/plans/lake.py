@@ -21,7 +21,7 @@ from ledgerline.operators import monitor as MON
 from ledgerline.operators import silver as S
 from ledgerline.operators import staging as G
 from ledgerline.session import checkpoint_dir, use_utc
-from ledgerline.sources import adapter, landing
+from ledgerline.sources import adapter, landing, sinks
 
 
 class Lake:
@@ -153,13 +153,14 @@ class Lake:
     def materialize(self, name: str) -> DataFrame:
         """Write a relation to Parquet in the shared checkpoint folder and swap
         in the re-read table (cuts lineage; survives executor loss)."""
-        df = getattr(self, name)
-        path = f"{checkpoint_dir(self.spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        out = self.spark.read.parquet(path)
+        out = self.store(getattr(self, name), name)
         self.__dict__[name] = out
         return out
 
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` to the shared checkpoint folder and read it back."""
+        return sinks.stored(df, f"{checkpoint_dir(self.spark)}/ledgerline/{name}-{uuid.uuid4().hex}")
+
 
 # Table layout of a built lake: partition columns chosen for pruning (days for
 # the time-filtered layers, the source file for bronze's repeat check).

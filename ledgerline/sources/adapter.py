@@ -43,8 +43,8 @@ def _map(c: Column, mapping: dict[str, str], default: Column | None = None) -> C
 
 def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw event feed: ``(source_file string, value string)``, one JSON line each."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet") \
-        .select("event_id", "ts", "user_id", "event_type", "props")
+    ev = _dealt(spark.read.parquet(f"{sf_dir}/events.parquet")
+                .select("event_id", "ts", "user_id", "event_type", "props"))
     n = F.col("event_id")
     ts = F.col("ts").cast("timestamp")
     us = F.unix_micros(ts)
@@ -93,18 +93,18 @@ def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = F.when(F.col("received_ts").isNull(), F.col("received_ts")) \
         .otherwise(F.timestamp_micros(F.unix_micros(F.col("received_ts")) + 3_600_000_000))
     rows = base.select("*", F.explode(copies).alias("_copy"))
-    return _as_files(rows.select(
+    return rows.select(
         F.concat(F.lit("events/"), day,
                  F.when(redelivered, F.lit("_redelivery.jsonl")).otherwise(F.lit(".jsonl")))
         .alias("source_file"),
-        line(F.when(redelivered, later).otherwise(F.col("received_ts"))).alias("value")))
+        line(F.when(redelivered, later).otherwise(F.col("received_ts"))).alias("value"))
 
 
 def raw_billing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw billing feed: ``(source_file, billing_date, user_id, event, plan_id)``,
     all strings as a CSV reader returns them (an empty field is null)."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet") \
-        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    o = _dealt(spark.read.parquet(f"{sf_dir}/orders.parquet")
+               .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"))
     k = F.col("o_orderkey")
     offset = F.datediff(F.to_date(F.col("o_orderdate")), F.lit(BILLING_EPOCH).cast("date")) % BILLING_DAYS
     day = F.date_format(F.date_add(F.lit(BILLING_FIRST_DAY).cast("date"), offset), "yyyy-MM-dd")
@@ -117,14 +117,16 @@ def raw_billing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         _map(F.col("o_orderpriority"), PLAN_BY_PRIORITY).alias("plan_id"),
         # some rows appear twice in their file
         F.explode(F.array_repeat(F.lit(1), F.when(k % 103 == 0, 2).otherwise(1))).alias("_c"))
-    return _as_files(rows.drop("_c"))
+    return rows.drop("_c")
 
 
-def _as_files(df: DataFrame) -> DataFrame:
-    """Spread the feed over the cluster's cores, as a scan of a folder of many
+def _dealt(df: DataFrame) -> DataFrame:
+    """Spread a driver table over the cluster's cores, as a scan of a folder of many
     feed files would (the driver tables are single small files, which would
     otherwise scan as one partition).  Round-robin, not by a key: one file or
-    one mass-repeated line may hold a third of all rows."""
+    one mass-repeated line may hold a third of all rows.  The few columns of the table
+    are dealt, not the lines made of them, which take several times as many bytes; the
+    lines are then made on all cores."""
     try:
         n = df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - a session without a local SparkContext

@@ -104,3 +104,18 @@ def test_active_rows_are_the_grid(spark):
     subs = spark.createDataFrame([(day, "u", True), (day, "v", False), (day + dt.timedelta(1), "u", True)],
                                  "date_day date, user_id string, is_active boolean")
     assert sorted(tuple(r) for r in MON.active_subs_rows(subs, F.lit(day), F.lit(day)).collect()) == [(day, False), (day, True)]
+
+
+def test_second_load_reads_the_stored_first_one(spark):
+    """The lines are parsed once a load, and the load looks only at its files' rows."""
+    from conftest import SF_SMALL
+    from ledgerline.plans.catalog import QUERIES
+    plan = QUERIES["bronze_events_load"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("digests(") == 1 and "LeftSemi" not in plan
+
+
+def test_report_builds_each_layer_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from ledgerline.plans.catalog import QUERIES
+    plan = QUERIES["dq_report"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "digests(" not in plan and "sha2" not in plan
