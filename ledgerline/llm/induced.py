@@ -207,24 +207,22 @@ class Sender:
             if t not in here:
                 self.tail[t] = min(self.tail[t], whole)
 
-    def _least(self, v: np.ndarray) -> list[np.ndarray]:
-        """Least values of runs of 1, 2, 4, ... entries from each on."""
-        out, width = [v], 1
-        while self.cap and width * 2 <= v.size:
-            out.append(np.minimum(out[-1][:-width], out[-1][width:]))
-            width *= 2
+    def _least(self, v: np.ndarray) -> np.ndarray:
+        """Least values of runs of 1, 2, 4, ... entries from each on, a row for each length."""
+        out = np.empty((max(1, int(v.size).bit_length()) if self.cap else 1, v.size), v.dtype)
+        out[0] = v
+        for d in range(1, out.shape[0]):
+            width, n = 1 << (d - 1), v.size - (1 << d) + 1
+            np.minimum(out[d - 1, :n], out[d - 1, width: width + n], out=out[d, :n])
         return out
 
-    def _between(self, low: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def _between(self, low: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Least value at ``a..b``, both included."""
         if not self.cap:
             return np.zeros(a.size, np.int64)
-        level = np.frexp((b - a + 1).astype(np.float64))[1] - 1
-        out = np.empty(a.size, np.int64)
-        for d in np.unique(level).tolist():
-            i = np.flatnonzero(level == d)
-            out[i] = np.minimum(low[d][a[i]], low[d][b[i] - (1 << d) + 1])
-        return out
+        level = np.frexp((b - a + 1).astype(np.float64))[1].astype(np.int64) - 1
+        row, flat = level * low.shape[1], low.ravel()
+        return np.minimum(flat.take(row + a), flat.take(row + b - (1 << level) + 1)).astype(np.int64)
 
 
 def _pieces(pos: np.ndarray, lcp: np.ndarray):

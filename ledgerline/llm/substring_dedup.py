@@ -4,16 +4,18 @@ A byte goes when a ``SPAN``-byte string that covers it also starts in a document
 smaller id.  The suffix order of a whole corpus is cut into shards by content:
 
 1. Rows are stored as packs of some megabytes.  Each window of ``SPAN`` bytes belongs to
-   the smallest hash of the ``GRAM``-byte strings in it, so equal windows belong to equal
-   hashes wherever they are; runs of windows with one hash are segments.
-2. Buckets of hashes report which ones occur in two documents or more.  A window whose
-   hash does not is unique to its document.
-3. Distinct segments of the other hashes go to the bucket of their hash.  A bucket is a
+   its anchor, the first of the ``GRAM``-byte strings in it with the least hash, so equal
+   windows have equal anchors wherever they are; runs of windows with one anchor are
+   segments.  A segment's contexts are the strings of 33 bytes that end with its anchor and
+   that begin with it: one of them is in each of its windows.
+2. Buckets of anchors' hashes report which ones have a context twice.  A window without
+   such a context is unique to its document.
+3. Distinct segments of the reported hashes go to the bucket of their hash.  A bucket is a
    shard: its segments are suffix-sorted with common-prefix values (``induced``:
    recursive induction with disk-backed queues), and neighbours that share ``SPAN`` bytes
    form a group with the least id among its documents.
-   A segment whose hash has no other content is not sorted: equal windows have equal
-   hashes, so its windows are in no other segment.  Segments count as equal by their bytes.
+   A segment that has no context of another content is not sorted: its windows are in no
+   other segment.  Segments count as equal by their bytes.
    A bucket of more than ``SORT_BYTES`` is not sorted: where a common passage begins or
    ends, one hash has another segment in every document.  Its windows are dealt on by
    their own hash, each pack sending the distinct ones with their least ids.
@@ -51,6 +53,7 @@ _GROWTH = 1.1
 #: Bytes of queues that a suffix sort holds before it goes to disk.
 SORT_MEMORY = 128 << 20
 _STEP = 1 << 15
+_HIGH, _ODD = np.uint64(0xFFFFFFFF00000000), np.uint64(0xD6E8FEB86659FD93)
 _LAST = (1 << 63) - 1
 
 PACK = "pid long, ids binary, known binary, offsets binary, size long, data binary"
@@ -87,19 +90,25 @@ class Pack:
         self.offsets = np.frombuffer(row["offsets"], "<i8")
         self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=row["size"]) if row["size"] else b"", np.uint8)
         self.span = span
-        self.start, self.count, h = windows(self.data, self.offsets, span, gram)
-        order = np.argsort(h, kind="stable")
-        self.start, self.count, h = self.start[order], self.count[order], h[order]
-        self.id = self.ids[np.searchsorted(self.offsets, self.start, side="right") - 1]
-        self.first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if h.size else np.zeros(0, np.int64)
+        self.start, self.count, h, key, left, right = windows(self.data, self.offsets, span, gram)
+        ids = np.repeat(self.ids, np.diff(np.searchsorted(self.start, self.offsets)))
+        # by hash, then by context; only the order rests on the mixed low half
+        order = np.argsort((h & _HIGH) | (mixed(left ^ (right * _ODD)) >> np.uint64(32)))
+        self.start, self.count, h = self.start[order], self.count[order], h[order] & _HIGH
+        self.key, self.left, self.right = key[order], left[order], right[order]
+        self.id = ids[order]
+        self.first = borders(h)
         self.hash = h[self.first]
         self.bucket = bucket_of(self.hash, buckets)
+        #: Where each context (hash, left and right key) begins.
+        self.context = borders(h, self.left, self.right)
 
     def several(self) -> np.ndarray:
-        """Of each hash, whether documents with different ids have it here."""
+        """Of each hash, whether documents with different ids have a context of it here."""
         if not self.first.size:
             return np.zeros(0, bool)
-        return np.minimum.reduceat(self.id, self.first) != np.maximum.reduceat(self.id, self.first)
+        differ = np.minimum.reduceat(self.id, self.context) != np.maximum.reduceat(self.id, self.context)
+        return np.logical_or.reduceat(differ, np.searchsorted(self.context, self.first))
 
     def sizes(self) -> np.ndarray:
         """Of each hash, the bytes of its segments here as a power."""
@@ -109,17 +118,17 @@ class Pack:
 
     def share(self, flags: np.ndarray) -> None:
         """Keep the segments of flagged hashes and find the distinct ones: ``of`` segment ->
-        distinct one; ``seg_start, seg_size, seg_least, seg_mark, seg_bucket`` by bucket, then
-        content.  A mark is the low half of the hash."""
+        distinct one; ``seg_start, seg_size, seg_least, seg_key, seg_left, seg_right,
+        seg_bucket`` by bucket."""
         each = np.diff(np.append(self.first, self.start.size))
         on = np.repeat(flags, each)
-        bucket = np.repeat(self.bucket, each)[on]
+        bucket, h = np.repeat(self.bucket, each)[on], np.repeat(self.hash, each)[on]
         self.start, self.count, self.id = self.start[on], self.count[on], self.id[on]
-        size = self.count + self.span - 1
-        order, first, self.of = distinct_parts(self.data, self.start, size, bucket)
+        size, key = self.count + self.span - 1, self.key[on]
+        order, first, self.of = distinct_parts(self.data, self.start, size, bucket, h | (key >> np.uint64(32)))
         one = order[first]
         self.seg_start, self.seg_size, self.seg_bucket = self.start[one], size[one], bucket[one]
-        self.seg_mark = np.repeat(self.hash.astype(np.uint32), each)[on][one]
+        self.seg_key, self.seg_left, self.seg_right = key[one], self.left[on][one], self.right[on][one]
         self.seg_least = np.minimum.reduceat(self.id[order], first) if first.size else first
 
     def deal(self, a: int, b: int, parts: int) -> tuple[np.ndarray, ...]:
@@ -136,37 +145,102 @@ class Pack:
         return of, own, bucket_of(k1[one], parts), k1[one], k2[one], np.minimum.reduceat(own[order], first)
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, number of windows and hash of each segment, in text order."""
+def windows(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Of each segment, in text order: start, number of windows, hash, key of its content,
+    keys of its left and right context (0: none).
+
+    The anchor of a window is its first string of ``gram`` bytes with the least hash; a
+    segment is a run of windows with one anchor.  Every window reaches ``half`` bytes before
+    its anchor or ``span - half`` from its beginning, so a window that is in two segments
+    gives both the same left or the same right key."""
+    if not gram <= span <= _STEP:
+        raise ValueError(f"a span of {span} bytes: at least {gram}, at most {_STEP}")
     n = data.size - span + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    least = np.empty(n, np.uint64)
-    power, inverse = _powers(_P, _STEP + span), _powers(_P_INV, _STEP + span)
-    for lo in range(0, n, _STEP):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), *np.zeros((4, 0), np.uint64)
+    a = offsets[:-1]
+    b = np.maximum(a, offsets[1:] - span + 1)
+    # a row's windows begin in [a, b); those from b to the row's end would cross it
+    inside = np.repeat(np.arange(2 * a.size) % 2 == 0, np.stack([b - a, offsets[1:] - b], 1).ravel())[:n]
+    edge = np.zeros(n, bool)
+    edge[a[a < b]] = True
+    edge[b[b < n]] = True
+    half, longest = (span - gram) // 2, 2 * span - gram
+    power, inverse = _powers(_P, _STEP + longest + 1), _powers(_P_INV, _STEP + longest + 1)
+    spread, place = inverse * _ODD, np.arange(_STEP + span, dtype=np.uint32)
+    parts, lo = [], 0
+    while lo < n:
         hi = min(n, lo + _STEP)
-        part = data[lo: hi + span - 1]
+        part = data[lo: min(data.size, hi + longest)]
         sums = np.zeros(part.size + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: part.size], out=sums[1:])
-        m = mixed((sums[gram:] - sums[:-gram]) * inverse[: part.size - gram + 1])
+        np.cumsum(part.astype(np.uint64) * power[: part.size], out=sums[1:])
+        grams = hi - lo + span - gram
+        m = (sums[gram: gram + grams] - sums[:grams]) * spread[:grams]
+        # 16 bits of the hash before the place within the step, which is below 2 ** 16
+        m = (m.view("<u4")[1::2] & np.uint32(0xFFFF0000)) | place[:grams]
         have, want = 1, span - gram + 1
         while have < want:
             step = min(have, want - have)
             m = np.minimum(m[:-step], m[step:])
             have += step
-        least[lo:hi] = m
-    a = offsets[:-1]
-    b = np.maximum(a, offsets[1:] - span + 1)
-    # a row's windows begin in [a, b); those from b to the row's end would cross it
-    inside = np.repeat(np.arange(2 * a.size) % 2 == 0, np.stack([b - a, offsets[1:] - b], 1).ravel())[:n]
-    border = inside.copy()
-    border[1:] &= least[1:] != least[:-1]
-    border[a[a < b]] = True
-    border[b[b < n]] = True
-    at = np.flatnonzero(border)
-    count, on = np.diff(at, append=n), inside[at]
-    at, count = at[on], count[on]
-    return at, count, mixed(least[at] + np.uint64(1))
+        border = edge[lo:hi].copy()
+        border[0] = True
+        border[1:] |= (m[1:] != m[:-1]) & inside[lo + 1: hi]
+        at = np.flatnonzero(border)
+        end = np.append(at[1:], hi - lo)
+        if hi < n and inside[hi - 1] and not edge[hi] and at.size > 1:
+            # the last segment may go on: the next step begins with it
+            at, end, hi = at[:-1], end[:-1], lo + int(at[-1])
+        on = inside[lo + at]
+        at, end = at[on], end[on]
+        p = (m[at] & np.uint32(0xFFFF)).astype(np.int64)
+
+        # hashes of what is between two places: all begin at the segment, the anchor or the left key
+        top, low = inverse.take(p), sums.take(p)
+        whole = sums.take(p + gram)
+        key = mixed((whole - sums.take(at)) * inverse.take(at) * _ODD + (sums.take(end + span - 1) - low) * top) + (end - at).astype(np.uint64)
+        before = np.maximum(p - half, 0)
+        left = mixed((whole - sums.take(before)) * inverse.take(before)) | np.uint64(1)
+        left[p - at < half] = 0
+        right = mixed((sums.take(np.minimum(p + span - half, part.size)) - low) * top) | np.uint64(1)
+        right[p - end >= half] = 0
+        parts.append((at + lo, end - at, mixed((whole - low) * top), key, left, right))
+        lo = hi
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def borders(*values: np.ndarray) -> np.ndarray:
+    """Where a run of equal values (in all arrays) begins."""
+    if not values[0].size:
+        return np.zeros(0, np.int64)
+    new = np.ones(values[0].size, bool)
+    new[1:] = False
+    for v in values:
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new)
+
+
+def cut_keys(values: np.ndarray, n: int) -> bytes:
+    """The low ``n`` bytes of each value; a value other than 0 does not become 0."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].tobytes()
+
+
+def whole_keys(parts: list[bytes], n: int) -> np.ndarray:
+    low = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, n)
+    value = np.zeros((low.shape[0], 8), np.uint8)
+    value[:, :n] = low
+    return value.view("<u8").ravel()
+
+
+def repeated(keys: np.ndarray) -> np.ndarray:
+    """Whether each key other than 0 is there more than once."""
+    order = np.argsort(keys)
+    x = keys[order]
+    same = np.append(False, (x[1:] == x[:-1]) & (x[1:] != 0))
+    same[:-1] |= same[1:]
+    out = np.empty(keys.size, bool)
+    out[order] = same[: keys.size]
+    return out
 
 
 def size_powers(size: np.ndarray, span: int) -> np.ndarray:
@@ -192,20 +266,19 @@ def distinct(k1: np.ndarray, k2: np.ndarray, order: np.ndarray) -> tuple[np.ndar
     return np.flatnonzero(new), of
 
 
-def distinct_parts(data: np.ndarray, start: np.ndarray, size: np.ndarray,
-                   bucket: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def distinct_parts(data: np.ndarray, start: np.ndarray, size: np.ndarray, bucket: np.ndarray | None = None,
+                   keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Parts of ``data`` grouped by bucket and content: their order, where each distinct one
-    begins there, and each part's distinct one.  Hashes only order the parts; should
-    different contents have equal hashes, the bytes themselves are taken as keys."""
+    begins there, and each part's distinct one.  Hashes (``keys``, which rise with the bucket,
+    or those of the contents) only order the parts; should different contents have equal
+    hashes, the bytes themselves are taken as keys."""
     bucket = np.zeros(start.size, np.int64) if bucket is None else bucket
-    k1, k2 = content_keys(data, start, size)
-    for _ in range(2):
-        order = np.lexsort((k2, k1, bucket))
-        b, x, y = bucket[order], k1[order], k2[order]
-        new = np.append(True, (b[1:] != b[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if order.size else np.zeros(0, bool)
-        first = np.flatnonzero(new)
+    k1, k2 = content_keys(data, start, size) if keys is None else (keys, np.zeros(start.size, np.uint64))
+    for exact in (False, True):
+        order = np.argsort(k1) if keys is not None and not exact else np.lexsort((k2, k1, bucket))
+        first = borders(bucket[order], k1[order], k2[order])
         of = np.empty(order.size, np.int64)
-        of[order] = np.cumsum(new) - 1
+        of[order] = np.repeat(np.arange(first.size), np.diff(np.append(first, order.size)))
         if same_content(data, start, size, order[first][of]):
             break
         seen: dict[bytes, int] = {}
@@ -219,9 +292,23 @@ def same_content(data: np.ndarray, start: np.ndarray, size: np.ndarray, other: n
     i = np.flatnonzero(other != np.arange(start.size))
     if not np.array_equal(size[i], size[other[i]]):
         return False
-    group = 1 << 13
-    return all(np.array_equal(gathered(data, start[j], size[j]), gathered(data, start[other[j]], size[j]))
-               for j in (i[a: a + group] for a in range(0, i.size, group)))
+    if not i.size:
+        return True
+    word = 8 if int(size[i].min()) >= 8 else 1
+    # every place of the data as a word of 8 bytes; the last word of a part ends with it
+    data = np.ascontiguousarray(data)
+    words = np.ndarray((data.size - word + 1,), f"<u{word}", data, strides=(1,))
+    group = 1 << 15
+    for j in (i[a: a + group] for a in range(0, i.size, group)):
+        x, y, last = start[j], start[other[j]], size[j] - word
+        for k in range(0, int(last.max()) + word, word):
+            at = np.minimum(k, last)
+            if not np.array_equal(words[x + at], words[y + at]):
+                return False
+            if k + word < int(last.max()) + word and k >= 64:
+                on = last > k
+                x, y, last = x[on], y[on], last[on]
+    return True
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -230,10 +317,14 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
 
 def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The parts ``data[start:start + size]`` back to back."""
-    ends = np.cumsum(size)
-    at = np.repeat(start - (ends - size), size)
-    at += np.arange(at.size)
-    return data[at]
+    ends = np.append(0, np.cumsum(size))
+    out, group = np.empty(int(ends[-1]), data.dtype), 1 << 14
+    for i in range(0, start.size, group):
+        edge = ends[i: i + group + 1]
+        at = np.repeat(start[i: i + group] - edge[:-1], np.diff(edge))
+        at += np.arange(int(edge[0]), int(edge[-1]))
+        data.take(at, out=out[int(edge[0]): int(edge[-1])], mode="clip")
+    return out
 
 
 def content_keys(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -305,14 +396,13 @@ def shard(rows: list[dict], span: int, memory: int) -> list[bytes]:
     data = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(r["data"], max_output_size=int(s.sum())), np.uint8)
                            for r, s in zip(rows, sizes, strict=True)])
     size, least = np.concatenate(sizes), np.concatenate(leasts)
-    mark = np.concatenate([np.frombuffer(r["marks"], "<u4") for r in rows])
+    key, left, right = (whole_keys([r[c] for r in rows], n) for c, n in (("marks", 6), ("lefts", 4), ("rights", 4)))
     start = np.cumsum(size) - size
-    order, first, of = distinct_parts(data, start, size)
+    order, first, of = distinct_parts(data, start, size, keys=key)
     one = order[first]
     start, size, least = start[one], size[one], np.minimum.reduceat(least[order], first)
-    # a segment whose hash has no other content shares no window with another segment
-    _, inverse, count = np.unique(mark[one], return_inverse=True, return_counts=True)
-    alone = count[inverse] == 1
+    # a segment that has no context of another content shares no window with another segment
+    alone = ~(repeated(left[one]) | repeated(right[one]))
     begin = np.empty(one.size, np.int64)
     begin[~alone], found = least_ids(gathered(data, start[~alone], size[~alone]), size[~alone], least[~alone], span, memory)
     n = size[alone] - span + 1
@@ -345,16 +435,19 @@ def outgoing(p: Pack, pid: int, hot: dict[int, int]) -> list[dict]:
     windows by part."""
     import zstandard
     squeeze, rows = zstandard.ZstdCompressor(3), []
+    edge = np.append(0, np.cumsum(p.seg_size))
+    data = gathered(p.data, p.seg_start, p.seg_size)
     for a, b in equal_runs(p.seg_bucket):
         bucket = int(p.seg_bucket[a])
         row = {"bucket": bucket, "pid": pid}
         if bucket not in hot:
             rows.append(row | {"part": -1, "sizes": p.seg_size[a:b].astype("<i8").tobytes(), "least": p.seg_least[a:b].astype("<i8").tobytes(),
-                               "marks": p.seg_mark[a:b].astype("<u4").tobytes(), "data": squeeze.compress(gathered(p.data, p.seg_start[a:b], p.seg_size[a:b]).tobytes())})
+                               "marks": cut_keys(p.seg_key[a:b], 6), "lefts": cut_keys(p.seg_left[a:b], 4), "rights": cut_keys(p.seg_right[a:b], 4),
+                               "data": squeeze.compress(data[edge[a]: edge[b]].tobytes())})
             continue
         _, _, part, k1, k2, least = p.deal(a, b, hot[bucket])
         keys = np.stack([k1, k2], 1).astype("<u8")
-        rows += [row | {"part": int(part[i]), "sizes": b"", "marks": b"", "least": least[i:j].astype("<i8").tobytes(), "data": keys[i:j].tobytes()}
+        rows += [row | {"part": int(part[i]), "sizes": b"", "marks": b"", "lefts": b"", "rights": b"", "least": least[i:j].astype("<i8").tobytes(), "data": keys[i:j].tobytes()}
                  for i, j in equal_runs(part)]
     return rows
 
@@ -379,18 +472,24 @@ def returned(p: Pack, answers: list[dict], hot: dict[int, int]) -> np.ndarray:
 def removed(pack: Pack, bits: np.ndarray) -> np.ndarray:
     """Mask of the pack's bytes that go.  ``bits``: of each window of each distinct segment,
     whether an id below the pack's least one has it."""
-    n = pack.data.size
-    change = np.zeros(n + 1, np.int64)
-    above = pack.id > pack.seg_least[pack.of]
-    np.add(change, np.bincount(pack.start[above], minlength=n + 1), out=change)
-    np.subtract(change, np.bincount((pack.start + pack.count)[above] + pack.span - 1, minlength=n + 1), out=change)
+    gone = np.zeros(pack.data.size, bool)
     size = pack.seg_size - pack.span + 1
     begin = np.cumsum(size) - size
-    i = np.flatnonzero(~above)
-    flagged = gathered(bits, begin[pack.of[i]], size[pack.of[i]])
-    at = gathered(np.arange(n), pack.start[i], size[pack.of[i]])[flagged] if i.size else i
-    change += np.bincount(at, minlength=n + 1) - np.bincount(at + pack.span, minlength=n + 1)
-    return np.cumsum(change)[:n] > 0
+    above = pack.id > pack.seg_least[pack.of]
+    group = 1 << 16
+    for a in range(0, pack.start.size, group):
+        n = pack.count[a: a + group]
+        ends = np.cumsum(n)
+        within = np.arange(int(ends[-1])) - np.repeat(ends - n, n)
+        flagged = bits[within + np.repeat(begin[pack.of[a: a + group]], n)] | np.repeat(above[a: a + group], n)
+        gone[(within + np.repeat(pack.start[a: a + group], n))[flagged]] = True
+    # a window that goes takes its bytes with it
+    have = 1
+    while have < pack.span:
+        step = min(have, pack.span - have)
+        gone[step:] |= gone[:-step].copy()
+        have += step
+    return gone
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM,
@@ -406,28 +505,31 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             for row in batch.to_pylist():
                 p = Pack(row, span, gram, buckets)
-                several, sizes = p.several(), p.sizes()
-                low = p.hash.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                for a, b in equal_runs(p.bucket):
-                    yield pa.record_batch([pa.array([p.bucket[a]], pa.int64()), pa.array([row["pid"]], pa.int64()),
-                                           pa.array([low[a:b].tobytes()]), pa.array([np.packbits(several[a:b]).tobytes()]),
-                                           pa.array([sizes[a:b].tobytes()])],
-                                          names=["bucket", "pid", "hashes", "several", "sizes"])
+                several, sizes, runs = p.several(), p.sizes(), equal_runs(p.bucket)
+                # a hash's contexts are context[of[i]:of[i + 1]]
+                of = np.append(np.searchsorted(p.context, p.first), p.context.size)
+                left, right, number = p.left[p.context], p.right[p.context], np.diff(of).astype("<u4")
+                # one batch for all buckets: their number grows with the input
+                yield pa.record_batch([pa.array([p.bucket[a] for a, _ in runs], pa.int64()), pa.array([row["pid"]] * len(runs), pa.int64()),
+                                       pa.array([cut_keys(left[of[a]: of[b]], 5) for a, b in runs], pa.binary()),
+                                       pa.array([cut_keys(right[of[a]: of[b]], 5) for a, b in runs], pa.binary()),
+                                       pa.array([number[a:b].tobytes() for a, b in runs], pa.binary()),
+                                       pa.array([np.packbits(several[a:b]).tobytes() for a, b in runs], pa.binary()),
+                                       pa.array([sizes[a:b].tobytes() for a, b in runs], pa.binary())],
+                                      names=["bucket", "pid", "lefts", "rights", "contexts", "several", "sizes"])
 
     def find_shared(group: pa.Table) -> pa.Table:
         rows = _rows(group)
-        lows = [np.frombuffer(r["hashes"], np.uint8).reshape(-1, 5) for r in rows]
-        low = np.concatenate(lows)
-        value = np.zeros((low.shape[0], 8), np.uint8)
-        value[:, :5] = low
-        _, inverse, count = np.unique(value.view("<u8").ravel(), return_inverse=True, return_counts=True)
-        again, out, at, total = count[inverse] > 1, [], 0, 0
-        for r, x in zip(rows, lows, strict=True):
-            several = np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(x)).astype(bool)
-            on = again[at: at + len(x)] | several
+        again = repeated(whole_keys([r["lefts"] for r in rows], 5)) | repeated(whole_keys([r["rights"] for r in rows], 5))
+        number = [np.frombuffer(r["contexts"], "<u4") for r in rows]
+        every = np.concatenate(number).astype(np.int64)
+        again, out, at, total = np.logical_or.reduceat(again, np.cumsum(every) - every), [], 0, 0
+        for r, x in zip(rows, number, strict=True):
+            several = np.unpackbits(np.frombuffer(r["several"], np.uint8), count=x.size).astype(bool)
+            on = again[at: at + x.size] | several
             out.append(np.packbits(on).tobytes())
             total += int(size_bounds(np.frombuffer(r["sizes"], np.uint8)[on], span).sum())
-            at += len(x)
+            at += x.size
         return pa.table([group.column("pid"), group.column("bucket"), pa.array(out, pa.binary()), pa.array([total] * len(out), pa.int64())],
                         names=["pid", "bucket", "bits", "total"])
 
@@ -442,7 +544,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def send_segments(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = [r for pack in _rows(left) for r in outgoing(with_shared(pack, _rows(right)), pack["pid"], hot)]
         return pa.Table.from_pylist(rows, pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("pid", pa.int64()), ("sizes", pa.binary()),
-                                                     ("least", pa.binary()), ("marks", pa.binary()), ("data", pa.binary())]))
+                                                     ("least", pa.binary()), ("marks", pa.binary()), ("lefts", pa.binary()), ("rights", pa.binary()), ("data", pa.binary())]))
 
     def sort_shard(group: pa.Table) -> pa.Table:
         rows = _rows(group)
@@ -462,8 +564,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             starts[borders] = gone[borders]
             for c, flags in (("n_removed", gone), ("n_spans", starts)):
                 out[c] += np.diff(np.append(0, np.cumsum(flags))[p.offsets]).tolist()
-            for a, b in zip(p.offsets[:-1].tolist(), p.offsets[1:].tolist(), strict=True):
-                kept = p.data[a:b][~gone[a:b]].tobytes()
+            rest = p.data[~gone].tobytes()
+            ends = np.append(0, np.cumsum(~gone))[p.offsets].tolist()
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                kept = rest[a:b]
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                 if texts:
                     out["kept"].append(kept)
@@ -474,11 +578,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     types = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(),
              "kept_sha256": pa.string(), **({"kept": pa.binary()} if texts else {})}
     names = list(types)
-    lists = all_packs.mapInArrow(tidied(list_hashes), "bucket long, pid long, hashes binary, several binary, sizes binary")
+    lists = all_packs.mapInArrow(tidied(list_hashes), "bucket long, pid long, lefts binary, rights binary, contexts binary, several binary, sizes binary")
     shared = stored(lists.groupBy("bucket").applyInArrow(tidied_group(find_shared), "pid long, bucket long, bits binary, total long"), "shared-hashes")
     hot = {r.bucket: parts_of(r.total, sort_bytes) for r in shared.where(F.col("total") > sort_bytes).select("bucket", "total").distinct().collect()}
     segments = (all_packs.groupBy("pid").cogroup(shared.groupBy("pid"))
-                .applyInArrow(tidied_group(send_segments), "bucket long, part long, pid long, sizes binary, least binary, marks binary, data binary"))
+                .applyInArrow(tidied_group(send_segments), "bucket long, part long, pid long, sizes binary, least binary, marks binary, lefts binary, rights binary, data binary"))
     flags = stored(segments.groupBy("bucket", "part").applyInArrow(tidied_group(sort_shard), "pid long, bucket long, part long, bits binary"), "window-bits")
     answers = (shared.select("pid", "bucket", F.lit(-1).cast("long").alias("part"), "bits", F.lit(False).alias("sorted"))
                .unionByName(flags.withColumn("sorted", F.lit(True))))

@@ -150,3 +150,55 @@ def test_equal_hashes_of_different_contents(monkeypatch):
     zero = np.zeros(5, np.uint64)
     monkeypatch.setattr(D, "content_keys", lambda *_: (zero, zero))
     assert classes()
+
+
+def pack(texts, first=0, buckets=1):
+    data = [t.encode() for t in texts]
+    return D.Pack({"ids": np.arange(first, first + len(data)).astype("<i8").tobytes(), "known": np.ones(len(data), bool).tobytes(),
+                   "offsets": np.cumsum([0, *map(len, data)]).astype("<i8").tobytes(), "size": sum(map(len, data)),
+                   "data": zstandard.compress(b"".join(data))}, 50, 16, buckets)
+
+
+def test_common_words_in_other_contexts_are_not_sorted(monkeypatch):
+    """A frequent string between words that differ is neither reported nor sorted."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    texts = [f"{word(40)} on the other hand {word(40)}" for _ in range(300)]
+    assert not pack(texts).several().any()
+    assert pack([*texts, f"{word(40)}{texts[7][20:80]}"]).several().any()
+    sorted_bytes = []
+    least_ids = D.least_ids
+    monkeypatch.setattr(D, "least_ids", lambda data, *rest: sorted_bytes.append(data.size) or least_ids(data, *rest))
+
+    def flagged(texts):
+        p = pack(texts)
+        p.share(np.ones(p.first.size, bool))
+        D.shard(D.outgoing(p, 0, {}), 50, 1 << 20)
+        return sorted_bytes.pop()
+    assert flagged(texts) == 0
+    assert 0 < flagged([*texts, f"{word(40)}{texts[7][20:80]}"]) < 2000
+
+
+def test_segments_do_not_depend_on_steps(monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(200))) for _ in range(60)] + ["a" * 900, "", "xyz" * 200, "q" * 49, "r" * 50]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    whole = D.windows(data, offsets, 50, 16)
+    assert int(whole[1].sum()) == sum(max(0, len(t) - 49) for t in texts) and int(whole[1].max()) <= 35
+    for step in (64, 101, 640):
+        monkeypatch.setattr(D, "_STEP", step)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, D.windows(data, offsets, 50, 16), strict=True))
+
+
+def test_shared_parts_of_any_length_and_place(spark):
+    rng = random.Random(12)
+    text = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    part = [text("ab", 52), text("abcdefgh", 60), "ab" * 40, "c" * 70, text("abcdefgh", 200)]
+    rows = []
+    for i in rng.sample(range(200), 200):
+        p = rng.choice(part)
+        a = rng.randrange(len(p) - 47)
+        rows.append((i, text("abcdefgh", rng.randrange(30)) + p[a: a + rng.randrange(47, 120)] + text("ab", rng.randrange(60))))
+    assert found(frame(spark, rows), bucket_bytes=3000) == brute(rows, 50)
+    assert found(frame(spark, rows), bucket_bytes=3000, sort_bytes=2000) == brute(rows, 50)
