@@ -393,8 +393,8 @@ def shard(rows: list[dict], span: int, memory: int) -> list[bytes]:
     import zstandard
     sizes = [np.frombuffer(r["sizes"], "<i8") for r in rows]
     leasts = [np.frombuffer(r["least"], "<i8") for r in rows]
-    data = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(r["data"], max_output_size=int(s.sum())), np.uint8)
-                           for r, s in zip(rows, sizes, strict=True)])
+    unpack = zstandard.ZstdDecompressor()
+    data = np.frombuffer(b"".join(unpack.decompress(r["data"], max_output_size=int(s.sum())) for r, s in zip(rows, sizes, strict=True)), np.uint8)
     size, least = np.concatenate(sizes), np.concatenate(leasts)
     key, left, right = (whole_keys([r[c] for r in rows], n) for c, n in (("marks", 6), ("lefts", 4), ("rights", 4)))
     start = np.cumsum(size) - size
@@ -408,12 +408,14 @@ def shard(rows: list[dict], span: int, memory: int) -> list[bytes]:
     n = size[alone] - span + 1
     begin[alone] = found.size + np.cumsum(n) - n
     found = np.append(found, np.repeat(least[alone], n))
-    out, at = [], 0
-    for s, own in zip(sizes, leasts, strict=True):
-        n = s - span + 1
-        w = gathered(found, begin[of[at: at + s.size]], n)
-        out.append(np.packbits(w < np.repeat(own, n)).tobytes())
-        at += s.size
+    out, edges, own, group = [], np.cumsum([0, *(x.size for x in sizes)]), np.concatenate(leasts), 1 << 9
+    every = np.concatenate(sizes) - span + 1
+    for i in range(0, len(rows), group):  # few operations a row: a bucket has one of every pack
+        edge = edges[i: i + group + 1]
+        a, b = int(edge[0]), int(edge[-1])
+        below = gathered(found, begin[of[a:b]], every[a:b]) < np.repeat(own[a:b], every[a:b])
+        ends = np.append(0, np.cumsum(every[a:b]))[edge - a].tolist()
+        out += [np.packbits(below[x:y]).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
     return out
 
 
@@ -436,14 +438,14 @@ def outgoing(p: Pack, pid: int, hot: dict[int, int]) -> list[dict]:
     import zstandard
     squeeze, rows = zstandard.ZstdCompressor(3), []
     edge = np.append(0, np.cumsum(p.seg_size))
-    data = gathered(p.data, p.seg_start, p.seg_size)
+    data = memoryview(gathered(p.data, p.seg_start, p.seg_size))
+    columns = {"sizes": (8, p.seg_size.astype("<i8").tobytes()), "least": (8, p.seg_least.astype("<i8").tobytes()),
+               **{c: (n, cut_keys(keys, n)) for c, n, keys in (("marks", 6, p.seg_key), ("lefts", 4, p.seg_left), ("rights", 4, p.seg_right))}}
     for a, b in equal_runs(p.seg_bucket):
         bucket = int(p.seg_bucket[a])
         row = {"bucket": bucket, "pid": pid}
         if bucket not in hot:
-            rows.append(row | {"part": -1, "sizes": p.seg_size[a:b].astype("<i8").tobytes(), "least": p.seg_least[a:b].astype("<i8").tobytes(),
-                               "marks": cut_keys(p.seg_key[a:b], 6), "lefts": cut_keys(p.seg_left[a:b], 4), "rights": cut_keys(p.seg_right[a:b], 4),
-                               "data": squeeze.compress(data[edge[a]: edge[b]].tobytes())})
+            rows.append(row | {"part": -1, "data": squeeze.compress(data[edge[a]: edge[b]])} | {c: x[n * a: n * b] for c, (n, x) in columns.items()})
             continue
         _, _, part, k1, k2, least = p.deal(a, b, hot[bucket])
         keys = np.stack([k1, k2], 1).astype("<u8")
@@ -508,11 +510,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 several, sizes, runs = p.several(), p.sizes(), equal_runs(p.bucket)
                 # a hash's contexts are context[of[i]:of[i + 1]]
                 of = np.append(np.searchsorted(p.context, p.first), p.context.size)
-                left, right, number = p.left[p.context], p.right[p.context], np.diff(of).astype("<u4")
+                left, right, number = cut_keys(p.left[p.context], 5), cut_keys(p.right[p.context], 5), np.diff(of).astype("<u4")
                 # one batch for all buckets: their number grows with the input
                 yield pa.record_batch([pa.array([p.bucket[a] for a, _ in runs], pa.int64()), pa.array([row["pid"]] * len(runs), pa.int64()),
-                                       pa.array([cut_keys(left[of[a]: of[b]], 5) for a, b in runs], pa.binary()),
-                                       pa.array([cut_keys(right[of[a]: of[b]], 5) for a, b in runs], pa.binary()),
+                                       pa.array([left[5 * of[a]: 5 * of[b]] for a, b in runs], pa.binary()),
+                                       pa.array([right[5 * of[a]: 5 * of[b]] for a, b in runs], pa.binary()),
                                        pa.array([number[a:b].tobytes() for a, b in runs], pa.binary()),
                                        pa.array([np.packbits(several[a:b]).tobytes() for a, b in runs], pa.binary()),
                                        pa.array([sizes[a:b].tobytes() for a, b in runs], pa.binary())],
@@ -523,20 +525,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         again = repeated(whole_keys([r["lefts"] for r in rows], 5)) | repeated(whole_keys([r["rights"] for r in rows], 5))
         number = [np.frombuffer(r["contexts"], "<u4") for r in rows]
         every = np.concatenate(number).astype(np.int64)
-        again, out, at, total = np.logical_or.reduceat(again, np.cumsum(every) - every), [], 0, 0
-        for r, x in zip(rows, number, strict=True):
-            several = np.unpackbits(np.frombuffer(r["several"], np.uint8), count=x.size).astype(bool)
-            on = again[at: at + x.size] | several
-            out.append(np.packbits(on).tobytes())
-            total += int(size_bounds(np.frombuffer(r["sizes"], np.uint8)[on], span).sum())
-            at += x.size
+        again = np.logical_or.reduceat(again, np.cumsum(every) - every)
+        on = again | np.concatenate([np.unpackbits(np.frombuffer(r["several"], np.uint8), count=x.size).view(bool) for r, x in zip(rows, number, strict=True)])
+        total = int(size_bounds(np.frombuffer(b"".join(r["sizes"] for r in rows), np.uint8)[on], span).sum())
+        edge = np.cumsum([0, *(x.size for x in number)]).tolist()
+        out = [np.packbits(on[a:b]).tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
         return pa.table([group.column("pid"), group.column("bucket"), pa.array(out, pa.binary()), pa.array([total] * len(out), pa.int64())],
                         names=["pid", "bucket", "bits", "total"])
 
     def with_shared(pack: dict, answers: list[dict]) -> Pack:
         p = Pack(pack, span, gram, buckets)
         size = np.bincount(p.bucket, minlength=buckets) if p.bucket.size else np.zeros(buckets, int)
-        flags = [np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=int(size[r["bucket"]])).astype(bool)
+        flags = [np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=int(size[r["bucket"]])).view(bool)
                  for r in sorted(answers, key=lambda r: r["bucket"])]
         p.share(np.concatenate(flags) if flags else np.zeros(0, bool))
         return p
